@@ -34,3 +34,34 @@ def scored_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 def labelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     return label_by_quantile(orders, "o_totalprice", "label", p=P, method="disc")
+
+
+# Stand-ins for eight fitted models: deterministic score columns of lineitem in
+# [0, 1], keyed like the model grid. abs() keeps -0.0 discounts out of the keys.
+MODEL_SCORES = {
+    "logistic_regression": "l_quantity / 50",
+    "random_forest": "abs(l_discount) * 10",
+    "logistic_regression_weighted": "l_tax * 12.5",
+    "logistic_regression_undersampled": "(l_quantity + 50 * abs(l_discount) * 10) / 100",
+    "logistic_regression_oversampled": "floor(l_quantity / 5) / 10",
+    "random_forest_weighted": "1 - abs(l_discount) * 10",
+    "random_forest_undersampled": "(l_quantity / 50) * (1 - l_tax)",
+    "random_forest_oversampled": "l_linenumber / 7",
+}
+
+
+def scored_models(spark: SparkSession, sf_dir: str, keys=None) -> DataFrame:
+    """Long frame (model, y, p1): every lineitem row once per model key."""
+    keys = list(keys or MODEL_SCORES)
+    li = labelled_lineitem(spark, sf_dir)
+    pairs = F.array(*[F.struct(F.lit(k).alias("model"), F.expr(MODEL_SCORES[k]).cast("double").alias("p1"))
+                      for k in keys])
+    return li.select(F.col("label").alias("y"), F.explode(pairs).alias("m")).select(
+        "m.model", "y", "m.p1")
+
+
+def model_scores_sql(keys=None) -> str:
+    """DuckDB text of the same long frame, as a CTE body named ``ms``."""
+    keys = list(keys or MODEL_SCORES)
+    parts = [f"SELECT '{k}' AS model, y, CAST({MODEL_SCORES[k]} AS DOUBLE) AS p1 FROM s" for k in keys]
+    return "ms AS (" + " UNION ALL ".join(parts) + ")"
