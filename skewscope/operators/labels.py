@@ -35,7 +35,7 @@ def _rank_targets(total: F.Column, p: float, method: str) -> tuple[F.Column, F.C
 
 
 def quantile_threshold(df: DataFrame, col: str, p: float = 0.8, method: str = "disc",
-                       rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> DataFrame:
+                       rows_per_range: int = DEFAULT_ROWS_PER_RANGE, reuse: bool = False) -> DataFrame:
     """Exact quantile as a one-row frame with column ``threshold``.
 
     ``method="disc"``: smallest value whose cumulative share is >= p (SQL
@@ -43,13 +43,16 @@ def quantile_threshold(df: DataFrame, col: str, p: float = 0.8, method: str = "d
     (n-1)p (SQL ``percentile``, pandas' default). Built from value counts and a
     range-bounded running count, so no task ever holds the whole column.
     Null values are ignored; an empty input gives a null threshold.
+    ``reuse=True`` checkpoints the value counts first: worth it when the input
+    is expensive to recompute (not for a plain file scan).
     """
     if method not in ("disc", "cont"):
         raise ValueError(f"method must be 'disc' or 'cont', not {method!r}")
     counts = (df.select(F.col(col).cast("double").alias("value"))
               .where(F.col("value").isNotNull() & ~F.isnan("value"))
               .groupBy("value").agg(F.count(F.lit(1)).alias("n")))
-    ranked = running_totals(counts, "value", ["n"], descending=False, rows_per_range=rows_per_range)
+    ranked = running_totals(counts, "value", ["n"], descending=False, rows_per_range=rows_per_range,
+                            reuse=reuse)
     lo, hi, frac = _rank_targets(F.col("total_n"), p, method)
     first = F.col("cum_n") - F.col("n")
     picked = ranked.select(
