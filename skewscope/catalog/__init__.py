@@ -5,7 +5,7 @@ row cap, id subset or sample to stay cheap.
 """
 
 from skewscope.catalog._registry import ORACLE_SQL, QUERIES
-from skewscope.catalog import metrics, prepare, sources, splitting  # noqa: F401  (registers queries)
+from skewscope.catalog import metrics, models, prepare, sources, splitting  # noqa: F401  (registers queries)
 from skewscope.catalog.flagship import flagship
 
 __all__ = ["ORACLE_SQL", "QUERIES", "flagship"]

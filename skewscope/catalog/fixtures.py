@@ -65,3 +65,49 @@ def model_scores_sql(keys=None) -> str:
     keys = list(keys or MODEL_SCORES)
     parts = [f"SELECT '{k}' AS model, y, CAST({MODEL_SCORES[k]} AS DOUBLE) AS p1 FROM s" for k in keys]
     return "ms AS (" + " UNION ALL ".join(parts) + ")"
+
+
+def embedding_splits(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """embeddings: label 1 for class 0 (about 10 %), 64-d vector, split by vec_id hash."""
+    from pyspark.ml.functions import array_to_vector
+
+    from skewscope.operators import splits
+
+    emb = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("string").alias("key"),
+        F.when(F.col("label") == 0, 1).otherwise(0).alias("label"),
+        array_to_vector("embedding").alias("features"))
+    return splits.split_frames(splits.assign_split(emb, "key", method="md5"))
+
+
+def document_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents joined to labels; target toxic; features n_chars, words, lines."""
+    from pyspark.ml.feature import VectorAssembler
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    joined = docs.join(labels, "doc_id").select(
+        F.col("doc_id").cast("string").alias("key"), F.col("toxic").alias("label"),
+        F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(F.split(F.trim("text"), r"\s+")).cast("double").alias("words"),
+        F.size(F.split("text", "\n")).cast("double").alias("lines"))
+    return VectorAssembler(inputCols=["n_chars", "words", "lines"], outputCol="features").transform(joined)
+
+
+LINEITEM_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "is_returned", "is_open"]
+
+
+def lineitem_model_splits(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """lineitem as a model table: price label at p=0.8, six numeric features, order-key split."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from skewscope.operators import splits
+
+    li = labelled_lineitem(spark, sf_dir).select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("key"),
+        F.col("l_orderkey").cast("string").alias("group"), "label",
+        "l_quantity", "l_discount", "l_tax", F.col("l_linenumber").cast("double").alias("l_linenumber"),
+        (F.col("l_returnflag") == "R").cast("double").alias("is_returned"),
+        (F.col("l_linestatus") == "O").cast("double").alias("is_open"))
+    li = VectorAssembler(inputCols=LINEITEM_FEATURES, outputCol="features").transform(li)
+    return splits.split_frames(splits.assign_split(li, "group", method="md5"))

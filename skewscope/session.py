@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 
 LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
+    "spark.driver.memory": "16g",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
