@@ -50,20 +50,29 @@ MODEL_SCORES = {
 }
 
 
-def scored_models(spark: SparkSession, sf_dir: str, keys=None) -> DataFrame:
-    """Long frame (model, y, p1): every lineitem row once per model key."""
+def scored_models(spark: SparkSession, sf_dir: str, keys=None, extra=()) -> DataFrame:
+    """Long frame (model, y, p1, extra...): every lineitem row once per model key.
+
+    ``extra`` may name ``split`` (md5 split of l_orderkey) and ``row_key``.
+    """
+    from skewscope.operators import splits
+
     keys = list(keys or MODEL_SCORES)
     li = labelled_lineitem(spark, sf_dir)
+    if "split" in extra:
+        li = splits.assign_split(li.withColumn("okey", F.col("l_orderkey").cast("string")), "okey", method="md5")
+    if "row_key" in extra:
+        li = li.withColumn("row_key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
     pairs = F.array(*[F.struct(F.lit(k).alias("model"), F.expr(MODEL_SCORES[k]).cast("double").alias("p1"))
                       for k in keys])
-    return li.select(F.col("label").alias("y"), F.explode(pairs).alias("m")).select(
-        "m.model", "y", "m.p1")
+    return li.select(F.col("label").alias("y"), *extra, F.explode(pairs).alias("m")).select(
+        "m.model", "y", "m.p1", *extra)
 
 
 def model_scores_sql(keys=None) -> str:
     """DuckDB text of the same long frame, as a CTE body named ``ms``."""
     keys = list(keys or MODEL_SCORES)
-    parts = [f"SELECT '{k}' AS model, y, CAST({MODEL_SCORES[k]} AS DOUBLE) AS p1 FROM s" for k in keys]
+    parts = [f"SELECT '{k}' AS model, CAST({MODEL_SCORES[k]} AS DOUBLE) AS p1, * FROM s" for k in keys]
     return "ms AS (" + " UNION ALL ".join(parts) + ")"
 
 
