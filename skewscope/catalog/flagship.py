@@ -1,12 +1,30 @@
-"""The flagship query used by ``entry``."""
+"""The flagship query used by ``entry``: label, split, weight, LR, threshold, test metrics."""
 
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skewscope.catalog.fixtures import labelled_lineitem
-from skewscope.operators import balance
+from skewscope.catalog._registry import register, rounded
+from skewscope.catalog.fixtures import LINEITEM_FEATURES
+from skewscope.plans import study
+from skewscope.sources.tables import table
+
+
+def lineitem_model_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("key"),
+        F.col("l_orderkey").cast("string").alias("group"), "l_extendedprice",
+        "l_quantity", "l_discount", "l_tax", F.col("l_linenumber").cast("double").alias("l_linenumber"),
+        (F.col("l_returnflag") == "R").cast("double").alias("is_returned"),
+        (F.col("l_linestatus") == "O").cast("double").alias("is_open"))
+    return VectorAssembler(inputCols=LINEITEM_FEATURES, outputCol="features").transform(li)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return balance.class_balance(labelled_lineitem(spark, sf_dir), "label")
+    data = study.prepare(lineitem_model_frame(spark, sf_dir), "l_extendedprice", "group", "key")
+    return rounded(study.weighted_lr_test_record(data))
+
+
+register("flagship_weighted_lr")(flagship)

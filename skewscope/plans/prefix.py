@@ -72,6 +72,16 @@ def running_totals(
     if reuse:
         df = materialize(df)
     rows = df.count()
+    key_order = F.col(key).desc() if descending else F.col(key).asc()
+    if rows <= rows_per_range:
+        # One range: a single sorted window over at most rows_per_range rows.
+        grp = Window.partitionBy(*group_cols)
+        upto = grp.orderBy(key_order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.select(
+            *df.columns,
+            *[F.sum(v).over(upto).cast("long").alias(f"cum_{v}") for v in value_cols],
+            *[F.sum(v).over(grp).cast("long").alias(f"total_{v}") for v in value_cols],
+        )
     bounds = range_bounds(df, key, rows, rows_per_range)
     ranged = _range_ids(df, key, bounds)
 
@@ -90,7 +100,6 @@ def running_totals(
         offsets = F.broadcast(offsets)
     joined = ranged.join(offsets, on=[*group_cols, _PID], how="inner")
 
-    key_order = F.col(key).desc() if descending else F.col(key).asc()
     inside = (Window.partitionBy(*group_cols, _PID).orderBy(key_order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     keep = [c for c in df.columns]
