@@ -93,8 +93,10 @@ def roc_points(table: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
 def _area_terms() -> tuple[Column, Column]:
     d = lambda c: F.col(c).cast("double")
     p, neg = d("total_pos"), _neg_total().cast("double")
-    ap_term = (d("tp") / (d("tp") + d("fp"))) * d("pos") / p
-    roc_term = ((d("n") - d("pos")) / neg) * ((F.lit(2.0) * d("tp") - d("pos")) / (F.lit(2.0) * p))
+    # Guarded inside the term: under ANSI a division by zero raises even when
+    # an outer CASE would discard the value.
+    ap_term = rates.safe_div((d("tp") / (d("tp") + d("fp"))) * d("pos"), p)
+    roc_term = rates.safe_div((d("n") - d("pos")) * (F.lit(2.0) * d("tp") - d("pos")), F.lit(2.0) * p * neg)
     return ap_term, roc_term
 
 
