@@ -53,8 +53,9 @@ def strategy_views(train: DataFrame, label_col: str, key_col: str | None, seed:
     return {
         "baseline": train,
         "weighted": resample.class_weights(train, label_col, "weight", pos_weight),
-        "undersampled": materialize(resample.undersample(train, label_col, seed, method, key_col)),
-        "oversampled": materialize(resample.oversample(train, label_col, seed, method, key_col)),
+        # Narrow views of the materialised train frame; MLlib caches its own input.
+        "undersampled": resample.undersample(train, label_col, seed, method, key_col),
+        "oversampled": resample.oversample(train, label_col, seed, method, key_col),
     }
 
 

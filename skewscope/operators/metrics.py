@@ -35,9 +35,10 @@ def threshold_metrics(conf: DataFrame) -> DataFrame:
     return conf.select("*", *rates.rate_columns())
 
 
-def _attach_thresholds(table: DataFrame, thresholds: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    # One threshold per group: broadcast only behind a checked row count.
-    n = thresholds.count()
+def _attach_thresholds(table: DataFrame, thresholds: DataFrame, group_cols: Sequence[str],
+                       rows: int | None = None) -> DataFrame:
+    # One threshold per group: broadcast only behind a checked (or known) row count.
+    n = thresholds.count() if rows is None else rows
     side = F.broadcast(thresholds) if n <= BROADCAST_ROW_LIMIT else thresholds
     return table.join(side, on=list(group_cols), how="inner")
 
@@ -45,20 +46,22 @@ def _attach_thresholds(table: DataFrame, thresholds: DataFrame, group_cols: Sequ
 def evaluate_scores(df: DataFrame, label_col: str = "label", score_col: str = "p1",
                     threshold: float | DataFrame = 0.5, group_cols: Sequence[str] = (),
                     policy: str | None = None, rows_per_range: int = DEFAULT_ROWS_PER_RANGE,
-                    reuse: bool = True) -> DataFrame:
+                    reuse: bool = True, threshold_rows: int | None = None) -> DataFrame:
     """The split record, one row per group, from a single threshold table.
 
     Columns: PR_AUC, ROC_AUC, precision, recall, f1, balanced_accuracy, MCC,
     TP, FP, TN, FN, applied_threshold; with ``policy`` also the opt_* fields of
     the best-threshold search. ``threshold`` is a number or a frame of
-    (group_cols..., applied_threshold) rows.
+    (group_cols..., applied_threshold) rows; ``threshold_rows`` is its row
+    count when known (skips a counting job).
     """
     group_cols = list(group_cols)
     table = curves.threshold_table(df, label_col, score_col, group_cols, rows_per_range, reuse)
     if isinstance(threshold, DataFrame):
         if not group_cols:
             raise ValueError("a threshold frame needs group columns")
-        table = _attach_thresholds(table, threshold.select(*group_cols, "applied_threshold"), group_cols)
+        table = _attach_thresholds(table, threshold.select(*group_cols, "applied_threshold"), group_cols,
+                                   threshold_rows)
         t = F.col("applied_threshold")
         applied = F.first("applied_threshold").alias("applied_threshold")
     else:

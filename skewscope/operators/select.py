@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from skewscope.functions.scoring import display_name
 from skewscope.operators import metrics as metric_ops
 from skewscope.operators.experiments import model_order
-from skewscope.plans.prefix import BROADCAST_ROW_LIMIT
 
 # The four LR variants in display order, and the remedy groups
 # compared across families.
@@ -33,12 +32,18 @@ def select_best(metrics: DataFrame, metric: str = "PR_AUC", model_col: str = "mo
 
 def test_at_best_threshold(best: DataFrame, test_scored: DataFrame, label_col: str = "label",
                            score_col: str = "p1", model_col: str = "model") -> DataFrame:
-    """Test record of the winning model at its validation-chosen threshold."""
-    t = best.select(F.col("best_model").alias(model_col), F.col("opt_threshold").alias("applied_threshold"))
-    n = t.count()
-    side = F.broadcast(t) if n <= BROADCAST_ROW_LIMIT else t
-    chosen = test_scored.join(side.select(model_col), model_col, "left_semi")
-    return metric_ops.evaluate_scores(chosen, label_col, score_col, threshold=t, group_cols=[model_col])
+    """Test record of the winning model at its validation-chosen threshold.
+
+    ``best`` holds at most one row (from ``select_best``); its model name and
+    threshold are two scalars, applied as literals so the test plan does not
+    re-run the validation evaluation.
+    """
+    row = best.first()
+    if row is None:
+        return metric_ops.evaluate_scores(test_scored.where(F.lit(False)), label_col, score_col, group_cols=[model_col])
+    chosen = test_scored.where(F.col(model_col) == F.lit(row["best_model"]))
+    return metric_ops.evaluate_scores(chosen, label_col, score_col, threshold=float(row["opt_threshold"]),
+                                      group_cols=[model_col])
 
 
 def compare_lr_strategies(metrics: DataFrame, model_col: str = "model") -> DataFrame:

@@ -1,23 +1,34 @@
 """Cut lineage of a frame that several jobs reuse.
 
-A reliable ``checkpoint`` writes the frame once to the shared checkpoint folder,
-so a lost executor re-reads files instead of recomputing the upstream plan
-(e.g. a model ``transform`` over a whole split).
+The frame is written once as a Parquet table under the shared checkpoint folder
+(``spark.checkpoint.dir``) and read back: one write job, and later readers get
+column pruning, partition pruning and row counts from the footers. A lost
+executor re-reads files instead of recomputing the upstream plan (e.g. a model
+``transform`` over a whole split). Local runs fall back to a temporary folder
+only when the setting is absent (see ``skewscope.session``).
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from skewscope.session import ensure_checkpoint_dir
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    # Persist first so the checkpoint write does not recompute the plan.
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+def table_path(df: DataFrame) -> str:
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    return f"{root}/skewscope-tables/{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    path = table_path(df)
+    writer = df.write.mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    # Partition columns come back last; keep the caller's column order.
+    return out.select(*df.columns)

@@ -35,12 +35,13 @@ def prepare(df: DataFrame, score_col: str, group_col: str, key_col: str, feature
     lab = lab.dropna(subset=[features_col, score_col, "label"])
     framed = splits.assign_split(lab.select(key_col, group_col, "label", features_col), group_col,
                                  method=hash_method).drop("bucket")
-    framed = materialize(framed)
+    # One write, partitioned by split: each split read below prunes to its folder.
+    framed = materialize(framed, partition_by=["split"])
     parts = splits.split_frames(framed)
     train = parts["train"]
     if cap:
-        train = splits.cap_rows(train, cap, seed, "hash", key_col)
-    return PreparedData(framed, q, materialize(train), materialize(parts["valid"]), materialize(parts["test"]))
+        train = materialize(splits.cap_rows(train, cap, seed, "hash", key_col))
+    return PreparedData(framed, q, train, parts["valid"], parts["test"])
 
 
 def weighted_lr_test_record(data: PreparedData, features_col: str = "features", policy: str = "mcc") -> DataFrame:
