@@ -34,34 +34,75 @@ def _rank_targets(total: F.Column, p: float, method: str) -> tuple[F.Column, F.C
     return lo + 1, F.ceil(pos).cast("long") + 1, pos - lo
 
 
+def _pick(ranked: DataFrame, p: float, method: str, total: F.Column) -> DataFrame:
+    lo, hi, frac = _rank_targets(total, p, method)
+    first = F.col("cum_n") - F.col("n")
+    picked = ranked.select(
+        F.when((F.col("cum_n") >= lo) & (first < lo), F.col("value")).alias("v_lo"),
+        F.when((F.col("cum_n") >= hi) & (first < hi), F.col("value")).alias("v_hi"),
+        frac.alias("frac"),
+    ).where(F.col("v_lo").isNotNull() | F.col("v_hi").isNotNull())
+    agg = picked.agg(F.max("v_lo").alias("v_lo"), F.max("v_hi").alias("v_hi"), F.max("frac").alias("frac"))
+    return agg.select((F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("threshold"))
+
+
+def _values(df: DataFrame, col: str) -> DataFrame:
+    return (df.select(F.col(col).cast("double").alias("value"))
+            .where(F.col("value").isNotNull() & ~F.isnan("value")))
+
+
+def quantile_threshold_full(df: DataFrame, col: str, p: float = 0.8, method: str = "disc",
+                            rows_per_range: int = DEFAULT_ROWS_PER_RANGE, reuse: bool = False) -> DataFrame:
+    """Exact quantile from value counts and a range-bounded running count over all values."""
+    counts = _values(df, col).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+    ranked = running_totals(counts, "value", ["n"], descending=False, rows_per_range=rows_per_range,
+                            reuse=reuse)
+    return _pick(ranked, p, method, F.col("total_n"))
+
+
+BRACKET_ACCURACY = 10000
+
+
 def quantile_threshold(df: DataFrame, col: str, p: float = 0.8, method: str = "disc",
                        rows_per_range: int = DEFAULT_ROWS_PER_RANGE, reuse: bool = False) -> DataFrame:
     """Exact quantile as a one-row frame with column ``threshold``.
 
     ``method="disc"``: smallest value whose cumulative share is >= p (SQL
     ``percentile_disc``). ``method="cont"``: linear interpolation at rank
-    (n-1)p (SQL ``percentile``, pandas' default). Built from value counts and a
-    range-bounded running count, so no task ever holds the whole column.
-    Null values are ignored; an empty input gives a null threshold.
-    ``reuse=True`` checkpoints the value counts first: worth it when the input
-    is expensive to recompute (not for a plain file scan).
+    (n-1)p (SQL ``percentile``, pandas' default). Null values are ignored; an
+    empty input gives a null threshold.
+
+    Two passes and no global sort: pass 1 counts the rows and brackets the
+    target rank with GK sketches at p -/+ 2/accuracy (each within n/accuracy
+    ranks, so the bracket always holds the answer); pass 2 groups only the
+    values inside the bracket, folding everything below it into one sentinel
+    row, and runs the bounded running count over that small set. Should the
+    bracket ever miss, the full value-count method is used.
     """
     if method not in ("disc", "cont"):
         raise ValueError(f"method must be 'disc' or 'cont', not {method!r}")
-    counts = (df.select(F.col(col).cast("double").alias("value"))
-              .where(F.col("value").isNotNull() & ~F.isnan("value"))
+    vals = _values(df, col)
+    d = 2.0 / BRACKET_ACCURACY
+    probs = [max(0.0, p - d), min(1.0, p + d)]
+    row = vals.agg(F.count(F.lit(1)).alias("n"),
+                   F.percentile_approx("value", probs, BRACKET_ACCURACY).alias("b")).first()
+    spark = df.sparkSession
+    if not row["n"]:
+        return spark.createDataFrame([(None,)], "threshold double")
+    n, (lo, hi) = int(row["n"]), row["b"]
+    sentinel = float("-inf")
+    inside = (vals.where(F.col("value") <= F.lit(hi))
+              .select(F.when(F.col("value") < F.lit(lo), F.lit(sentinel)).otherwise(F.col("value")).alias("value"))
               .groupBy("value").agg(F.count(F.lit(1)).alias("n")))
-    ranked = running_totals(counts, "value", ["n"], descending=False, rows_per_range=rows_per_range,
-                            reuse=reuse)
-    lo, hi, frac = _rank_targets(F.col("total_n"), p, method)
-    first = F.col("cum_n") - F.col("n")
-    picked = ranked.select(
-        F.when((F.col("cum_n") >= lo) & (first < lo), F.col("value")).alias("v_lo"),
-        F.when((F.col("cum_n") >= hi) & (first < hi), F.col("value")).alias("v_hi"),
-        frac.alias("frac"),
-    ).where(F.col("v_lo").isNotNull() | F.col("v_hi").isNotNull())
-    agg = picked.agg(F.max("v_lo").alias("v_lo"), F.max("v_hi").alias("v_hi"), F.max("frac").alias("frac"))
-    return agg.select((F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("threshold"))
+    # lo and hi sit within 3n/accuracy ranks of pn, so the bracket holds at most
+    # ~6n/accuracy distinct values plus the sentinel.
+    bound = int(6 * n / BRACKET_ACCURACY) + 3
+    ranked = running_totals(inside, "value", ["n"], descending=False, rows_per_range=rows_per_range,
+                            reuse=reuse, rows_hint=bound if bound <= rows_per_range else None)
+    res = _pick(ranked, p, method, F.lit(n)).first()["threshold"]
+    if res is None or not math.isfinite(res):  # a rank fell outside the bracket
+        return quantile_threshold_full(df, col, p, method, rows_per_range, reuse)
+    return spark.createDataFrame([(float(res),)], "threshold double")
 
 
 def threshold_value(df: DataFrame, col: str, p: float = 0.8, method: str = "disc") -> float | None:

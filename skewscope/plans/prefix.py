@@ -60,18 +60,20 @@ def running_totals(
     descending: bool = True,
     rows_per_range: int = DEFAULT_ROWS_PER_RANGE,
     reuse: bool = True,
+    rows_hint: int | None = None,
 ) -> DataFrame:
     """Add ``cum_<v>`` (inclusive running sum in key order) and ``total_<v>``.
 
     ``df`` must hold at most one row per ``(group_cols, key)``; ``key`` must be
     numeric and not null. With ``descending=True`` the running sum at a key
     covers every row of the same group whose key is greater or equal.
+    ``rows_hint`` is a proven upper bound on the row count (skips counting).
     """
     group_cols = list(group_cols)
     value_cols = list(value_cols)
-    if reuse:
+    if reuse and rows_hint is None:
         df = materialize(df)
-    rows = df.count()
+    rows = df.count() if rows_hint is None else rows_hint
     key_order = F.col(key).desc() if descending else F.col(key).asc()
     if rows <= rows_per_range:
         # One range: a single sorted window over at most rows_per_range rows.

@@ -55,6 +55,8 @@ def test_exact_quantile_multi_range_and_nulls(spark):
     ref = df.selectExpr("percentile_disc(0.8) WITHIN GROUP (ORDER BY x) AS d").first()["d"]
     got = labels.quantile_threshold(df, "x", 0.8, "disc", rows_per_range=300).first()["threshold"]
     assert got == ref
+    full = labels.quantile_threshold_full(df, "x", 0.8, "disc", rows_per_range=300).first()["threshold"]
+    assert full == ref
 
 
 def test_empty_quantile_is_null_and_labels_zero(spark):
