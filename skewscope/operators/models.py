@@ -23,6 +23,11 @@ RF_MAX_BINS = 64
 RF_SUBSAMPLING_RATE = 0.8
 RF_FEATURE_SUBSET = "sqrt"
 SEED = 42
+# Execution settings (not hyper-parameters): deep trees keep per-row node ids
+# cached instead of re-evaluating the trees each level, and a larger node-stat
+# budget lets one data pass split more nodes.
+RF_CACHE_NODE_IDS = True
+RF_MAX_MEMORY_MB = 1024
 
 FAMILIES = {"lr": "logistic_regression", "rf": "random_forest"}
 
@@ -40,7 +45,8 @@ def random_forest(features_col: str = "features", label_col: str = "label", weig
     kw = {"weightCol": weight_col} if weight_col else {}
     return RandomForestClassifier(featuresCol=features_col, labelCol=label_col, numTrees=num_trees,
                                   maxDepth=max_depth, maxBins=max_bins, subsamplingRate=subsampling_rate,
-                                  featureSubsetStrategy=feature_subset, seed=seed, **kw)
+                                  featureSubsetStrategy=feature_subset, seed=seed,
+                                  cacheNodeIds=RF_CACHE_NODE_IDS, maxMemoryInMB=RF_MAX_MEMORY_MB, **kw)
 
 
 def estimator(family: str, features_col: str, label_col: str, weight_col: str | None = None, **params):
