@@ -77,6 +77,11 @@ def q_flagship(spark, sf):
     return flagship(spark, sf).collect()
 
 
+def q_study_documents(spark, sf):
+    from skewscope.catalog.models import study_documents
+    return study_documents(spark, sf).collect()
+
+
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -88,7 +93,8 @@ def main() -> None:
             ("evaluate_split", q_evaluate_split), ("curves_by_model", q_curves_by_model),
             ("resample", q_resample), ("calibration", q_calibration),
             ("lr_fit_weighted", lambda s, d: q_lr_fit_weighted(s, d, extra)),
-            ("strategy_grid", q_strategy_grid), ("flagship", q_flagship)]
+            ("strategy_grid", q_strategy_grid), ("flagship", q_flagship),
+            ("study_documents", q_study_documents)]
     # Two passes over the whole plan: the first pays JVM/codegen warm-up and is
     # reported as cold_total; per-query figures are from the second (warm) pass.
     runs = []

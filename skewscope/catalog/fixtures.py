@@ -120,3 +120,16 @@ def lineitem_model_splits(spark: SparkSession, sf_dir: str) -> dict[str, DataFra
         (F.col("l_linestatus") == "O").cast("double").alias("is_open"))
     li = VectorAssembler(inputCols=LINEITEM_FEATURES, outputCol="features").transform(li)
     return splits.split_frames(splits.assign_split(li, "group", method="md5"))
+
+
+def document_study_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents as a study table: score n_chars, features word and line counts of the
+    whole text, group = md5 of the text (exact copies share a group)."""
+    from pyspark.ml.feature import VectorAssembler
+
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("key"), F.md5("text").alias("group"),
+        F.col("n_chars").cast("double").alias("n_chars"),
+        F.size(F.split(F.trim("text"), r"\s+")).cast("double").alias("words"),
+        F.size(F.split("text", "\n")).cast("double").alias("lines"))
+    return VectorAssembler(inputCols=["words", "lines"], outputCol="features").transform(docs)

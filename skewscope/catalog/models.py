@@ -70,3 +70,15 @@ def scaling_study(spark, sf):
     n = s["train"].count()
     sizes = [max(1, int(n * f)) for f in (0.1, 0.5, 1.0)]
     return experiments.scaling_study(s["train"], s["valid"], sizes, "label", "features", key_col="key")
+
+
+@register("study_documents")
+def study_documents(spark, sf):
+    """Whole pipeline on documents: label long texts (n_chars >= q80), split by text hash,
+    eight-way remedy grid, select by PR-AUC, test record at the chosen threshold."""
+    from skewscope.catalog.fixtures import document_study_frame
+    from skewscope.plans import study
+
+    data = study.prepare(document_study_frame(spark, sf), "n_chars", "group", "key")
+    res = study.run_study(data, key_col="key")
+    return rounded(res.test_record)

@@ -160,3 +160,23 @@ def scaling_series(spark, sf):
                       F.round("PR_AUC", 4).alias("pr_auc"))
     out = select.scaling_series(runs)
     return out.withColumn("series_pos", F.col("series_pos").cast("int"))
+
+
+@register("calibration_best_model", METRICS_SQL + """,
+best AS (SELECT model AS best_model FROM mt ORDER BY PR_AUC DESC, model_order ASC LIMIT 1),
+bb AS (SELECT CAST(CASE WHEN p1 >= 1 THEN 9 ELSE floor(p1 * 10) END AS INTEGER) AS bin_index, p1, y FROM ms
+       WHERE split = 'valid' AND model = (SELECT best_model FROM best)),
+cb AS (SELECT bin_index, avg(p1) AS mean_pred, avg(y * 1e0) AS empirical_pos_rate, count(*) AS cnt
+      FROM bb WHERE bin_index BETWEEN 0 AND 9 GROUP BY bin_index),
+spine AS (SELECT CAST(range AS INTEGER) AS bin_index FROM range(10))
+SELECT (SELECT best_model FROM best) AS model, spine.bin_index,
+       printf('[%.1f,%.1f%s', spine.bin_index / 10, (spine.bin_index + 1) / 10,
+              CASE WHEN spine.bin_index = 9 THEN ']' ELSE ')' END) AS bin,
+       round(coalesce(mean_pred, 0), 9) AS mean_pred, round(coalesce(empirical_pos_rate, 0), 9) AS empirical_pos_rate,
+       CAST(coalesce(cnt, 0) AS BIGINT) AS count
+FROM spine LEFT JOIN cb ON spine.bin_index = cb.bin_index""")
+def calibration_best_model(spark, sf):
+    from skewscope.operators import calibration as calib
+    best = select.select_best(_valid_metrics(spark, sf)).first()["best_model"]
+    valid = scored_models(spark, sf, extra=("split",)).where((F.col("split") == "valid") & (F.col("model") == best))
+    return rounded(calib.calibration_table(valid, "y", "p1", 10, group_cols=["model"]))

@@ -143,3 +143,19 @@ SELECT o_orderkey, label FROM k, LATERAL (SELECT unnest(generate_series(1, copie
 def oversample(spark, sf):
     o = labelled_orders(spark, sf)
     return resample.oversample(o, "label", seed=42, method="hash", key_col="o_orderkey").select("o_orderkey", "label")
+
+
+@register("report_split_table", SUMMARY_SQL + """
+SELECT upper(substr(split, 1, 1)) || substr(split, 2) AS split, rows, positive, negative,
+       round(pf, 9) AS positive_fraction, split_order FROM ss""")
+def report_split_table(spark, sf):
+    from skewscope.operators import report
+    return rounded(report.report_split_table(balance.split_summary(split_lineitem(spark, sf), "split", "label")))
+
+
+@register("fraction_sample", f"""
+SELECT l_orderkey, l_linenumber FROM lineitem
+WHERE {U.format(k="CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)")} < 0.25""")
+def fraction_sample(spark, sf):
+    li = table(spark, sf, "lineitem").withColumn("row_key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
+    return splits.fraction_sample(li, 0.25, 42, "hash", "row_key").select("l_orderkey", "l_linenumber")

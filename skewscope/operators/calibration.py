@@ -27,20 +27,23 @@ def calibration_table(df: DataFrame, label_col: str = "label", score_col: str =
     """One row per bin (all bins, empty ones as 0): bin_index, bin, mean_pred,
     empirical_pos_rate, count. Scores below 0 or null fall in no bin."""
     group_cols = list(group_cols)
-    agg = (df.select(*group_cols, bin_index(score_col, bins).alias("bin_index"), score_col, label_col)
-           .where(F.col("bin_index").between(0, bins - 1))
+    b = bin_index(score_col, bins)
+    # One pass: rows outside every bin keep a null bin, so their groups still
+    # appear (and get all-empty bins) without a second scan of the input.
+    agg = (df.select(*group_cols, F.when(b.between(0, bins - 1), b).alias("bin_index"), score_col, label_col)
            .groupBy(*group_cols, "bin_index")
            .agg(F.avg(score_col).alias("mean_pred"),
                 F.avg(F.col(label_col).cast("double")).alias("empirical_pos_rate"),
                 F.count(F.lit(1)).alias("count")))
-    spark = df.sparkSession
-    spine = spark.range(bins).select(F.col("id").cast("int").alias("bin_index"))
+    binned = agg.where(F.col("bin_index").isNotNull())
     if group_cols:
-        groups = df.select(*group_cols).distinct()
         # groups x bins rows, made by exploding the fixed bin range per group.
-        spine = groups.select(*group_cols, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin_index"))
-    # agg holds at most groups x bins rows (bins is a small parameter).
-    out = spine.join(agg, on=[*group_cols, "bin_index"], how="left")
+        spine = agg.select(*group_cols).distinct().select(
+            *group_cols, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin_index"))
+    else:
+        spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin_index"))
+    # binned holds at most groups x bins rows (bins is a small parameter).
+    out = spine.join(binned, on=[*group_cols, "bin_index"], how="left")
     return out.select(
         *group_cols, "bin_index", bin_label(F.col("bin_index"), bins).alias("bin"),
         F.coalesce("mean_pred", F.lit(0.0)).alias("mean_pred"),
