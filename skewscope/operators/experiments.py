@@ -62,10 +62,17 @@ def strategy_views(train: DataFrame, label_col: str, key_col: str | None, seed:
 def strategy_grid(train: DataFrame, valid: DataFrame, label_col: str = "label", features_col: str = "features",
                   key_col: str | None = None, families: Sequence[str] = ("lr", "rf"),
                   strategies: Sequence[str] = STRATEGIES, policy: str = "mcc", seed: int = 42,
-                  method: str = "hash", rf_params: dict | None = None, lr_params: dict | None = None) -> GridResult:
-    """Fit every (family, remedy) pair on ``train`` and evaluate all on ``valid`` at once."""
-    train = materialize(train.select(*[c for c in (key_col, label_col, features_col) if c]))
-    valid = materialize(valid.select(label_col, features_col))
+                  method: str = "hash", rf_params: dict | None = None, lr_params: dict | None = None,
+                  materialized: bool = False) -> GridResult:
+    """Fit every (family, remedy) pair on ``train`` and evaluate all on ``valid`` at once.
+
+    ``materialized=True`` says both frames already read a written table (as
+    from ``plans.study.prepare``), so they are not written again.
+    """
+    train = train.select(*[c for c in (key_col, label_col, features_col) if c])
+    valid = valid.select(label_col, features_col)
+    if not materialized:
+        train, valid = materialize(train), materialize(valid)
     n_pos, n_neg = class_counts(train, label_col)
     pw = (n_neg / n_pos) if n_pos else 1.0
     views = strategy_views(train, label_col, key_col, seed, method, pw)

@@ -73,7 +73,7 @@ def run_study(data: PreparedData, features_col: str = "features", key_col: str |
     overall = balance.overall_balance(data.frame, "label")
     summary = balance.split_summary(data.frame, "split", "label")
     grid = experiments.strategy_grid(data.train, data.valid, "label", features_col, key_col=key_col,
-                                     families=families, policy=policy, rf_params=rf_params)
+                                     families=families, policy=policy, rf_params=rf_params, materialized=True)
     best = select.select_best(grid.metrics)
     best_name = best.first()["best_model"]
     fitted = grid.fitted[best_name]
