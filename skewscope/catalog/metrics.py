@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from skewscope.catalog._registry import register, rounded
 from skewscope.catalog.fixtures import MODEL_SCORES, model_scores_sql, scored_lineitem, scored_models
@@ -190,12 +189,7 @@ SELECT model, round(threshold, 9) AS threshold, round(tp * 1e0 / cn, 9) AS preci
 FROM tt""")
 def curves_by_model(spark, sf):
     table = curves.threshold_table(scored_models(spark, sf), "y", "p1", ["model"])
-    pr = curves.pr_points(table, ["model"])
-    d = lambda c: F.col(c).cast("double")
-    roc = table.select("model", "threshold",
-                       (d("fp") / F.greatest(F.col("total_n") - F.col("total_pos"), F.lit(1))).alias("fpr"),
-                       (d("tp") / F.greatest(F.col("total_pos"), F.lit(1))).alias("tpr"))
-    return rounded(pr.join(roc, on=["model", "threshold"]))
+    return rounded(curves.curve_points(table, ["model"]))
 
 
 assert set(MODEL_SCORES)  # fixture is shared with the selection queries

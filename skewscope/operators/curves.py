@@ -90,6 +90,17 @@ def roc_points(table: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
     return pts.unionByName(ends)
 
 
+def curve_points(table: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """(group, threshold, precision, recall, fpr, tpr) in one projection of the table."""
+    d = lambda c: F.col(c).cast("double")
+    return table.select(
+        *group_cols, "threshold",
+        (d("tp") / (d("tp") + d("fp"))).alias("precision"),
+        rates.safe_div(d("tp"), d("total_pos")).alias("recall"),
+        (d("fp") / F.greatest(_neg_total(), F.lit(1)).cast("double")).alias("fpr"),
+        (d("tp") / F.greatest(F.col("total_pos"), F.lit(1)).cast("double")).alias("tpr"))
+
+
 def _area_terms() -> tuple[Column, Column]:
     d = lambda c: F.col(c).cast("double")
     p, neg = d("total_pos"), _neg_total().cast("double")

@@ -50,19 +50,25 @@ def split_frames(df: DataFrame, split_col: str = "split") -> dict[str, DataFrame
     return {s: df.where(F.col(split_col) == s).drop(split_col) for s in ("train", "valid", "test")}
 
 
+def _split_code(split_col: str) -> Column:
+    # Int code so min/max run in the hash aggregate (string min/max would sort).
+    return F.array_position(F.array(*[F.lit(x) for x in ("train", "valid", "test")]), F.col(split_col)).cast("int")
+
+
 def leakage(df: DataFrame, key_col: str, split_col: str = "split") -> DataFrame:
     """Groups seen in more than one split (should be empty).
 
     min/max aggregate partially on the map side, so a group holding a third of
     the rows is a handful of rows by the time it is shuffled.
     """
-    per = df.groupBy(key_col).agg(F.min(split_col).alias("first_split"), F.max(split_col).alias("last_split"))
+    per = df.groupBy(key_col).agg(F.min(_split_code(split_col)).alias("first_split"),
+                                  F.max(_split_code(split_col)).alias("last_split"))
     return per.where(F.col("first_split") != F.col("last_split"))
 
 
 def leakage_summary(df: DataFrame, key_col: str, split_col: str = "split") -> DataFrame:
     """One row: groups, leaking_groups."""
-    per = df.groupBy(key_col).agg(F.min(split_col).alias("a"), F.max(split_col).alias("b"))
+    per = df.groupBy(key_col).agg(F.min(_split_code(split_col)).alias("a"), F.max(_split_code(split_col)).alias("b"))
     return per.agg(F.count(F.lit(1)).alias("groups"),
                    F.sum(F.when(F.col("a") != F.col("b"), 1).otherwise(0)).cast("long").alias("leaking_groups"))
 

@@ -43,8 +43,16 @@ def stage_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
 
 
 def drop_missing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Drop rows where any of ``cols`` is null."""
-    return df.dropna(subset=list(cols))
+    """Drop rows where any of ``cols`` is null.
+
+    Written as IS NOT NULL predicates (same result as ``dropna``) so Catalyst
+    pushes them into the scan and can turn an outer join below into an inner one.
+    """
+    cond = None
+    for c in cols:
+        term = F.col(c).isNotNull()
+        cond = term if cond is None else cond & term
+    return df if cond is None else df.where(cond)
 
 
 def cast_score(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
