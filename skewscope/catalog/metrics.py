@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 from skewscope.catalog._registry import register, rounded
-from skewscope.catalog.fixtures import MODEL_SCORES, model_scores_sql, scored_lineitem, scored_models
+from skewscope.catalog.fixtures import model_scores_sql, scored_lineitem, scored_models
 from skewscope.functions.scoring import apply_threshold as threshold_col
 from skewscope.operators import calibration as calib
 from skewscope.operators import curves, metrics
@@ -191,5 +191,3 @@ def curves_by_model(spark, sf):
     table = curves.threshold_table(scored_models(spark, sf), "y", "p1", ["model"])
     return rounded(curves.curve_points(table, ["model"]))
 
-
-assert set(MODEL_SCORES)  # fixture is shared with the selection queries

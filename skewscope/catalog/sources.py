@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from skewscope.catalog._registry import register, rounded
+from skewscope.catalog._registry import register
 from skewscope.operators import features
 from skewscope.sources import batches
 from skewscope.sources.tables import table
@@ -85,5 +85,3 @@ def bits_to_features(spark, sf):
     return df.select("vec_id", F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("ones"),
                      F.size(arr).alias("width"))
 
-
-assert rounded  # shared helper kept importable for sibling modules
