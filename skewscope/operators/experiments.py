@@ -36,6 +36,22 @@ def model_order(col: str = "model") -> F.Column:
     return expr.cast("int")
 
 
+def _fit_all(jobs, parallelism: int) -> dict:
+    """{name: (fitted, seconds)} for (name, estimator, frame) jobs, ``parallelism`` at a time."""
+    if parallelism <= 1:
+        return {name: models.fit_timed(est, df) for name, est, df in jobs}
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+
+    def run(job):
+        name, est, df = job
+        return name, models.fit_timed(est, df)
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return dict(pool.map(inheritable_thread_target(run), jobs))
+
+
 @dataclass
 class GridResult:
     metrics: DataFrame                       # one 15-field record per model
@@ -63,11 +79,13 @@ def strategy_grid(train: DataFrame, valid: DataFrame, label_col: str = "label",
                   key_col: str | None = None, families: Sequence[str] = ("lr", "rf"),
                   strategies: Sequence[str] = STRATEGIES, policy: str = "mcc", seed: int = 42,
                   method: str = "hash", rf_params: dict | None = None, lr_params: dict | None = None,
-                  materialized: bool = False) -> GridResult:
+                  materialized: bool = False, parallelism: int = 1) -> GridResult:
     """Fit every (family, remedy) pair on ``train`` and evaluate all on ``valid`` at once.
 
     ``materialized=True`` says both frames already read a written table (as
     from ``plans.study.prepare``), so they are not written again.
+    ``parallelism`` > 1 submits that many fits at once (as MLlib's tuning
+    does); each fit_time_s is then wall time under shared load.
     """
     train = train.select(*[c for c in (key_col, label_col, features_col) if c])
     valid = valid.select(label_col, features_col)
@@ -76,17 +94,20 @@ def strategy_grid(train: DataFrame, valid: DataFrame, label_col: str = "label",
     n_pos, n_neg = class_counts(train, label_col)
     pw = (n_neg / n_pos) if n_pos else 1.0
     views = strategy_views(train, label_col, key_col, seed, method, pw)
-    fitted, times, scored = {}, [], None
+    jobs = []
     for strategy in strategies:
         for family in families:
             params = (rf_params if family == "rf" else lr_params) or {}
             weight = "weight" if strategy == "weighted" else None
             est = models.estimator(family, features_col, label_col, weight, **params)
-            name = model_key(family, strategy)
-            fitted[name], secs = models.fit_timed(est, views[strategy])
-            times.append((name, round(secs, 2)))
-            s = models.score(fitted[name], valid, label_col, model_name=name)
-            scored = s if scored is None else scored.unionByName(s)
+            jobs.append((model_key(family, strategy), est, views[strategy]))
+    results = _fit_all(jobs, parallelism)
+    fitted, times, scored = {}, [], None
+    for name, _, _ in jobs:
+        fitted[name], secs = results[name]
+        times.append((name, round(secs, 2)))
+        s = models.score(fitted[name], valid, label_col, model_name=name)
+        scored = s if scored is None else scored.unionByName(s)
     rec = metrics.evaluate_scores(scored, label_col, "p1", threshold=0.5, group_cols=["model"], policy=policy)
     spark = train.sparkSession
     # One row per fitted model: a bounded, driver-made table.

@@ -69,11 +69,12 @@ class StudyResult:
 
 def run_study(data: PreparedData, features_col: str = "features", key_col: str | None = None,
               families: Sequence[str] = ("lr", "rf"), bins: int = 10, policy: str = "mcc",
-              rf_params: dict | None = None) -> StudyResult:
+              rf_params: dict | None = None, parallelism: int = 4) -> StudyResult:
     overall = balance.overall_balance(data.frame, "label")
     summary = balance.split_summary(data.frame, "split", "label")
     grid = experiments.strategy_grid(data.train, data.valid, "label", features_col, key_col=key_col,
-                                     families=families, policy=policy, rf_params=rf_params, materialized=True)
+                                     families=families, policy=policy, rf_params=rf_params, materialized=True,
+                                     parallelism=parallelism)
     best = select.select_best(grid.metrics)
     best_name = best.first()["best_model"]
     fitted = grid.fitted[best_name]

@@ -49,3 +49,13 @@ def test_entry_contract(spark):
     df = e.entry(spark)
     assert df.count() == 1
     assert "PR_AUC" in df.columns and "applied_threshold" in df.columns
+
+
+def test_parallel_grid_matches_sequential(spark):
+    s = embedding_splits(spark, SF001)
+    kw = dict(rf_params={"num_trees": 3, "max_depth": 3}, lr_params={"max_iter": 5}, key_col="key")
+    seq = {r["model"]: r for r in experiments.strategy_grid(s["train"], s["valid"], **kw).metrics.collect()}
+    par = {r["model"]: r for r in experiments.strategy_grid(s["train"], s["valid"], parallelism=4, **kw).metrics.collect()}
+    assert set(seq) == set(par)
+    for k in seq:
+        assert seq[k]["PR_AUC"] == par[k]["PR_AUC"] and seq[k]["TP"] == par[k]["TP"]
