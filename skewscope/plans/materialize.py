@@ -13,14 +13,30 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from skewscope.session import ensure_checkpoint_dir
 
+_WRITTEN: list[str] = []
+
 
 def table_path(df: DataFrame) -> str:
     root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    return f"{root}/skewscope-tables/{uuid.uuid4().hex}"
+    path = f"{root}/skewscope-tables/{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def drop_tables(spark: SparkSession) -> int:
+    """Delete every table this process materialised; frames reading them become invalid."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        if path.getFileSystem(conf).delete(path, True):
+            n += 1
+    return n
 
 
 def materialize(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:

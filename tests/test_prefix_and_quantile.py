@@ -83,3 +83,12 @@ def test_null_score_gets_label_zero(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (None,)], "s double")
     out = labels.label_by_quantile(df, "s", threshold=1.5).orderBy("s").collect()
     assert [r["label"] for r in out] == [0, 0, 1]
+
+
+def test_materialize_round_trip_and_drop(spark):
+    from skewscope.plans.materialize import drop_tables, materialize
+    df = spark.range(100).select("id", (F.col("id") % 3).cast("string").alias("part"))
+    m = materialize(df, partition_by=["part"])
+    assert m.columns == ["id", "part"] and m.count() == 100
+    assert m.where("part = '1'").count() == 33
+    assert drop_tables(spark) >= 1
