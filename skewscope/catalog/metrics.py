@@ -170,7 +170,7 @@ k AS (SELECT PR_AUC, ROC_AUC, TP, FP, nt - np - FP AS TN, np - TP AS FN FROM a)"
 
 @register("evaluate_split", _split_record_sql("0.5") + """
 SELECT round(PR_AUC, 9) AS PR_AUC, round(ROC_AUC, 9) AS ROC_AUC,""" + RATES_SQL + """,
-       TP, FP, TN, FN, 0.5 AS applied_threshold FROM k""")
+       TP, FP, TN, FN, CAST(0.5 AS DOUBLE) AS applied_threshold FROM k""")
 def evaluate_split(spark, sf):
     return rounded(metrics.evaluate_scores(scored_lineitem(spark, sf), "y", "p1", threshold=0.5))
 

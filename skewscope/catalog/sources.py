@@ -75,7 +75,7 @@ def assemble_features(spark, sf):
 
 @register("bits_to_features", """
 SELECT vec_id, CAST(list_sum(list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END)) AS DOUBLE) AS ones,
-       len(embedding) AS width
+       CAST(len(embedding) AS INTEGER) AS width
 FROM embeddings""")
 def bits_to_features(spark, sf):
     emb = table(spark, sf, "embeddings")
