@@ -102,3 +102,77 @@ def test_json_and_csv_round_trip(spark, tmp_path, valid_metrics):
 
 def test_metrics_csv_skips_empty(spark, tmp_path, valid_metrics):
     assert writers.write_metrics_csv(valid_metrics.limit(0), str(tmp_path / "m")) is False
+
+
+# Published artefacts, as written by the reference (fixed values for golden tests).
+CALIBRATION_CSV = """bin,mean_pred,empirical_pos_rate,count
+"[0.0,0.1)",0.01026193225894989,0.011491244949009044,129925
+"[0.1,0.2)",0.1444259970282777,0.15032302722658053,8668
+"[0.2,0.3)",0.24723956924408824,0.2624741103370363,5311
+"[0.3,0.4)",0.34815570141141955,0.3567554240631164,4056
+"[0.4,0.5)",0.44830715431229645,0.43997750913691314,3557
+"[0.5,0.6)",0.549796793268358,0.5349628712871287,3232
+"[0.6,0.7)",0.6510040177215604,0.6324453756360371,3341
+"[0.7,0.8)",0.7509822968305331,0.7367717797969,3742
+"[0.8,0.9)",0.8534973945136451,0.8325809617271835,5095
+"[0.9,1.0]",0.9758335635337205,0.9760936895083236,20664
+"""
+SCALING_CSV = """model,train_rows,train_time_s,pr_auc
+logistic_regression_weighted,32473,5.4,0.8832
+random_forest_weighted,32473,5.43,0.7485
+logistic_regression_weighted,161496,5.27,0.9184
+random_forest_weighted,161496,13.62,0.751
+logistic_regression_weighted,323863,5.3,0.9227
+random_forest_weighted,323863,24.68,0.7448
+"""
+
+
+def _csv_frame(spark, text, schema):
+    import csv
+    import io
+    rows = list(csv.reader(io.StringIO(text)))[1:]
+    fields = [x.split(":") for x in schema.split(",")]
+    raw = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c, _ in fields))
+    return raw.selectExpr(*[f"CAST(`{c}` AS {t}) AS `{c}`" for c, t in fields])
+
+
+def _written(folder):
+    return "".join(p.read_text() for p in sorted(Path(folder).glob("part-*")))
+
+
+def test_calibration_csv_golden(spark, tmp_path):
+    from pyspark.sql import functions as F
+    df = _csv_frame(spark, CALIBRATION_CSV, "bin:string,mean_pred:double,empirical_pos_rate:double,count:bigint")
+    df = df.withColumn("bin_index", F.monotonically_increasing_id())
+    writers.write_calibration_csv(df, str(tmp_path / "cal"))
+    assert _written(tmp_path / "cal") == CALIBRATION_CSV
+    assert sum(r["count"] for r in df.collect()) == 187591
+
+
+def test_scaling_csv_golden(spark, tmp_path):
+    df = _csv_frame(spark, SCALING_CSV, "model:string,train_rows:bigint,train_time_s:double,pr_auc:double")
+    writers.write_scaling_csv(df, str(tmp_path / "sc"))
+    assert _written(tmp_path / "sc") == SCALING_CSV
+
+
+METRICS_VALID_CSV = """model,PR_AUC,ROC_AUC,precision,recall,f1,balanced_accuracy,MCC,fit_time_s,opt_threshold_policy,opt_threshold,opt_precision,opt_recall,opt_f1,opt_balanced_accuracy,opt_MCC
+logistic_regression,0.9256670758185347,0.9764309383522523,0.8596496091367745,0.8115301075550205,0.8348970883196252,0.8888181137997357,0.7946896197399437,7.44,mcc,0.4681962101067738,0.8488284406140587,0.8247716745610133,0.8366271584619672,0.8935979300920318,0.7957144453857895
+random_forest,0.7644660758031476,0.9090836852810004,0.9678391959798995,0.1764059351529584,0.29841958475364116,0.5874531918397576,0.37256654575506737,37.63,mcc,0.3168764196398154,0.7481301731875145,0.5889618716143721,0.6590722736324236,0.7691191020699557,0.5907606066287655
+"""
+METRICS_TEST_CSV = """model,PR_AUC,ROC_AUC,precision,recall,f1,balanced_accuracy,MCC,TP,FP,TN,FN,applied_threshold
+logistic_regression,0.9230462591237937,0.977138909451667,0.8436524234155672,0.8262211080195047,0.8348457855472664,0.8946833940071,0.795674166221368,29991,5558,145252,6308,0.4681962101067738
+"""
+
+
+def test_metrics_csv_golden(spark, tmp_path):
+    from skewscope.operators.evaluate import TEST_FIELDS, VALID_FIELDS
+    types = {"model": "string", "opt_threshold_policy": "string", "TP": "bigint", "FP": "bigint", "TN": "bigint",
+             "FN": "bigint"}
+    v = _csv_frame(spark, METRICS_VALID_CSV, ",".join(f"{c}:{types.get(c, 'double')}" for c in VALID_FIELDS))
+    writers.write_metrics_csv(v.withColumn("model_order", v["PR_AUC"] * 0), str(tmp_path / "v"))
+    assert _written(tmp_path / "v") == METRICS_VALID_CSV
+    t = _csv_frame(spark, METRICS_TEST_CSV, ",".join(f"{c}:{types.get(c, 'double')}" for c in TEST_FIELDS))
+    writers.write_metrics_csv(t, str(tmp_path / "t"), test=True)
+    assert _written(tmp_path / "t") == METRICS_TEST_CSV
+    with pytest.raises(ValueError):
+        writers.write_metrics_csv(v.withColumn("surprise", v["PR_AUC"]), str(tmp_path / "x"))
