@@ -10,7 +10,7 @@ SCHEMA = "SMILES string, SA_score string, scaffold string"
 
 def _write_batches(folder, n_files=3, rows=200):
     for f in range(n_files):
-        with gzip.open(folder / f"moses_fp_batch_{f}.csv.gz", "wt") as fh:
+        with gzip.open(folder / f"batch_{f}.csv.gz", "wt") as fh:
             fh.write("SMILES,SA_score,scaffold\n")
             for i in range(rows):
                 k = f * rows + i
