@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from skewscope.functions.hashing import unit_draw
 from skewscope.operators.balance import class_counts
 
+# Largest number of copies one row expands to inside a single task.
+COPY_CHUNK = 10_000
+
 
 def class_weights(df: DataFrame, label_col: str = "label", weight_col: str = "weight",
                   pos_weight: float | None = None) -> DataFrame:
@@ -54,7 +57,8 @@ def oversample(df: DataFrame, label_col: str = "label", seed: int = 42, method:
     """All majority rows plus minority rows replicated to about n_maj in total.
 
     Hash method: a minority row appears floor(r + u) times, r = n_maj/n_min, u
-    its draw, via ``explode(sequence(...))``. Without minority rows the frame is
+    its draw, via ``explode(sequence(...))``; copy counts above ``COPY_CHUNK``
+    are exploded in spread-out chunks. Without minority rows the frame is
     returned unchanged.
     """
     sides = _sides(df, label_col)
@@ -68,7 +72,17 @@ def oversample(df: DataFrame, label_col: str = "label", seed: int = 42, method:
         return df.where(~is_min).unionByName(extra)
     if key_col is None:
         raise ValueError("hash sampling needs key_col")
-    copies = F.when(is_min, F.floor(F.lit(ratio) + unit_draw(F.col(key_col), seed))).otherwise(F.lit(1)).cast("int")
+    copies = F.when(is_min, F.floor(F.lit(ratio) + unit_draw(F.col(key_col), seed))).otherwise(F.lit(1)).cast("long")
     cols = df.columns
     rep = df.withColumn("_copies", copies).where(F.col("_copies") >= 1)
-    return rep.select(*cols, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).select(*cols)
+    if ratio + 1 <= COPY_CHUNK:
+        # Every row makes at most COPY_CHUNK copies: one narrow explode, no shuffle.
+        return rep.select(*cols, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_c")).select(*cols)
+    # A tiny minority means a huge copy count per row: cut it into chunks of at
+    # most COPY_CHUNK, spread the chunks over tasks, then explode each chunk, so
+    # no task builds or emits one row's copies alone.
+    n_chunks = F.ceil(F.col("_copies") / F.lit(COPY_CHUNK)).cast("int")
+    chunks = rep.select(*cols, "_copies", F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("_chunk"))
+    size = F.least(F.lit(COPY_CHUNK), F.col("_copies") - F.col("_chunk") * F.lit(COPY_CHUNK)).cast("int")
+    spread = chunks.repartition(F.xxhash64(*[F.col(c) for c in cols], F.col("_chunk")))
+    return spread.select(*cols, F.explode(F.sequence(F.lit(1), size)).alias("_c")).select(*cols)

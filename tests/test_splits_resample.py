@@ -103,3 +103,15 @@ def test_split_summary_reports_empty_splits(spark):
     rows = {r["split"]: r for r in balance.split_summary(df).collect()}
     assert rows["test"]["rows"] == 0 and rows["test"]["positive_fraction"] == 0.0
     assert rows["train"]["positive_fraction"] == 0.5
+
+
+def test_oversample_huge_ratio_is_chunked(spark, monkeypatch):
+    monkeypatch.setattr(resample, "COPY_CHUNK", 100)
+    df = spark.range(2500).select(F.col("id").cast("string").alias("k"),
+                                  F.when(F.col("id") < 2, 1).otherwise(0).alias("label"))
+    out = resample.oversample(df, "label", key_col="k")
+    per = {r["k"]: r["count"] for r in out.where("label = 1").groupBy("k").count().collect()}
+    draws = {r["k"]: r["u"] for r in df.where("label = 1").select("k", unit_draw("k", 42).alias("u")).collect()}
+    for k, u in draws.items():
+        assert per[k] == int(1249.0 + u)  # floor(ratio + u), ratio = 2498 / 2
+    assert out.where("label = 0").count() == 2498
