@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from skewscope.operators.evaluate import TEST_FIELDS, VALID_FIELDS
 from skewscope.sinks.text import SPLIT_STATS_HEADER, split_stats_lines
@@ -35,6 +36,37 @@ def write_json(df: DataFrame, path: str, fields: Sequence[str] | None = None, si
     (out.coalesce(1) if single_file else out).write.mode("overwrite").json(path)
 
 
+# Keyed JSON folds a whole result table into one object: only for small tables.
+KEYED_JSON_ROW_LIMIT = 10_000
+
+
+def keyed_json(df: DataFrame, key_col: str, order_col: str | None = None) -> DataFrame:
+    """One row, column ``json``: {key: {other columns...}} (e.g. per split or per model).
+
+    Keys follow ``order_col`` (dropped from the values) when given, else key order.
+    """
+    n = df.count()
+    if n > KEYED_JSON_ROW_LIMIT:
+        raise ValueError(f"keyed JSON is for result tables; got {n} rows")
+    rest = [c for c in df.columns if c not in (key_col, order_col)]
+    order = F.col(order_col) if order_col else F.col(key_col).cast("string")
+    entries = F.sort_array(F.collect_list(F.struct(order.alias("o"), F.col(key_col).cast("string").alias("k"),
+                                                   F.struct(*rest).alias("v"))))
+    kv = F.transform(entries, lambda e: F.struct(e["k"].alias("k"), e["v"].alias("v")))
+    return df.agg(F.to_json(F.map_from_entries(kv)).alias("json"))
+
+
+def test_record_json(record: DataFrame, model_col: str = "model") -> DataFrame:
+    """{"best_model": ..., "metrics": {...}} from the one-row test record."""
+    rest = [c for c in record.columns if c != model_col]
+    return record.select(F.to_json(F.struct(F.col(model_col).alias("best_model"),
+                                            F.struct(*rest).alias("metrics"))).alias("json"))
+
+
+def write_json_text(json_frame: DataFrame, path: str) -> None:
+    json_frame.coalesce(1).write.mode("overwrite").text(path)
+
+
 def write_csv(df: DataFrame, path: str, fields: Sequence[str] | None = None, strict: bool = False,
               sep: str = ",", single_file: bool = True) -> None:
     out = _fixed(df, fields, strict)

@@ -176,3 +176,26 @@ def test_metrics_csv_golden(spark, tmp_path):
     assert _written(tmp_path / "t") == METRICS_TEST_CSV
     with pytest.raises(ValueError):
         writers.write_metrics_csv(v.withColumn("surprise", v["PR_AUC"]), str(tmp_path / "x"))
+
+
+BALANCE_BY_SPLIT = {
+    "train": {"rows": 501090, "positive": 103489, "negative": 397601,
+              "positive_fraction": 0.2065277694625716, "negative_fraction": 0.7934722305374284},
+    "valid": {"rows": 187591, "positive": 38213, "negative": 149378,
+              "positive_fraction": 0.2037038024212249, "negative_fraction": 0.7962961975787751},
+    "test": {"rows": 187109, "positive": 36299, "negative": 150810,
+             "positive_fraction": 0.19399921970616057, "negative_fraction": 0.8060007802938394},
+}
+
+
+def test_keyed_json_golden(spark, tmp_path):
+    summary = _summary(spark).repartition(3)
+    writers.write_json_text(writers.keyed_json(summary, "split", "split_order"), str(tmp_path / "b"))
+    got = json.loads(_written(tmp_path / "b"))
+    assert list(got) == ["train", "valid", "test"]
+    for split, vals in BALANCE_BY_SPLIT.items():
+        for k, v in vals.items():
+            assert got[split][k] == pytest.approx(v, rel=1e-15)
+    rec = spark.createDataFrame([("logistic_regression", 0.9230462591237937, 29991)], "model string, PR_AUC double, TP long")
+    out = json.loads(writers.test_record_json(rec).first()["json"])
+    assert out == {"best_model": "logistic_regression", "metrics": {"PR_AUC": 0.9230462591237937, "TP": 29991}}
