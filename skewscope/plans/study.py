@@ -13,8 +13,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewscope.operators import balance, calibration, experiments, labels, metrics, models, resample, select, splits
+from skewscope.operators import (balance, calibration, evaluate, experiments, features, labels, metrics, models,
+                                 resample, select, splits)
 from skewscope.plans.materialize import materialize
+from skewscope.sinks import writers
+from skewscope.sources import batches
 
 
 @dataclass
@@ -69,12 +72,16 @@ class StudyResult:
 
 def run_study(data: PreparedData, features_col: str = "features", key_col: str | None = None,
               families: Sequence[str] = ("lr", "rf"), bins: int = 10, policy: str = "mcc",
-              rf_params: dict | None = None, parallelism: int = 4) -> StudyResult:
+              rf_params: dict | None = None, parallelism: int = 4, lr_params: dict | None = None) -> StudyResult:
     overall = balance.overall_balance(data.frame, "label")
-    summary = balance.split_summary(data.frame, "split", "label")
+    # Split statistics describe the frames the models use (train after any cap).
+    used = (data.train.select("label", F.lit("train").alias("split"))
+            .unionByName(data.valid.select("label", F.lit("valid").alias("split")))
+            .unionByName(data.test.select("label", F.lit("test").alias("split"))))
+    summary = balance.split_summary(used, "split", "label")
     grid = experiments.strategy_grid(data.train, data.valid, "label", features_col, key_col=key_col,
                                      families=families, policy=policy, rf_params=rf_params, materialized=True,
-                                     parallelism=parallelism)
+                                     parallelism=parallelism, lr_params=lr_params)
     best = select.select_best(grid.metrics)
     best_name = best.first()["best_model"]
     fitted = grid.fitted[best_name]
@@ -83,3 +90,61 @@ def run_study(data: PreparedData, features_col: str = "features", key_col: str |
     valid_best = grid.scored.where(F.col("model") == best_name)
     calib = calibration.calibration_table(valid_best, "label", "p1", bins)
     return StudyResult(overall, summary, grid, best, test_rec, calib)
+
+
+def load_batches(spark, path: str, id_col: str, score_col: str, fmt: str = "csv", schema=None,
+                 infer_schema: bool = False, min_columns: int = features.MIN_COLUMNS,
+                 width: int = features.FP_WIDTH) -> tuple[DataFrame, str]:
+    """Scan, drop rows missing id or score, cast the score, build ``features``."""
+    raw = batches.scan_batches(spark, path, fmt=fmt, schema=schema, infer_schema=infer_schema)
+    raw = batches.cast_score(batches.drop_missing(raw, [id_col, score_col]), score_col)
+    return features.detect_layout(raw, min_columns=min_columns, width=width)
+
+
+def write_outputs(out_dir: str, data: PreparedData, res: StudyResult, feature_mode: str,
+                  scaling: DataFrame | None = None) -> None:
+    """The study's artefacts as Spark-written folders under ``out_dir``."""
+    out = out_dir.rstrip("/")
+    valid = res.grid.metrics
+    writers.write_json_text(writers.keyed_json(valid.select(*evaluate.VALID_FIELDS, "model_order"), "model",
+                                               "model_order"), f"{out}/metrics_valid.json")
+    writers.write_metrics_csv(valid, f"{out}/metrics_valid.csv")
+    test = res.test_record.select(*evaluate.TEST_FIELDS)
+    writers.write_json_text(writers.test_record_json(test), f"{out}/metrics_test.json")
+    writers.write_metrics_csv(test, f"{out}/metrics_test.csv", test=True)
+    overall = res.overall.withColumn("feature_mode", F.lit(feature_mode))
+    writers.write_json_text(overall.select(F.to_json(F.struct(*overall.columns)).alias("json")),
+                            f"{out}/class_balance_overall.json")
+    summary = res.split_summary
+    writers.write_json_text(writers.keyed_json(summary, "split", "split_order"), f"{out}/class_balance_by_split.json")
+    writers.write_split_stats(summary, f"{out}/split_stats.txt")
+    writers.write_calibration_csv(res.calibration, f"{out}/calibration_valid.csv")
+    if scaling is not None and not scaling.isEmpty():
+        writers.write_scaling_csv(scaling, f"{out}/scaling_results.csv")
+        writers.write_json(scaling, f"{out}/scaling_results.json")
+
+
+def run_from_batches(spark, path: str, out_dir: str, id_col: str = "SMILES", score_col: str = "SA_score",
+                     group_col: str | None = None, p: float = 0.8, quantile: str = "approx",
+                     cap: int | None = 500_000, bins: int = 10,
+                     scaling_sizes: Sequence[int] = (100_000, 500_000, 1_000_000), fmt: str = "csv",
+                     schema=None, infer_schema: bool = False, min_columns: int = features.MIN_COLUMNS,
+                     width: int = features.FP_WIDTH, parallelism: int = 1, rf_params: dict | None = None,
+                     lr_params: dict | None = None) -> StudyResult:
+    """Batches in, every artefact out: the whole imbalance study as Spark jobs.
+
+    Groups come from ``group_col`` (empty or null values fall back to the
+    record id); without it every record is its own group.
+    """
+    df, mode = load_batches(spark, path, id_col, score_col, fmt, schema, infer_schema, min_columns, width)
+    if group_col:
+        df = splits.group_key(df, group_col, id_col, out="_group")
+    else:
+        df = df.withColumn("_group", F.col(id_col).cast("string"))
+    data = prepare(df, score_col, "_group", id_col, p=p, quantile=quantile, cap=cap)
+    res = run_study(data, key_col=id_col, bins=bins, rf_params=rf_params, parallelism=parallelism,
+                    lr_params=lr_params)
+    scaling = experiments.scaling_study(data.train, data.valid, list(scaling_sizes), "label", "features",
+                                        key_col=id_col, rf_params=rf_params, lr_params=lr_params)
+    write_outputs(out_dir, data, res, mode, scaling)
+    return res
