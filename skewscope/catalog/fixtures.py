@@ -106,22 +106,6 @@ def document_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINEITEM_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber", "is_returned", "is_open"]
 
 
-def lineitem_model_splits(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """lineitem as a model table: price label at p=0.8, six numeric features, order-key split."""
-    from pyspark.ml.feature import VectorAssembler
-
-    from skewscope.operators import splits
-
-    li = labelled_lineitem(spark, sf_dir).select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("key"),
-        F.col("l_orderkey").cast("string").alias("group"), "label",
-        "l_quantity", "l_discount", "l_tax", F.col("l_linenumber").cast("double").alias("l_linenumber"),
-        (F.col("l_returnflag") == "R").cast("double").alias("is_returned"),
-        (F.col("l_linestatus") == "O").cast("double").alias("is_open"))
-    li = VectorAssembler(inputCols=LINEITEM_FEATURES, outputCol="features").transform(li)
-    return splits.split_frames(splits.assign_split(li, "group", method="md5"))
-
-
 def document_study_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as a study table: score n_chars, features word and line counts of the
     whole text, group = md5 of the text (exact copies share a group)."""

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skewscope.operators import metrics, models
-from skewscope.plans.materialize import materialize
 
 
 def evaluate_split(fitted, df: DataFrame, label_col: str = "label", threshold: float = 0.5,
@@ -37,8 +36,3 @@ TEST_FIELDS = ["model", "PR_AUC", "ROC_AUC", "precision", "recall", "f1", "balan
 def order_validation_record(rec: DataFrame) -> DataFrame:
     extra = [c for c in rec.columns if c not in VALID_FIELDS]
     return rec.select(*VALID_FIELDS, *extra)
-
-
-def cached_split(df: DataFrame) -> DataFrame:
-    """Materialise a split that several fits and scorings read."""
-    return materialize(df)

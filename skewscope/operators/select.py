@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,7 +76,3 @@ def scaling_series(scaling: DataFrame) -> DataFrame:
     # Windows per model: one partition per model key, each holding a few sizes.
     w = Window.partitionBy("model").orderBy("train_rows")
     return df.withColumn("series_pos", F.row_number().over(w)).orderBy("model", "train_rows")
-
-
-def metric_names() -> Sequence[str]:
-    return ["PR_AUC", "ROC_AUC", "precision", "recall", "f1", "balanced_accuracy", "MCC"]
