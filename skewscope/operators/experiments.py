@@ -48,8 +48,9 @@ def _fit_all(jobs, parallelism: int) -> dict:
         name, est, df = job
         return name, models.fit_timed(est, df)
 
+    spark = jobs[0][2].sparkSession if jobs else None
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        return dict(pool.map(inheritable_thread_target(run), jobs))
+        return dict(pool.map(inheritable_thread_target(spark)(run), jobs))
 
 
 @dataclass
