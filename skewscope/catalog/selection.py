@@ -149,6 +149,11 @@ SELECT model, CAST(TP + FP + TN + FN AS BIGINT) AS train_rows, round(PR_AUC, 4)
        CAST(row_number() OVER (PARTITION BY model ORDER BY TP + FP + TN + FN) AS INTEGER) AS series_pos
 FROM k""")
 def scaling_series(spark, sf):
+    out = select.scaling_series(_scaling_runs(spark, sf))
+    return out.withColumn("series_pos", F.col("series_pos").cast("int"))
+
+
+def _scaling_runs(spark, sf):
     sm = scored_models(spark, sf, keys=SCALING_MODELS, extra=("row_key",))
     u = unit_draw(F.col("row_key"), 42)
     samples = None
@@ -156,10 +161,8 @@ def scaling_series(spark, sf):
         part = sm.where(u < F.lit(f)).withColumn("fraction", F.lit(f))
         samples = part if samples is None else samples.unionByName(part)
     rec = metrics.evaluate_scores(samples, "y", "p1", group_cols=["model", "fraction"])
-    runs = rec.select("model", (F.col("TP") + F.col("FP") + F.col("TN") + F.col("FN")).alias("train_rows"),
+    return rec.select("model", (F.col("TP") + F.col("FP") + F.col("TN") + F.col("FN")).alias("train_rows"),
                       F.round("PR_AUC", 4).alias("pr_auc"))
-    out = select.scaling_series(runs)
-    return out.withColumn("series_pos", F.col("series_pos").cast("int"))
 
 
 @register("calibration_best_model", METRICS_SQL + """,
@@ -180,3 +183,16 @@ def calibration_best_model(spark, sf):
     best = select.select_best(_valid_metrics(spark, sf)).first()["best_model"]
     valid = scored_models(spark, sf, extra=("split",)).where((F.col("split") == "valid") & (F.col("model") == best))
     return rounded(calib.calibration_table(valid, "y", "p1", 10, group_cols=["model"]))
+
+
+@register("report_scaling_table", f"""WITH {BASE},
+fr AS (SELECT * FROM (VALUES (0.25), (0.5), (1.0)) t(fraction)),
+sm AS (SELECT ms.model, ms.y, ms.p1, fr.fraction FROM ms, fr
+       WHERE ms.model IN ('logistic_regression_weighted', 'random_forest_weighted') AND ms.u < fr.fraction),
+""" + _record_sql("TRUE", groups="model, fraction").replace("FROM ms WHERE TRUE", "FROM sm") + """
+SELECT model, """ + NAME_SQL + """ AS display_name, CAST(TP + FP + TN + FN AS BIGINT) AS train_rows, round(PR_AUC, 4) AS pr_auc,
+       CAST(row_number() OVER (PARTITION BY model ORDER BY TP + FP + TN + FN) AS INTEGER) AS series_pos
+FROM k""")
+def report_scaling_table(spark, sf):
+    out = report.report_scaling_table(select.scaling_series(_scaling_runs(spark, sf)))
+    return out.withColumn("series_pos", F.col("series_pos").cast("int"))

@@ -26,3 +26,10 @@ def report_confusion_2x2(record: DataFrame) -> DataFrame:
     keep = [c for c in ("model",) if c in record.columns]
     return record.select(*keep, F.expr("stack(2, 'Neg', TN, FP, 'Pos', FN, TP)").alias(
         "actual", "predicted_negative", "predicted_positive"))
+
+
+def report_scaling_table(scaling: DataFrame) -> DataFrame:
+    """Scaling rows with display names (missing model = weighted LR), in run order if given."""
+    model = F.coalesce(F.col("model"), F.lit("logistic_regression_weighted"))
+    keep = [c for c in ("train_rows", "train_time_s", "pr_auc", "series_pos") if c in scaling.columns]
+    return scaling.select(model.alias("model"), display_name(model).alias("display_name"), *keep)
