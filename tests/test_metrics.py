@@ -139,3 +139,19 @@ def test_golden_calibration_labels(spark):
     golden = ["[0.0,0.1)", "[0.1,0.2)", "[0.2,0.3)", "[0.3,0.4)", "[0.4,0.5)", "[0.5,0.6)", "[0.6,0.7)",
               "[0.7,0.8)", "[0.8,0.9)", "[0.9,1.0]"]
     assert labels_ == golden
+
+
+def test_grouped_paths(spark):
+    rows = [("a", 1, 0.9), ("a", 0, 0.4), ("a", 1, 0.6), ("b", 0, 0.7), ("b", 1, 0.2), ("b", 0, 1.0)]
+    df = spark.createDataFrame(rows, "model string, y int, p1 double")
+    thr = spark.createDataFrame([("a", 0.5), ("b", 0.1)], "model string, applied_threshold double")
+    rec = {r["model"]: r for r in metrics.evaluate_scores(df, "y", "p1", threshold=thr, group_cols=["model"]).collect()}
+    assert (rec["a"]["TP"], rec["a"]["FP"], rec["a"]["TN"], rec["a"]["FN"]) == (2, 0, 1, 0)
+    assert (rec["b"]["TP"], rec["b"]["FP"]) == (1, 2) and rec["b"]["applied_threshold"] == 0.1
+    assert rec["a"]["PR_AUC"] == pytest.approx(1.0) and rec["b"]["ROC_AUC"] == pytest.approx(0.0)
+    table = curves.threshold_table(df, "y", "p1", ["model"])
+    ends = curves.roc_points(table, ["model"]).where("threshold IS NULL").groupBy("model").count().collect()
+    assert {r["model"]: r["count"] for r in ends} == {"a": 2, "b": 2}
+    cal = calibration.calibration_table(df, "y", "p1", 5, group_cols=["model"])
+    per = {r["model"]: r["n"] for r in cal.groupBy("model").agg(F.sum("count").alias("n")).collect()}
+    assert per == {"a": 3, "b": 3} and cal.count() == 10
