@@ -43,10 +43,10 @@ def q_evaluate_split(spark, sf):
 
 
 def q_curves_by_model(spark, sf):
+    # One threshold table feeds both the curve points and the per-model records.
     table = curves.threshold_table(scored_models(spark, sf), "y", "p1", ["model"])
-    pts = curves.roc_points(table, ["model"]).count()
-    return pts, metrics.evaluate_scores(scored_models(spark, sf), "y", "p1", group_cols=["model"],
-                                        policy="mcc").collect()
+    pts = curves.curve_points(table, ["model"]).collect()
+    return pts, metrics.evaluate_table(table, group_cols=["model"], policy="mcc").collect()
 
 
 def q_resample(spark, sf):

@@ -57,6 +57,13 @@ def evaluate_scores(df: DataFrame, label_col: str = "label", score_col: str = "p
     """
     group_cols = list(group_cols)
     table = curves.threshold_table(df, label_col, score_col, group_cols, rows_per_range, reuse)
+    return evaluate_table(table, threshold, group_cols, policy, threshold_rows)
+
+
+def evaluate_table(table: DataFrame, threshold: float | DataFrame = 0.5, group_cols: Sequence[str] = (),
+                   policy: str | None = None, threshold_rows: int | None = None) -> DataFrame:
+    """``evaluate_scores`` over an existing threshold table (one aggregate, no new table)."""
+    group_cols = list(group_cols)
     if isinstance(threshold, DataFrame):
         if not group_cols:
             raise ValueError("a threshold frame needs group columns")
