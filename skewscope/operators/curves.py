@@ -27,8 +27,9 @@ VALUE_DIGITS = 9
 
 
 def score_counts(df: DataFrame, label_col: str, score_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """One row per (group, score): pos = rows with label 1, n = rows. Null scores/labels are skipped."""
-    return (df.where(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
+    """One row per (group, score): pos = rows with label 1, n = rows. Null/NaN scores and null labels are skipped."""
+    s = F.col(score_col).cast("double")
+    return (df.where(s.isNotNull() & ~F.isnan(s) & F.col(label_col).isNotNull())
             .groupBy(*group_cols, F.col(score_col).cast("double").alias("threshold"))
             .agg(F.sum(F.when(F.col(label_col) == 1, 1).otherwise(0)).cast("long").alias("pos"),
                  F.count(F.lit(1)).alias("n")))

@@ -35,7 +35,7 @@ def prepare(df: DataFrame, score_col: str, group_col: str, key_col: str, feature
     """Label by the score quantile, split by group hash, optionally cap train."""
     q = labels.threshold_value(df, score_col, p, quantile)
     lab = labels.label_by_quantile(df, score_col, "label", threshold=q)
-    lab = lab.dropna(subset=[features_col, score_col, "label"])
+    lab = batches.drop_missing(lab, [features_col, score_col, "label"])
     framed = splits.assign_split(lab.select(key_col, group_col, "label", features_col), group_col,
                                  method=hash_method).drop("bucket")
     # One write, partitioned by split: each split read below prunes to its folder.

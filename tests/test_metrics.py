@@ -81,7 +81,7 @@ def test_edge_cases(spark, case):
         "no_pos": ([0, 0, 0], [0.1, 0.5, 0.9]),
         "no_neg": ([1, 1], [0.2, 0.7]),
         "all_tied": ([1, 0, 1, 0], [0.5, 0.5, 0.5, 0.5]),
-        "null_scores": ([1, 0, 1], [0.9, None, None]),
+        "null_scores": ([1, 0, 1, 0], [0.9, None, None, float("nan")]),
     }[case]
     rec = metrics.evaluate_scores(_scored(spark, *data), "y", "p1", policy="mcc").first()
     if case == "empty":
