@@ -46,7 +46,7 @@ def bits_array(bits: Column, width: int = FP_WIDTH) -> Column:
     s = F.trim(bits)
     n = F.coalesce(F.length(s), F.lit(0))
     checked = F.when(n == width, s).otherwise(
-        F.raise_error(F.format_string(f"{BITS_COL} string length %d is not {width}.", n)))
+        F.raise_error(F.format_string(f"expected {width} bits in {BITS_COL}, found %d characters", n)))
     return F.transform(F.split(checked, ""), lambda ch: ch.cast("double"))
 
 
@@ -69,4 +69,4 @@ def detect_layout(df: DataFrame, out: str = "features", min_columns: int = MIN_C
     if BITS_COL in cols:
         keep = [c for c in cols if c not in (BITS_COL, HEX_COL)]
         return bits_to_features(df, BITS_COL, out, width).select(*keep, out), FP_BITS
-    raise ValueError("No usable fingerprint columns found (fp_*, digit indices, or fp_bits).")
+    raise ValueError(f"no feature layout: need >= {min_columns} fp_<n> or numbered columns, or a {BITS_COL} column")

@@ -31,7 +31,7 @@ def test_bits_layout_and_length_check(spark):
     assert mode == "fp_bits" and out.columns == ["SMILES", "features"]
     assert out.select(vector_to_array("features")).first()[0] == [1.0, 0.0, 1.0, 1.0]
     bad = spark.createDataFrame([("C", "101")], "SMILES string, fp_bits string")
-    with pytest.raises(Exception, match="length 3 is not 4"):
+    with pytest.raises(Exception, match="expected 4 bits in fp_bits, found 3 characters"):
         features.detect_layout(bad, width=4)[0].collect()
 
 
