@@ -60,3 +60,15 @@ def test_curve_points_are_monotone(spark, rows):
     fprs = [p["fpr"] for p in pts][::-1]
     assert tprs == sorted(tprs) and fprs == sorted(fprs)
     assert all(0 <= p["precision"] <= 1 and 0 <= p["recall"] <= 1 for p in pts)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.integers(-5, 5), min_size=1, max_size=60),
+       p=st.sampled_from([0.0, 0.05, 0.5, 0.8, 0.95, 1.0]))
+def test_exact_quantile_matches_numpy(spark, values, p):
+    from skewscope.operators import labels
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    xs = np.sort(np.array(values, dtype=float))
+    disc = xs[max(math.ceil(len(xs) * p), 1) - 1]
+    assert labels.threshold_value(df, "x", p, "disc") == disc
+    assert labels.threshold_value(df, "x", p, "cont") == pytest.approx(float(np.quantile(xs, p)), abs=1e-9)
