@@ -94,10 +94,19 @@ def run_study(data: PreparedData, features_col: str = "features", key_col: str |
 
 def load_batches(spark, path: str, id_col: str, score_col: str, fmt: str = "csv", schema=None,
                  infer_schema: bool = False, min_columns: int = features.MIN_COLUMNS,
-                 width: int = features.FP_WIDTH) -> tuple[DataFrame, str]:
-    """Scan, drop rows missing id or score, cast the score, build ``features``."""
+                 width: int = features.FP_WIDTH, stage: bool | None = None) -> tuple[DataFrame, str]:
+    """Scan, drop rows missing id or score, cast the score, build ``features``.
+
+    Text input is staged once to Parquet (``stage``, default on for CSV): gzip
+    batches cannot be split and are otherwise parsed again by every later pass
+    (two quantile passes and the split write), while the staged table lets the
+    quantile passes read the score column alone. Raw feature columns are staged,
+    not the assembled vectors: 0/1 columns compress far better.
+    """
     raw = batches.scan_batches(spark, path, fmt=fmt, schema=schema, infer_schema=infer_schema)
     raw = batches.cast_score(batches.drop_missing(raw, [id_col, score_col]), score_col)
+    if stage if stage is not None else fmt == "csv":
+        raw = materialize(raw)
     return features.detect_layout(raw, min_columns=min_columns, width=width)
 
 
