@@ -62,9 +62,15 @@ def decide(docs: DataFrame, decisions: DataFrame, names: list[str]) -> DataFrame
     return left.join(r, cond, "left").drop("_llm_hash", "_llm_doc", "_llm_rhash")
 
 
-def hits(text: str, pattern: str) -> Column:
-    """The leftmost non-overlapping matches of ``pattern`` in the column ``text``."""
-    return F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
+def hits(text: str, pattern: str, needs: str | None = None) -> Column:
+    """The leftmost non-overlapping matches of ``pattern`` in the column ``text``.
+
+    ``needs``: a character class that every match holds; texts without it skip the costlier search.
+    """
+    found = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
+    if needs is None:
+        return found
+    return F.when(F.col(text).rlike(needs), found).otherwise(F.expr("cast(array() as array<string>)"))
 
 
 def place(text: str, pattern: str, found: Column) -> Column:

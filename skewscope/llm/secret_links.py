@@ -56,7 +56,7 @@ def scan(docs: DataFrame) -> DataFrame:
     out = whole_text(docs)
     for name, pattern in (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("wa", WEAK_ACCESS),
                           ("ws", WEAK_SECRET)):
-        out = out.withColumn(f"_h_{name}", hits("text", pattern))
+        out = out.withColumn(f"_h_{name}", hits("text", pattern, "[:=]" if name == "assign" else None))
     none = F.expr("cast(array() as array<string>)")
     values = F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(1))
     out = out.withColumn("_values", F.when(F.size("_h_assign") > 0, values).otherwise(none))
