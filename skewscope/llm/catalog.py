@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from skewscope.llm import pii, quality, secret_links, url_rules
+from skewscope.llm import decontaminate, pii, quality, secret_links, url_rules
 
 QUERIES = {
     "op4_weak_pii": pii.op4_weak_pii,
+    "op5_positional_index": decontaminate.op5_positional_index,
     "op8_secret_links": secret_links.op8_secret_links,
     "op9_url_rules": url_rules.op9_url_rules,
     "op10_quality_gam": quality.op10_quality_gam,
 }
 ORACLE_SQL = {
+    "op5_positional_index": decontaminate.SQL.strip(),
     "op9_url_rules": url_rules.SQL.strip(),
 }
