@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from skewscope.llm import decontaminate, pii, quality, secret_links, url_rules
+from skewscope.llm import decontaminate, imatch, pii, quality, secret_links, url_rules
 
 QUERIES = {
     "op4_weak_pii": pii.op4_weak_pii,
     "op5_positional_index": decontaminate.op5_positional_index,
+    "op7_imatch": imatch.op7_imatch,
     "op8_secret_links": secret_links.op8_secret_links,
     "op9_url_rules": url_rules.op9_url_rules,
     "op10_quality_gam": quality.op10_quality_gam,
 }
 ORACLE_SQL = {
     "op5_positional_index": decontaminate.SQL.strip(),
+    "op7_imatch": imatch.SQL.strip(),
     "op9_url_rules": url_rules.SQL.strip(),
 }
