@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from skewscope.llm import decontaminate, imatch, pii, quality, secret_links, url_rules
+from skewscope.llm import decontaminate, imatch, minhash, pii, quality, secret_links, url_rules
 
 QUERIES = {
+    "op1_bbit_minhash": minhash.op1_bbit_minhash,
     "op4_weak_pii": pii.op4_weak_pii,
     "op5_positional_index": decontaminate.op5_positional_index,
     "op7_imatch": imatch.op7_imatch,
@@ -13,6 +14,7 @@ QUERIES = {
     "op10_quality_gam": quality.op10_quality_gam,
 }
 ORACLE_SQL = {
+    "op1_bbit_minhash": minhash.SQL.strip(),
     "op5_positional_index": decontaminate.SQL.strip(),
     "op7_imatch": imatch.SQL.strip(),
     "op9_url_rules": url_rules.SQL.strip(),
