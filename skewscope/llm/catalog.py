@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from skewscope.llm import decontaminate, imatch, minhash, pii, quality, secret_links, url_rules
+from skewscope.llm import bwt_dedup, decontaminate, imatch, minhash, pii, quality, secret_links, url_rules
 
 QUERIES = {
     "op1_bbit_minhash": minhash.op1_bbit_minhash,
     "op4_weak_pii": pii.op4_weak_pii,
     "op5_positional_index": decontaminate.op5_positional_index,
+    "op6_bwt_repeats": bwt_dedup.op6_bwt_repeats,
     "op7_imatch": imatch.op7_imatch,
     "op8_secret_links": secret_links.op8_secret_links,
     "op9_url_rules": url_rules.op9_url_rules,
@@ -16,6 +17,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_bbit_minhash": minhash.SQL.strip(),
     "op5_positional_index": decontaminate.SQL.strip(),
+    "op6_bwt_repeats": bwt_dedup.SQL.strip(),
     "op7_imatch": imatch.SQL.strip(),
     "op9_url_rules": url_rules.SQL.strip(),
 }
