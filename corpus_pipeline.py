@@ -9,10 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from skewscope.llm.common import read, save
+from skewscope.llm.decontaminate import decontamination_stage
+from skewscope.llm.minhash import dedup_stage
+from skewscope.llm.packing import packing_stage
+from skewscope.llm.pii import pii_stage
 from skewscope.llm.quality import quality_stage
 
 STAGES = [
     ("quality_classifier", quality_stage),
+    ("minhash_near_dedup", dedup_stage),
+    ("benchmark_decontamination", decontamination_stage),
+    ("pii_redaction", pii_stage),
+    ("bm25_packing", packing_stage),
 ]
 
 #: Learned models and tokenizers: not expressible in SQL; tests/llm holds a brute-force version.

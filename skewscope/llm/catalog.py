@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from skewscope.llm import bwt_dedup, decontaminate, imatch, minhash, packing, pii, quality, secret_links, url_rules
+from skewscope.llm import bwt_dedup, decontaminate, imatch, lm_score, minhash, packing, pii, quality, secret_links, url_rules
 
 QUERIES = {
     "op1_bbit_minhash": minhash.op1_bbit_minhash,
     "op2_bm25_packing": packing.op2_bm25_packing,
+    "op3_cross_entropy": lm_score.op3_cross_entropy,
     "op4_weak_pii": pii.op4_weak_pii,
     "op5_positional_index": decontaminate.op5_positional_index,
     "op6_bwt_repeats": bwt_dedup.op6_bwt_repeats,
