@@ -26,6 +26,7 @@ def main(argv=None) -> None:
     ap.add_argument("--bins", type=int, default=10)
     ap.add_argument("--scaling-sizes", default="100000,500000,1000000")
     ap.add_argument("--infer-schema", action="store_true")
+    ap.add_argument("--schema", default=None, help="DDL of the batches (default: typed by their header)")
     ap.add_argument("--min-columns", type=int, default=128)
     ap.add_argument("--width", type=int, default=2048, help="bit-string width")
     ap.add_argument("--parallelism", type=int, default=1)
@@ -40,7 +41,7 @@ def main(argv=None) -> None:
     sizes = [int(x) for x in args.scaling_sizes.split(",") if x]
     run_from_batches(spark, args.input, args.out, id_col=args.id_col, score_col=args.score_col,
                      group_col=args.group_col, p=args.p, quantile=args.quantile, cap=args.cap or None,
-                     bins=args.bins, scaling_sizes=sizes, fmt=args.format, infer_schema=args.infer_schema,
+                     bins=args.bins, scaling_sizes=sizes, fmt=args.format, infer_schema=args.infer_schema, schema=args.schema,
                      min_columns=args.min_columns, width=args.width, parallelism=args.parallelism)
 
 

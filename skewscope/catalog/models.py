@@ -24,7 +24,7 @@ def _fit_record(spark, sf, family, weighted):
     est = models.estimator(family, "features", "label", weight)
     name = experiments.model_key(family, "weighted" if weighted else "baseline")
     _, rec = evaluate.evaluate_model(est, train, s["valid"], "label", name)
-    return rounded(rec)
+    return rounded(rec.drop("fit_time_s"))
 
 
 @register("fit_lr")
@@ -51,7 +51,7 @@ def fit_rf_weighted(spark, sf):
 def strategy_grid(spark, sf):
     s = embedding_splits(spark, sf)
     grid = experiments.strategy_grid(s["train"], s["valid"], "label", "features", key_col="key")
-    return rounded(grid.metrics)
+    return rounded(grid.metrics.drop("fit_time_s"))
 
 
 @register("evaluate_model")
@@ -61,7 +61,7 @@ def evaluate_model(spark, sf):
     train = parts["train"].unionByName(parts["test"])  # labelled docs are few: train on non-valid rows
     _, rec = evaluate.evaluate_model(models.logistic_regression(), train, parts["valid"], "label",
                                      "logistic_regression")
-    return rounded(rec)
+    return rounded(rec.drop("fit_time_s"))
 
 
 @register("scaling_study")
@@ -69,7 +69,8 @@ def scaling_study(spark, sf):
     s = embedding_splits(spark, sf)
     n = s["train"].count()
     sizes = [max(1, int(n * f)) for f in (0.1, 0.5, 1.0)]
-    return experiments.scaling_study(s["train"], s["valid"], sizes, "label", "features", key_col="key")
+    out = experiments.scaling_study(s["train"], s["valid"], sizes, "label", "features", key_col="key", with_size=True)
+    return out.drop("train_time_s")
 
 
 @register("study_documents")

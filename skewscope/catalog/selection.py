@@ -26,7 +26,7 @@ s AS (SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax,
                   WHEN (('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8))::BIGINT % 100) < 90 THEN 'valid'
                   ELSE 'test' END AS split,
              (('0x' || substr(md5(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || ':42'),
-                              1, 8))::BIGINT / 4294967296.0) AS u
+                              1, 13))::BIGINT / 4503599627370496.0) AS u
       FROM lineitem), """ + model_scores_sql()
 
 

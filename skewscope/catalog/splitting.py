@@ -13,7 +13,7 @@ from skewscope.sources.tables import table
 Q80 = "(SELECT quantile_disc(l_extendedprice, 0.8) FROM lineitem)"
 OQ80 = "(SELECT quantile_disc(o_totalprice, 0.8) FROM orders)"
 MD5_BUCKET = "(('0x' || substr(md5({k}), 1, 8))::BIGINT % 100)"
-U = "(('0x' || substr(md5({k} || ':42'), 1, 8))::BIGINT / 4294967296.0)"
+U = "(('0x' || substr(md5({k} || ':42:{p}'), 1, 13))::BIGINT / 4503599627370496.0)"
 SPLIT = "CASE WHEN {b} < 80 THEN 'train' WHEN {b} < 90 THEN 'valid' ELSE 'test' END"
 LI_KEY = "CAST(l_orderkey AS VARCHAR)"
 LI_SPLIT_SQL = f"""li AS (
@@ -23,7 +23,10 @@ LI_SPLIT_SQL = f"""li AS (
 sp AS (SELECT *, {SPLIT.format(b='bucket')} AS split FROM li)"""
 ORD_SQL = f"""o AS (SELECT o_orderkey, o_totalprice,
        CAST(CASE WHEN o_totalprice >= {OQ80} THEN 1 ELSE 0 END AS INTEGER) AS label,
-       {U.format(k='CAST(o_orderkey AS VARCHAR)')} AS u FROM orders),
+       {U.format(k='CAST(o_orderkey AS VARCHAR)', p='under')} AS u_under,
+       {U.format(k='CAST(o_orderkey AS VARCHAR)', p='over')} AS u_over,
+       {U.format(k='CAST(o_orderkey AS VARCHAR)', p='cap')} AS u_cap,
+       {U.format(k='CAST(o_orderkey AS VARCHAR)', p='sample')} AS u_sample FROM orders),
 cnt AS (SELECT sum(label) AS n_pos, sum(1 - label) AS n_neg FROM o)"""
 
 
@@ -53,11 +56,17 @@ def hash_bucket(spark, sf):
     return li.select("l_orderkey", "l_linenumber", hb(F.col("l_orderkey").cast("string"), 100, "md5").alias("bucket"))
 
 
-@register("hash_bucket_xxhash64")
+@register("hash_bucket_xxhash64", """
+SELECT count(*) AS rows, count(DISTINCT l_orderkey) AS keys, true AS in_range, 0::BIGINT AS split_keys FROM lineitem""")
 def hash_bucket_xxhash64(spark, sf):
+    """Other engines lack this hash: the check is on its properties (range, one bucket per key)."""
     from skewscope.functions.hashing import hash_bucket as hb
     li = table(spark, sf, "lineitem")
-    return li.select("l_orderkey", "l_linenumber", hb(F.col("l_orderkey").cast("string"), 100).alias("bucket"))
+    b = li.select("l_orderkey", hb(F.col("l_orderkey").cast("string"), 100).alias("bucket"))
+    per = b.groupBy("l_orderkey").agg(F.count("*").alias("n"), F.min("bucket").alias("lo"), F.max("bucket").alias("hi"))
+    return per.agg(F.sum("n").alias("rows"), F.count("*").alias("keys"),
+                   ((F.min("lo") >= 0) & (F.max("hi") < 100)).alias("in_range"),
+                   F.sum((F.col("lo") != F.col("hi")).cast("long")).alias("split_keys"))
 
 
 @register("group_split", f"""
@@ -107,7 +116,7 @@ tr AS (SELECT * FROM sp WHERE split = 'train'),
 k AS (SELECT count(*) AS n FROM tr)
 SELECT l_orderkey, l_linenumber, label FROM tr, k
 WHERE k.n <= 30000
-   OR {U.format(k="CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)")} < 30000.0 / k.n""")
+   OR {U.format(k="CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)", p='cap')} < 30000.0 / k.n""")
 def cap_rows(spark, sf):
     tr = splits.split_frames(split_lineitem(spark, sf))["train"]
     tr = tr.withColumn("row_key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
@@ -129,7 +138,7 @@ def class_weights(spark, sf):
 @register("undersample", f"""
 WITH {ORD_SQL}
 SELECT o_orderkey, label FROM o, cnt
-WHERE label = 1 OR u < n_pos / n_neg""")
+WHERE label = 1 OR u_under < n_pos / n_neg""")
 def undersample(spark, sf):
     o = labelled_orders(spark, sf)
     return resample.undersample(o, "label", seed=42, method="hash", key_col="o_orderkey").select("o_orderkey", "label")
@@ -138,7 +147,7 @@ def undersample(spark, sf):
 @register("oversample", f"""
 WITH {ORD_SQL},
 k AS (SELECT o_orderkey, label,
-             CAST(CASE WHEN label = 1 THEN floor(n_neg / n_pos + u) ELSE 1 END AS BIGINT) AS copies FROM o, cnt)
+             CAST(CASE WHEN label = 1 THEN floor(n_neg / n_pos + u_over) ELSE 1 END AS BIGINT) AS copies FROM o, cnt)
 SELECT o_orderkey, label FROM k, LATERAL (SELECT unnest(generate_series(1, copies))) g WHERE copies >= 1""")
 def oversample(spark, sf):
     o = labelled_orders(spark, sf)
@@ -155,7 +164,39 @@ def report_split_table(spark, sf):
 
 @register("fraction_sample", f"""
 SELECT l_orderkey, l_linenumber FROM lineitem
-WHERE {U.format(k="CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)")} < 0.25""")
+WHERE {U.format(k="CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)", p='sample')} < 0.25""")
 def fraction_sample(spark, sf):
     li = table(spark, sf, "lineitem").withColumn("row_key", F.concat_ws("-", "l_orderkey", "l_linenumber"))
     return splits.fraction_sample(li, 0.25, 42, "hash", "row_key").select("l_orderkey", "l_linenumber")
+
+
+# A cap of a third of the orders, then a second sampler: their draws must be independent.
+CAPPED_SQL = f"""WITH {ORD_SQL},
+k AS (SELECT count(*) AS n, count(*) // 3 AS cap FROM o),
+c AS (SELECT o.* FROM o, k WHERE u_cap < cap * 1e0 / n),
+ccnt AS (SELECT sum(label) AS n_pos, sum(1 - label) AS n_neg, count(*) AS n FROM c)"""
+
+
+def _capped_orders(spark, sf):
+    o = labelled_orders(spark, sf)
+    return splits.cap_rows(o, o.count() // 3, key_col="o_orderkey")
+
+
+@register("cap_then_undersample", CAPPED_SQL + """
+SELECT o_orderkey, label FROM c, ccnt WHERE label = 1 OR u_under < n_pos * 1e0 / n_neg""")
+def cap_then_undersample(spark, sf):
+    return resample.undersample(_capped_orders(spark, sf), "label", key_col="o_orderkey").select("o_orderkey", "label")
+
+
+@register("cap_then_oversample", CAPPED_SQL + """,
+r AS (SELECT o_orderkey, label,
+             CAST(CASE WHEN label = 1 THEN floor(n_neg * 1e0 / n_pos + u_over) ELSE 1 END AS BIGINT) AS copies FROM c, ccnt)
+SELECT o_orderkey, label FROM r, LATERAL (SELECT unnest(generate_series(1, copies))) g WHERE copies >= 1""")
+def cap_then_oversample(spark, sf):
+    return resample.oversample(_capped_orders(spark, sf), "label", key_col="o_orderkey").select("o_orderkey", "label")
+
+
+@register("cap_then_fraction", CAPPED_SQL + """
+SELECT o_orderkey, label FROM c WHERE u_sample < 0.5""")
+def cap_then_fraction(spark, sf):
+    return splits.fraction_sample(_capped_orders(spark, sf), 0.5, key_col="o_orderkey").select("o_orderkey", "label")

@@ -59,8 +59,8 @@ def split_summary(df: DataFrame, split_col: str = "split", label_col: str = "lab
 
 def overall_balance(df: DataFrame, label_col: str = "label", feature_mode: str | None = None) -> DataFrame:
     """One row: total_rows, positive, negative, both fractions, feature_mode."""
-    agg = df.agg(F.count(F.lit(1)).alias("total_rows"), _pos(label_col).alias("positive"),
-                 _neg(label_col).alias("negative"))
+    agg = df.agg(F.count(F.lit(1)).alias("total_rows"), F.coalesce(_pos(label_col), F.lit(0)).cast("long").alias("positive"),
+                 F.coalesce(_neg(label_col), F.lit(0)).cast("long").alias("negative"))
     return agg.select("total_rows", "positive", "negative", *_fractions("total_rows"),
                       F.lit(feature_mode).cast("string").alias("feature_mode"))
 

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 
 def bin_index(score_col: str, bins: int) -> F.Column:
-    """floor(score * bins); scores >= 1 go to the last bin."""
+    """floor(score * bins); scores >= 1 go to the last bin, NaN to none."""
     s = F.col(score_col)
-    return F.when(s >= 1.0, F.lit(bins - 1)).otherwise(F.floor(s * F.lit(bins))).cast("int")
+    return F.when(F.isnan(s), F.lit(None)).when(s >= 1.0, F.lit(bins - 1)).otherwise(F.floor(s * F.lit(bins))).cast("int")
 
 
 def bin_label(idx: F.Column, bins: int) -> F.Column:
@@ -25,7 +25,7 @@ def bin_label(idx: F.Column, bins: int) -> F.Column:
 def calibration_table(df: DataFrame, label_col: str = "label", score_col: str = "p1", bins: int = 10,
                       group_cols: Sequence[str] = ()) -> DataFrame:
     """One row per bin (all bins, empty ones as 0): bin_index, bin, mean_pred,
-    empirical_pos_rate, count. Scores below 0 or null fall in no bin."""
+    empirical_pos_rate, count. Scores below 0, null or NaN fall in no bin."""
     group_cols = list(group_cols)
     b = bin_index(score_col, bins)
     # One pass: rows outside every bin keep a null bin, so their groups still

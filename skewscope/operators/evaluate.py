@@ -1,4 +1,4 @@
-"""Model evaluation records: validation (15 fields) and split (12 fields)."""
+"""Model evaluation records: validation (15 fields) and test (12 fields)."""
 
 from __future__ import annotations
 
@@ -8,19 +8,11 @@ from pyspark.sql import functions as F
 from skewscope.operators import metrics, models
 
 
-def evaluate_split(fitted, df: DataFrame, label_col: str = "label", threshold: float = 0.5,
-                   model_name: str = "model") -> tuple[DataFrame, DataFrame]:
-    """(record, scored frame): the 12-field record at ``threshold`` and (model, label, p1)."""
-    scored = models.score(fitted, df, label_col, model_name=model_name)
-    rec = metrics.evaluate_scores(scored, label_col, "p1", threshold=threshold, group_cols=["model"])
-    return rec, scored
-
-
 def evaluate_model(est, train: DataFrame, valid: DataFrame, label_col: str = "label", name: str = "model",
                    policy: str = "mcc", threshold: float = 0.5) -> tuple[object, DataFrame]:
     """Fit, score validation, and return (fitted, 15-field record with fit_time_s)."""
     fitted, secs = models.fit_timed(est, train)
-    scored = models.score(fitted, valid, label_col, model_name=name)
+    scored = models.score_all({name: fitted}, valid, label_col)
     rec = metrics.evaluate_scores(scored, label_col, "p1", threshold=threshold, group_cols=["model"], policy=policy)
     rec = rec.withColumn("fit_time_s", F.lit(round(secs, 2)))
     return fitted, order_validation_record(rec)

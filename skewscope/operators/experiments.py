@@ -8,6 +8,7 @@ a single distributed job.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -20,6 +21,8 @@ from skewscope.operators.balance import class_counts
 from skewscope.operators.evaluate import order_validation_record
 from skewscope.plans.materialize import materialize
 
+log = logging.getLogger("skewscope")
+
 STRATEGIES = ("baseline", "weighted", "undersampled", "oversampled")
 SUFFIX = {"baseline": "", "weighted": "_weighted", "undersampled": "_undersampled", "oversampled": "_oversampled"}
 
@@ -103,56 +106,64 @@ def strategy_grid(train: DataFrame, valid: DataFrame, label_col: str = "label",
             est = models.estimator(family, features_col, label_col, weight, **params)
             jobs.append((model_key(family, strategy), est, views[strategy]))
     results = _fit_all(jobs, parallelism)
-    fitted, times, scored = {}, [], None
+    fitted, times = {}, []
     for name, _, _ in jobs:
         fitted[name], secs = results[name]
         times.append((name, round(secs, 2)))
-        s = models.score(fitted[name], valid, label_col, model_name=name)
-        scored = s if scored is None else scored.unionByName(s)
+    scored = models.score_all(fitted, valid, label_col)
     rec = metrics.evaluate_scores(scored, label_col, "p1", threshold=0.5, group_cols=["model"], policy=policy)
     spark = train.sparkSession
     # One row per fitted model: a bounded, driver-made table.
     fit_times = spark.createDataFrame(times, "model string, fit_time_s double")
     rec = rec.join(F.broadcast(fit_times), "model").withColumn("model_order", model_order())
-    return GridResult(order_validation_record(rec).orderBy("model_order"), scored, fitted, pw)
+    # A few rows that several outputs read: evaluated once.
+    rec = materialize(order_validation_record(rec).coalesce(1))
+    return GridResult(rec.orderBy("model_order"), scored, fitted, pw)
 
 
 def scaling_study(train: DataFrame, valid: DataFrame, sizes: Sequence[int], label_col: str = "label",
                   features_col: str = "features", key_col: str | None = None, families: Sequence[str] = ("lr", "rf"),
                   seed: int = 42, method: str = "hash", pos_weight: float | None = None,
-                  rf_params: dict | None = None, lr_params: dict | None = None) -> DataFrame:
+                  rf_params: dict | None = None, lr_params: dict | None = None,
+                  materialized: bool = False, with_size: bool = False) -> DataFrame:
     """(model, train_rows, train_time_s, pr_auc) per size and weighted family.
 
-    A size larger than the training frame is skipped, as is an empty sample.
-    The fraction is taken from the frame actually sampled.
+    ``train`` should be the whole training split (no cap). A size larger than
+    it is skipped with a warning, as is an empty sample. The fraction is taken
+    from the frame actually sampled. ``with_size`` adds the size asked for.
     """
-    train = materialize(train.select(*[c for c in (key_col, label_col, features_col) if c]))
-    valid = materialize(valid.select(label_col, features_col))
+    train = train.select(*[c for c in (key_col, label_col, features_col) if c])
+    valid = valid.select(label_col, features_col)
+    if not materialized:
+        train, valid = materialize(train), materialize(valid)
     n_pos, n_neg = class_counts(train, label_col)
     n = n_pos + n_neg
     pw = pos_weight if pos_weight is not None else ((n_neg / n_pos) if n_pos else 1.0)
-    rows, scored = [], None
+    rows, fits = [], {}
     for size in sizes:
         if n < size:
+            log.warning("scaling study: size %d skipped, the training split has %d rows", size, n)
             continue
-        sample = splits.fraction_sample(train, size / float(n), seed, method, key_col)
+        sample = splits.fraction_sample(train, size / float(n), seed, method, key_col, purpose="scale")
         sample = materialize(resample.class_weights(sample, label_col, "weight", pw))
         actual = sample.count()
         if actual == 0:
+            log.warning("scaling study: size %d skipped, its sample is empty", size)
             continue
         for family in families:
             params = (rf_params if family == "rf" else lr_params) or {}
             est = models.estimator(family, features_col, label_col, "weight", **params)
             fitted, secs = models.fit_timed(est, sample)
             name = model_key(family, "weighted")
-            tag = f"{name}@{actual}"
-            rows.append((tag, name, int(actual), round(secs, 2)))
-            s = models.score(fitted, valid, label_col, model_name=tag)
-            scored = s if scored is None else scored.unionByName(s)
+            tag = f"{name}@{size}"
+            rows.append((tag, name, int(size), int(actual), round(secs, 2)))
+            fits[tag] = fitted
     spark = train.sparkSession
-    runs = spark.createDataFrame(rows, "run string, model string, train_rows long, train_time_s double")
-    if scored is None:
-        return runs.select("model", "train_rows", "train_time_s", F.lit(None).cast("double").alias("pr_auc"))
+    runs = spark.createDataFrame(rows, "run string, model string, size long, train_rows long, train_time_s double")
+    head = ["model", *(["size"] if with_size else []), "train_rows", "train_time_s"]
+    if not fits:
+        return runs.select(*head, F.lit(None).cast("double").alias("pr_auc"))
+    scored = models.score_all(fits, valid, label_col)
     auc = metrics.evaluate_scores(scored.withColumnRenamed("model", "run"), label_col, "p1", group_cols=["run"])
     out = runs.join(F.broadcast(auc.select("run", "PR_AUC")), "run")
-    return out.select("model", "train_rows", "train_time_s", F.round("PR_AUC", 4).alias("pr_auc"))
+    return materialize(out.select(*head, F.round("PR_AUC", 4).alias("pr_auc")).coalesce(1))

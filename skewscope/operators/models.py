@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skewscope.functions.scoring import positive_probability
+from skewscope.plans.materialize import materialize
 
 # Hyper-parameters of the reference grid.
 LR_MAX_ITER = 50
@@ -71,3 +72,21 @@ def score(fitted, df: DataFrame, label_col: str = "label", keep: Sequence[str] =
     if model_name is not None:
         out = out.select(F.lit(model_name).alias("model"), *out.columns)
     return out
+
+
+def score_all(fitted: dict, df: DataFrame, label_col: str = "label") -> DataFrame:
+    """Saved table (model, label, p1) of every model in one read of ``df``.
+
+    Each model predicts once per row: the scores are written before anything filters or groups them.
+    """
+    out = df
+    for k, model in enumerate(fitted.values()):
+        one = model.copy()
+        one.setProbabilityCol(f"_probability{k}")
+        one.setRawPredictionCol("")
+        one.setPredictionCol("")
+        out = one.transform(out)
+    each = [F.struct(F.lit(name).alias("model"), positive_probability(f"_probability{k}").alias("p1"))
+            for k, name in enumerate(fitted)]
+    out = out.select(label_col, F.explode(F.array(*each)).alias("_s"))
+    return materialize(out.select(F.col("_s.model").alias("model"), label_col, F.col("_s.p1").alias("p1")))

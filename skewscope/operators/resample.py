@@ -1,8 +1,8 @@
 """Imbalance remedies: class weights, majority undersampling, minority oversampling.
 
 All are narrow (no shuffle). Class counts are two numbers from one aggregate.
-``method="hash"`` draws from the row key and seed, so results do not depend on
-partitioning; ``method="native"`` uses Spark's seeded ``sample`` (Bernoulli
+``method="hash"`` (md5) or ``"xxhash64"`` draws from the row key, the seed and the
+step's own purpose, so results do not depend on partitioning and steps stay independent; ``method="native"`` uses Spark's seeded ``sample`` (Bernoulli
 without replacement, Poisson with replacement) like the reference pipeline.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewscope.functions.hashing import unit_draw
+from skewscope.functions.hashing import draw_method, unit_draw
 from skewscope.operators.balance import class_counts
 
 # Largest number of copies one row expands to inside a single task.
@@ -49,7 +49,7 @@ def undersample(df: DataFrame, label_col: str = "label", seed: int = 42, method:
         return df.where(is_min).unionByName(majority)
     if key_col is None:
         raise ValueError("hash sampling needs key_col")
-    return df.where(is_min | (unit_draw(F.col(key_col), seed) < F.lit(fraction)))
+    return df.where(is_min | (unit_draw(F.col(key_col), seed, draw_method(method), "under") < F.lit(fraction)))
 
 
 def oversample(df: DataFrame, label_col: str = "label", seed: int = 42, method: str = "hash",
@@ -72,7 +72,8 @@ def oversample(df: DataFrame, label_col: str = "label", seed: int = 42, method:
         return df.where(~is_min).unionByName(extra)
     if key_col is None:
         raise ValueError("hash sampling needs key_col")
-    copies = F.when(is_min, F.floor(F.lit(ratio) + unit_draw(F.col(key_col), seed))).otherwise(F.lit(1)).cast("long")
+    draw = unit_draw(F.col(key_col), seed, draw_method(method), "over")
+    copies = F.when(is_min, F.floor(F.lit(ratio) + draw)).otherwise(F.lit(1)).cast("long")
     cols = df.columns
     rep = df.withColumn("_copies", copies).where(F.col("_copies") >= 1)
     if ratio + 1 <= COPY_CHUNK:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skewscope.functions.hashing import hash_bucket, unit_draw
+from skewscope.functions.hashing import draw_method, hash_bucket, unit_draw
 
 # Bucket ranges of the 80/10/10 split over 100 buckets.
 TRAIN_BELOW = 80
@@ -84,15 +84,19 @@ def cap_rows(df: DataFrame, cap: int, seed: int = 42, method: str = "hash", key_
     n = df.count() if rows is None else rows
     if not cap or n <= cap:
         return df
-    return fraction_sample(df, cap / float(n), seed, method, key_col)
+    return fraction_sample(df, cap / float(n), seed, method, key_col, purpose="cap")
 
 
 def fraction_sample(df: DataFrame, fraction: float, seed: int = 42, method: str = "hash",
-                    key_col: str | None = None) -> DataFrame:
-    """Sample without replacement at ``fraction`` (clamped to [0, 1])."""
+                    key_col: str | None = None, purpose: str = "sample") -> DataFrame:
+    """Sample without replacement at ``fraction`` (clamped to [0, 1]).
+
+    ``method``: ``"hash"`` (md5), ``"xxhash64"`` or ``"native"``. ``purpose``
+    names the draw, so that samples of samples stay independent.
+    """
     fraction = min(max(fraction, 0.0), 1.0)
     if method == "native":
         return df.sample(withReplacement=False, fraction=fraction, seed=seed)
     if key_col is None:
         raise ValueError("hash sampling needs key_col")
-    return df.where(unit_draw(F.col(key_col), seed) < F.lit(fraction))
+    return df.where(unit_draw(F.col(key_col), seed, draw_method(method), purpose) < F.lit(fraction))

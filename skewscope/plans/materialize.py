@@ -27,12 +27,17 @@ def table_path(df: DataFrame) -> str:
     return path
 
 
-def drop_tables(spark: SparkSession) -> int:
-    """Delete every table this process materialised; frames reading them become invalid."""
+def written() -> int:
+    """How many tables this process has materialised and not dropped."""
+    return len(_WRITTEN)
+
+
+def drop_tables(spark: SparkSession, since: int = 0) -> int:
+    """Delete the tables this process materialised (after the first ``since``); frames reading them become invalid."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     n = 0
-    while _WRITTEN:
+    while len(_WRITTEN) > since:
         path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
         if path.getFileSystem(conf).delete(path, True):
             n += 1

@@ -13,9 +13,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewscope.operators import (balance, calibration, evaluate, experiments, features, labels, metrics, models,
-                                 resample, select, splits)
-from skewscope.plans.materialize import materialize
+from skewscope.operators import (balance, calibration, curves, evaluate, experiments, features, labels, metrics,
+                                 models, report, resample, select, splits)
+from skewscope.plans.materialize import drop_tables, materialize, written
 from skewscope.sinks import writers
 from skewscope.sources import batches
 
@@ -27,6 +27,7 @@ class PreparedData:
     train: DataFrame
     valid: DataFrame
     test: DataFrame
+    train_all: DataFrame     # before any cap
 
 
 def prepare(df: DataFrame, score_col: str, group_col: str, key_col: str, features_col: str = "features",
@@ -44,7 +45,7 @@ def prepare(df: DataFrame, score_col: str, group_col: str, key_col: str, feature
     train = parts["train"]
     if cap:
         train = materialize(splits.cap_rows(train, cap, seed, "hash", key_col))
-    return PreparedData(framed, q, train, parts["valid"], parts["test"])
+    return PreparedData(framed, q, train, parts["valid"], parts["test"], parts["train"])
 
 
 def weighted_lr_test_record(data: PreparedData, features_col: str = "features", policy: str = "mcc") -> DataFrame:
@@ -53,10 +54,10 @@ def weighted_lr_test_record(data: PreparedData, features_col: str = "features",
     est = models.logistic_regression(features_col, "label", "weight")
     fitted, _ = models.fit_timed(est, train)
     name = experiments.model_key("lr", "weighted")
-    valid = models.score(fitted, data.valid, "label", model_name=name)
+    valid = models.score_all({name: fitted}, data.valid)
     rec = metrics.evaluate_scores(valid, "label", "p1", group_cols=["model"], policy=policy)
     best = select.select_best(rec)
-    test = models.score(fitted, data.test, "label", model_name=name)
+    test = models.score_all({name: fitted}, data.test)
     return select.test_at_best_threshold(best, test, "label", "p1")
 
 
@@ -78,15 +79,19 @@ def run_study(data: PreparedData, features_col: str = "features", key_col: str |
     used = (data.train.select("label", F.lit("train").alias("split"))
             .unionByName(data.valid.select("label", F.lit("valid").alias("split")))
             .unionByName(data.test.select("label", F.lit("test").alias("split"))))
-    summary = balance.split_summary(used, "split", "label")
+    before = balance.split_summary(data.frame, "split", "label").select("split", F.col("rows").alias("rows_before_cap"))
+    # Three rows each.
+    summary = balance.split_summary(used, "split", "label").join(F.broadcast(before), "split")
     grid = experiments.strategy_grid(data.train, data.valid, "label", features_col, key_col=key_col,
                                      families=families, policy=policy, rf_params=rf_params, materialized=True,
                                      parallelism=parallelism, lr_params=lr_params)
-    best = select.select_best(grid.metrics)
-    best_name = best.first()["best_model"]
-    fitted = grid.fitted[best_name]
-    test = models.score(fitted, data.test, "label", model_name=best_name)
-    test_rec = select.test_at_best_threshold(best, test, "label", "p1")
+    best = materialize(select.select_best(grid.metrics))
+    found = best.first()
+    if found is None:
+        raise ValueError("no model could be evaluated: the validation split has no scored rows")
+    best_name = found["best_model"]
+    test = models.score_all({best_name: grid.fitted[best_name]}, data.test)
+    test_rec = materialize(select.test_at_best_threshold(best, test, "label", "p1"))
     valid_best = grid.scored.where(F.col("model") == best_name)
     calib = calibration.calibration_table(valid_best, "label", "p1", bins)
     return StudyResult(overall, summary, grid, best, test_rec, calib)
@@ -128,9 +133,31 @@ def write_outputs(out_dir: str, data: PreparedData, res: StudyResult, feature_mo
     writers.write_json_text(writers.keyed_json(summary, "split", "split_order"), f"{out}/class_balance_by_split.json")
     writers.write_split_stats(summary, f"{out}/split_stats.txt")
     writers.write_calibration_csv(res.calibration, f"{out}/calibration_valid.csv")
+    _write_curves_and_reports(out, res, valid, test)
     if scaling is not None and not scaling.isEmpty():
+        series = select.scaling_series(scaling)
+        writers.write_csv(series, f"{out}/scaling_series.csv", single_file=True)
+        writers.write_csv(report.report_scaling_table(scaling), f"{out}/report_scaling.csv", single_file=True)
         writers.write_scaling_csv(scaling, f"{out}/scaling_results.csv")
-        writers.write_json(scaling, f"{out}/scaling_results.json")
+        writers.write_json(scaling, f"{out}/scaling_results.json", single_file=True)
+
+
+def _write_curves_and_reports(out: str, res: StudyResult, valid: DataFrame, test: DataFrame) -> None:
+    """Curve points of every model on validation, the method comparisons and the report tables.
+
+    Curve tables have a row per distinct score and stay in as many files as Spark makes; the others
+    have a few rows per model.
+    """
+    best_name = res.best.first()["best_model"]
+    points = materialize(curves.curve_points(curves.threshold_table(res.grid.scored, "label", "p1", ["model"]), ["model"]))
+    writers.write_csv(points, f"{out}/curves_valid.csv")
+    writers.write_csv(points.where(F.col("model") == best_name), f"{out}/curves_best_valid.csv")
+    for name, table in (("compare_lr_strategies", select.compare_lr_strategies(valid)),
+                        ("compare_lr_rf", select.compare_lr_rf(valid)),
+                        ("report_metrics", report.report_metrics(valid)),
+                        ("report_splits", report.report_split_table(res.split_summary)),
+                        ("report_confusion", report.report_confusion_2x2(test))):
+        writers.write_csv(table, f"{out}/{name}.csv", single_file=True)
 
 
 def run_from_batches(spark, path: str, out_dir: str, id_col: str = "SMILES", score_col: str = "SA_score",
@@ -139,12 +166,16 @@ def run_from_batches(spark, path: str, out_dir: str, id_col: str = "SMILES", sco
                      scaling_sizes: Sequence[int] = (100_000, 500_000, 1_000_000), fmt: str = "csv",
                      schema=None, infer_schema: bool = False, min_columns: int = features.MIN_COLUMNS,
                      width: int = features.FP_WIDTH, parallelism: int = 1, rf_params: dict | None = None,
-                     lr_params: dict | None = None) -> StudyResult:
+                     lr_params: dict | None = None, keep_tables: bool = False) -> StudyResult:
     """Batches in, every artefact out: the whole imbalance study as Spark jobs.
 
     Groups come from ``group_col`` (empty or null values fall back to the
-    record id); without it every record is its own group.
+    record id); without it every record is its own group. ``cap`` bounds the rows
+    that fit the grid; the scaling study samples the whole training split.
+    The tables written on the way are dropped at the end unless ``keep_tables``
+    is set; without it the frames of the result can no longer be read.
     """
+    mark = written()
     df, mode = load_batches(spark, path, id_col, score_col, fmt, schema, infer_schema, min_columns, width)
     if group_col:
         df = splits.group_key(df, group_col, id_col, out="_group")
@@ -153,7 +184,9 @@ def run_from_batches(spark, path: str, out_dir: str, id_col: str = "SMILES", sco
     data = prepare(df, score_col, "_group", id_col, p=p, quantile=quantile, cap=cap)
     res = run_study(data, key_col=id_col, bins=bins, rf_params=rf_params, parallelism=parallelism,
                     lr_params=lr_params)
-    scaling = experiments.scaling_study(data.train, data.valid, list(scaling_sizes), "label", "features",
-                                        key_col=id_col, rf_params=rf_params, lr_params=lr_params)
+    scaling = experiments.scaling_study(data.train_all, data.valid, list(scaling_sizes), "label", "features",
+                                        key_col=id_col, rf_params=rf_params, lr_params=lr_params, materialized=True)
     write_outputs(out_dir, data, res, mode, scaling)
+    if not keep_tables:
+        drop_tables(spark, mark)
     return res

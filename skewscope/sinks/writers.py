@@ -31,7 +31,7 @@ def _fixed(df: DataFrame, fields: Sequence[str] | None, strict: bool) -> DataFra
     return df.select(*fields)
 
 
-def write_json(df: DataFrame, path: str, fields: Sequence[str] | None = None, single_file: bool = True) -> None:
+def write_json(df: DataFrame, path: str, fields: Sequence[str] | None = None, single_file: bool = False) -> None:
     out = _fixed(df, fields, strict=False)
     (out.coalesce(1) if single_file else out).write.mode("overwrite").json(path)
 
@@ -68,7 +68,8 @@ def write_json_text(json_frame: DataFrame, path: str) -> None:
 
 
 def write_csv(df: DataFrame, path: str, fields: Sequence[str] | None = None, strict: bool = False,
-              sep: str = ",", single_file: bool = True) -> None:
+              sep: str = ",", single_file: bool = False) -> None:
+    """``single_file`` is for result tables of bounded size: all rows then pass through one task."""
     out = _fixed(df, fields, strict)
     (out.coalesce(1) if single_file else out).write.mode("overwrite").option("header", True) \
         .option("sep", sep).csv(path)
@@ -88,16 +89,16 @@ def write_metrics_csv(metrics: DataFrame, path: str, test: bool = False) -> bool
         df = df.drop("opt_value")
     if not test:
         df = df.drop("TP", "FP", "TN", "FN", "applied_threshold")
-    write_csv(df, path, fields, strict=True)
+    write_csv(df, path, fields, strict=True, single_file=True)
     return True
 
 
 def write_calibration_csv(calib: DataFrame, path: str) -> None:
-    write_csv(calib.orderBy("bin_index"), path, CALIBRATION_FIELDS)
+    write_csv(calib.orderBy("bin_index"), path, CALIBRATION_FIELDS, single_file=True)
 
 
 def write_scaling_csv(scaling: DataFrame, path: str) -> None:
-    write_csv(scaling, path, SCALING_FIELDS, strict=True)
+    write_csv(scaling, path, SCALING_FIELDS, strict=True, single_file=True)
 
 
 def write_split_stats(summary: DataFrame, path: str) -> None:

@@ -1,9 +1,10 @@
 """Batch scans and cleaning.
 
-The reference reads a glob of gzip CSV batches with schema inference (an extra
-full pass). Here the schema is declared by default; inference is an option.
-Gzip files are not splittable (one task per file), so large inputs should be
-staged once to Parquet (``stage_parquet``) and every later job reads that.
+CSV batches are typed by their header alone: numbered feature columns are
+doubles, everything else text (scores are cast later, malformed ones to null).
+That needs no pass over the rows; inference stays an option, as does a schema.
+Gzip files are not splittable (one task per file), so the study stages text
+batches once as Parquet.
 """
 
 from __future__ import annotations
@@ -12,7 +13,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+
+from skewscope.operators.features import digit_columns, fp_columns
+
+
+def header_schema(columns: Sequence[str]) -> StructType:
+    """``fp_<n>`` and all-digit columns as double, the others as string."""
+    numbered = {*fp_columns(list(columns)), *digit_columns(list(columns))}
+    return StructType([StructField(c, DoubleType() if c in numbered else StringType()) for c in columns])
 
 
 def scan_batches(spark: SparkSession, path: str | Sequence[str], fmt: str = "csv",
@@ -24,9 +33,12 @@ def scan_batches(spark: SparkSession, path: str | Sequence[str], fmt: str = "csv
         reader = reader.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", header)
-        if schema is None:
-            reader = reader.option("inferSchema", infer_schema)
-        df = reader.csv(path if isinstance(path, str) else list(path))
+        paths = path if isinstance(path, str) else list(path)
+        if schema is None and infer_schema:
+            reader = reader.option("inferSchema", True)
+        elif schema is None and header:
+            reader = reader.schema(header_schema(reader.csv(paths).columns))  # reads one line
+        df = reader.csv(paths)
     elif fmt == "parquet":
         df = reader.parquet(*([path] if isinstance(path, str) else list(path)))
     else:
@@ -34,14 +46,6 @@ def scan_batches(spark: SparkSession, path: str | Sequence[str], fmt: str = "csv
     return df.select(*columns) if columns else df
 
 
-def stage_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Write once to Parquet (optionally partitioned, e.g. by split) for columnar re-reads."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-
-
 def drop_missing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Drop rows where any of ``cols`` is null.
 

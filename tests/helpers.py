@@ -1,51 +1,38 @@
-"""Row-wise numpy references (one point per row, ties in input order)."""
-
-import math
+"""Independent references for ranking metrics, from their definitions (small arrays)."""
 
 import numpy as np
 
 
-def ap_rowwise(y, s):
-    y, s = np.asarray(y), np.asarray(s)
-    if len(y) == 0 or y.sum() == 0:
+def _rules(y, s):
+    """(threshold, predictions) of every rule ``score >= threshold``, highest threshold first."""
+    return [(t, (s >= t).astype(int)) for t in sorted(set(s.tolist()), reverse=True)]
+
+
+def average_precision(y, s):
+    """Sum over distinct thresholds of precision times the recall gained."""
+    y, s = np.asarray(y), np.asarray(s, dtype=float)
+    if y.sum() == 0:
         return 0.0
-    order = np.argsort(-s, kind="stable")
-    ys = y[order]
-    tp = np.cumsum(ys)
-    prec = tp / np.arange(1, len(ys) + 1)
-    rec = tp / ys.sum()
-    prev = np.concatenate([[0.0], rec[:-1]])
-    return float(np.sum(prec * np.maximum(rec - prev, 0)))
-
-
-def roc_rowwise(y, s):
-    y, s = np.asarray(y), np.asarray(s)
-    p = y.sum()
-    n = len(y) - p
-    if len(y) == 0 or p == 0 or n == 0:
+    total, before = 0.0, 0.0
+    for _, guess in _rules(y, s):
+        recall = y[guess == 1].sum() / y.sum()
+        total += y[guess == 1].mean() * (recall - before)
+        before = recall
+    return float(total)
+
+
+def pair_auc(y, s):
+    """Share of (positive, negative) pairs ranked rightly, ties counting half."""
+    y, s = np.asarray(y), np.asarray(s, dtype=float)
+    pos, neg = s[y == 1], s[y == 0]
+    if not len(pos) or not len(neg):
         return 0.0
-    order = np.argsort(-s, kind="stable")
-    ys = y[order]
-    tpr = np.concatenate([[0.0], np.cumsum(ys) / p, [1.0]])
-    fpr = np.concatenate([[0.0], np.cumsum(1 - ys) / n, [1.0]])
-    return float(np.sum((fpr[1:] - fpr[:-1]) * (tpr[1:] + tpr[:-1]) / 2))
-
-
-def best_mcc_rowwise(y, s):
-    y, s = np.asarray(y), np.asarray(s)
-    if len(y) == 0:
-        return 0.5, 0.0
-    order = np.argsort(-s, kind="stable")
-    ys, ss = y[order], s[order]
-    P, N = max(int(ys.sum()), 1), max(len(ys) - int(ys.sum()), 1)
-    tp = fp = 0
-    best, best_t = -1.0, 0.5
-    for i in range(len(ys)):
-        tp += int(ys[i])
-        fp += 1 - int(ys[i])
-        fn, tn = P - tp, N - fp
-        d = (tp + fp) * (tp + fn) * (tn + fp) * (tn + fn)
-        m = 0.0 if d == 0 else (tp * tn - fp * fn) / math.sqrt(d)
-        if m > best:
-            best, best_t = m, float(ss[i])
-    return best_t, best
+    gap = pos[:, None] - neg[None, :]
+    return float(((gap > 0) + 0.5 * (gap == 0)).mean())
+
+
+def mcc_by_threshold(y, s):
+    """{threshold: correlation of labels and predictions}, 0 where either is constant."""
+    y, s = np.asarray(y), np.asarray(s, dtype=float)
+    return {t: 0.0 if guess.min() == guess.max() or y.min() == y.max() else float(np.corrcoef(y, guess)[0, 1])
+            for t, guess in _rules(y, s)}

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from skewscope.catalog.fixtures import scored_lineitem
 from skewscope.operators import calibration, curves, metrics
 from tests.conftest import SF01
-from tests.helpers import ap_rowwise, best_mcc_rowwise, roc_rowwise
+from tests.helpers import average_precision, mcc_by_threshold, pair_auc
 
 
 def _scored(spark, y, s):
@@ -40,17 +40,17 @@ def test_canonical_scored_view(spark):
     assert yj["opt_value"] == pytest.approx(0.006075, abs=1e-6)
 
 
-def test_distinct_scores_equal_rowwise_reference(spark):
+def test_distinct_scores_equal_definitions(spark):
     rng = np.random.default_rng(11)
     n = 800
     s = rng.permutation(n) / n
     y = (rng.random(n) < 0.2 + 0.5 * s).astype(int)
     rec = metrics.evaluate_scores(_scored(spark, y, s), "y", "p1", policy="mcc").first()
-    assert rec["PR_AUC"] == pytest.approx(ap_rowwise(y, s), abs=1e-9)
-    assert rec["ROC_AUC"] == pytest.approx(roc_rowwise(y, s), abs=1e-9)
-    t, m = best_mcc_rowwise(y, s)
-    assert rec["opt_threshold"] == pytest.approx(t)
-    assert rec["opt_MCC"] == pytest.approx(m, abs=1e-9)
+    assert rec["PR_AUC"] == pytest.approx(average_precision(y, s), abs=1e-9)
+    assert rec["ROC_AUC"] == pytest.approx(pair_auc(y, s), abs=1e-9)
+    mcc = mcc_by_threshold(y, s)
+    assert rec["opt_MCC"] == pytest.approx(max(mcc.values()), abs=1e-9)
+    assert mcc[rec["opt_threshold"]] == pytest.approx(max(mcc.values()), abs=1e-9)
 
 
 def test_roc_symmetry_and_bounds(spark):
@@ -155,3 +155,10 @@ def test_grouped_paths(spark):
     cal = calibration.calibration_table(df, "y", "p1", 5, group_cols=["model"])
     per = {r["model"]: r["n"] for r in cal.groupBy("model").agg(F.sum("count").alias("n")).collect()}
     assert per == {"a": 3, "b": 3} and cal.count() == 10
+
+
+def test_nan_scores_fall_in_no_bin(spark):
+    rows = calibration.calibration_table(_scored(spark, [1, 0, 1], [0.95, 1.0, float("nan")]), "y", "p1", 10).collect()
+    last = [r for r in rows if r["bin_index"] == 9][0]
+    assert last["count"] == 2 and last["mean_pred"] == pytest.approx(0.975)
+    assert sum(r["count"] for r in rows) == 2

@@ -1,4 +1,4 @@
-"""Plan guards over every registered query with an oracle (built at sf0.001)."""
+"""Plan guards over the queries whose plans join or aggregate in stages (final plans, built at sf0.001)."""
 
 import __spark_entry__ as entry
 from tests.conftest import SF001
@@ -18,3 +18,15 @@ def test_no_cross_joins_and_pruned_scans(spark):
         # Every table scan reads a pruned schema, never all 11 lineitem columns.
         assert "l_shipdate" not in plan, name
     assert not bad, bad
+
+
+def test_one_prediction_per_model_and_row(spark):
+    from skewscope.catalog.fixtures import embedding_splits
+    from skewscope.operators import models
+
+    s = embedding_splits(spark, SF001)
+    fitted, _ = models.fit_timed(models.logistic_regression(max_iter=2), s["train"])
+    scored = models.score_all({"a": fitted, "b": fitted}, s["valid"])
+    assert scored.count() == 2 * s["valid"].count()
+    plan = scored.where("p1 > 0.5").groupBy("model").count()._jdf.queryExecution().executedPlan().toString()
+    assert "UDF" not in plan

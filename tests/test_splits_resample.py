@@ -115,3 +115,20 @@ def test_oversample_huge_ratio_is_chunked(spark, monkeypatch):
     for k, u in draws.items():
         assert per[k] == int(1249.0 + u)  # floor(ratio + u), ratio = 2498 / 2
     assert out.where("label = 0").count() == 2498
+
+
+def test_chained_draws_are_independent(spark):
+    from skewscope.operators import resample
+
+    df = spark.range(60_000).selectExpr("id AS k", "CAST(id % 5 = 0 AS INT) AS label")
+    capped = splits.cap_rows(df, 15_000, key_col="k")
+    n = {r["label"]: r["count"] for r in capped.groupBy("label").count().collect()}
+    assert abs(n[0] + n[1] - 15_000) < 4 * (15_000 * 0.75) ** 0.5
+    under = {r["label"]: r["count"] for r in resample.undersample(capped, "label", key_col="k").groupBy("label").count().collect()}
+    share = n[1] / n[0]
+    assert under[1] == n[1] and abs(under[0] - n[1]) < 4 * (n[0] * share * (1 - share)) ** 0.5
+    over = {r["label"]: r["count"] for r in resample.oversample(capped, "label", key_col="k").groupBy("label").count().collect()}
+    assert over[0] == n[0] and abs(over[1] - n[0]) < 4 * (n[1] * 0.25) ** 0.5 + 4
+    for method in ("hash", "xxhash64"):
+        half = splits.fraction_sample(capped, 0.5, method=method, key_col="k").count()
+        assert abs(half - (n[0] + n[1]) / 2) < 4 * ((n[0] + n[1]) / 4) ** 0.5

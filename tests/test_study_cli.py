@@ -25,7 +25,7 @@ def test_run_from_batches_writes_all_artefacts(spark, tmp_path):
     _batches(spark, tmp_path / "in")
     out = tmp_path / "out"
     res = run_from_batches(spark, str(tmp_path / "in" / "*.csv.gz"), str(out), group_col="scaffold",
-                           width=64, cap=300, scaling_sizes=(50, 100, 10**9), parallelism=2,
+                           width=64, cap=300, scaling_sizes=(50, 350, 10**9), parallelism=2, keep_tables=True,
                            rf_params={"num_trees": 3, "max_depth": 3}, lr_params={"max_iter": 5})
     names = {p.name for p in out.iterdir()}
     assert {"metrics_valid.json", "metrics_valid.csv", "metrics_test.json", "metrics_test.csv",
@@ -39,7 +39,7 @@ def test_run_from_batches_writes_all_artefacts(spark, tmp_path):
     assert overall["feature_mode"] == "fp_bits" and overall["total_rows"] == 500
     by_split = json.loads(text("class_balance_by_split.json"))
     assert list(by_split) == ["train", "valid", "test"]
-    assert by_split["train"]["rows"] <= 330
+    assert by_split["train"]["rows"] <= 360 < by_split["train"]["rows_before_cap"]
     assert text("split_stats.txt").splitlines()[0].startswith("split\trows")
     valid = json.loads(text("metrics_valid.json"))
     assert len(valid) == 8 and "opt_threshold" in valid["logistic_regression"]
@@ -48,4 +48,23 @@ def test_run_from_batches_writes_all_artefacts(spark, tmp_path):
     assert len(text("calibration_valid.csv").splitlines()) == 11
     scaling = text("scaling_results.csv").splitlines()
     assert scaling[0] == "model,train_rows,train_time_s,pr_auc" and len(scaling) == 5
+    # The size above the cap is sampled from the whole training split.
+    assert max(int(x.split(",")[1]) for x in scaling[1:]) > 300
     assert res.best.count() == 1
+    assert {"curves_valid.csv", "curves_best_valid.csv", "compare_lr_strategies.csv", "compare_lr_rf.csv",
+            "report_metrics.csv", "report_splits.csv", "report_confusion.csv", "report_scaling.csv",
+            "scaling_series.csv"} <= names
+
+
+def test_column_layouts_load_by_header_alone(spark, tmp_path):
+    from skewscope.plans.study import load_batches
+
+    for mode, prefix in (("fp_columns", "fp_"), ("numeric_columns", "")):
+        cols = [F.expr(f"CAST(id % {k + 2} = 0 AS INT)").alias(f"{prefix}{k}") for k in range(130)]
+        df = spark.range(20).select(F.concat(F.lit("m"), "id").alias("SMILES"), F.col("id").cast("string").alias("SA_score"), *cols)
+        df.repartition(2).write.option("header", True).csv(str(tmp_path / mode), compression="gzip")
+        out, found = load_batches(spark, str(tmp_path / mode / "*.csv.gz"), "SMILES", "SA_score")
+        assert found == mode
+        row = out.where("SMILES = 'm6'").first()
+        assert row["features"].size == 130 and row["SA_score"] == 6.0
+        assert row["features"].toArray()[:5].tolist() == [1, 1, 0, 0, 1]  # 6 % 2, 3, 4, 5, 6
