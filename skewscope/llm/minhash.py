@@ -7,7 +7,9 @@
    never all pairs). Pairs whose collision-corrected similarity, from bit counts of the packed
    signatures, is at least ``0.8 - MARGIN`` are confirmed on the shingles themselves, and components built.
 4. Buckets that still hold several components are joined with themselves on (bucket, size class), between
-   components only and under the same estimate, and confirmed likewise: this finds what a star cannot.
+   components only, under the same estimate and an exact bound, and confirmed likewise: this finds what a star
+   cannot. The bound: each shingle flips one of ``PARITY`` bits of its set, so the bits in which two sets differ are never
+   more than the shingles in which they do; pairs with too many are below the similarity for certain.
 
 A pair at similarity 0.8 shares no band with probability 5e-8 and falls below the estimate's margin
 with about 1e-7; higher similarities are missed less. Buckets and classes are only aggregated or joined, never
@@ -32,6 +34,7 @@ from skewscope.llm.common import decide, read, save, whole_text
 from skewscope.llm.components import components
 
 HASHES, BANDS, BITS = 128, 32, 2
+PARITY = 2048
 MARGIN = 0.22
 BROADCAST_ROWS = 1_000_000
 _RNG = np.random.default_rng(20_240_607)
@@ -71,10 +74,10 @@ def minima(hashes: np.ndarray) -> np.ndarray:
 
 
 def sketch(text: str, size: int) -> tuple:
-    """n, sum, mixed sum, four longs of packed low bits, band keys."""
+    """n, sum, mixed sum, four longs of packed low bits, band keys, parity bits."""
     u = shingle_hashes(words(text), size)
     if not len(u):
-        return 0, 0, 0, 0, 0, 0, 0, []
+        return 0, 0, 0, 0, 0, 0, 0, [], []
     low = minima(u)
     bits = (low[:, None] >> np.arange(BITS, dtype=np.uint32)) & np.uint32(1)
     packed = np.packbits(bits.astype(np.uint8).ravel()).view(np.int64)
@@ -82,18 +85,21 @@ def sketch(text: str, size: int) -> tuple:
     key = np.arange(1, BANDS + 1, dtype=np.uint64)
     for k in range(whole.shape[1]):
         key = _mix(key) + whole[:, k]
+    flips = np.bincount((u & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
+    parity = np.packbits(flips.astype(np.uint8)).view(np.int64)
     sums = np.array([u.sum(), _mix(u ^ _ODD).sum()], np.uint64).view(np.int64)
-    return len(u), int(sums[0]), int(sums[1]), *map(int, packed), _mix(key).view(np.int64).tolist()
+    return len(u), int(sums[0]), int(sums[1]), *map(int, packed), _mix(key).view(np.int64).tolist(), parity.tolist()
 
 
-SKETCH = "doc_id long, row_hash long, n long, f1 long, f2 long, s0 long, s1 long, s2 long, s3 long, bands array<long>"
+SKETCH = ("doc_id long, row_hash long, n long, f1 long, f2 long, s0 long, s1 long, s2 long, s3 long, "
+          "bands array<long>, parity array<long>")
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             got = [sketch(t, size) for t in pdf["text"]]
-            out = pd.DataFrame(got, columns=["n", "f1", "f2", "s0", "s1", "s2", "s3", "bands"])
+            out = pd.DataFrame(got, columns=["n", "f1", "f2", "s0", "s1", "s2", "s3", "bands", "parity"])
             out.insert(0, "row_hash", pdf["row_hash"].to_numpy())
             out.insert(0, "doc_id", pdf["doc_id"].astype("Int64").to_numpy())
             yield out
@@ -112,6 +118,14 @@ def estimate(a: str, b: str) -> Column:
     return (agree / float(HASHES) - chance) / (1 - chance)
 
 
+def surely_apart(a: str, b: str, percent: int) -> Column:
+    """True where the parity bits of two sets prove their similarity to be below ``percent``."""
+    differ = F.lit(0)
+    for k in range(PARITY // 64):
+        differ = differ + F.bit_count(F.col(f"{a}p{k}").bitwiseXOR(F.col(f"{b}p{k}")))
+    return differ * (100 + percent) > (F.col(f"{a}n") + F.col(f"{b}n")) * (100 - percent)
+
+
 def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
@@ -150,9 +164,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     sk = save(sketches(docs, size))
     rep = F.min(F.struct("doc_id", "row_hash"))
     classes = save(sk.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "f1", "f2").agg(
-        rep.alias("rep"), *[F.first(f"s{k}").alias(f"s{k}") for k in range(4)], F.first("bands").alias("bands"))
+        rep.alias("rep"), *[F.first(f"s{k}").alias(f"s{k}") for k in range(4)], F.first("bands").alias("bands"),
+        F.first("parity").alias("parity"))
         .select(F.col("rep.doc_id").alias("node"), F.col("rep.row_hash").alias("rep_hash"), "n", "f1", "f2",
-                "s0", "s1", "s2", "s3", "bands"))
+                "s0", "s1", "s2", "s3", "bands", "parity"))
     sig = classes.select("node", "n", "s0", "s1", "s2", "s3")
     least = percent / 100 - MARGIN
 
@@ -173,13 +188,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
                  .select("key"))
     # Sizes in ratio 0.8 or more differ by one class at most (a class spans a factor just above 1/0.8).
     step = float(np.log(100 / percent) * 1.01)
-    side = save(members.join(open_keys, "key", "leftsemi").join(sig, "node")
+    bits = classes.select("node", *[F.col("parity")[k].alias(f"p{k}") for k in range(PARITY // 64)])
+    side = save(members.join(open_keys, "key", "leftsemi").join(sig, "node").join(bits, "node")
                 .withColumn("class", F.floor(F.log("n") / F.lit(step)).cast("int")))
     a = side.select(*[F.col(c).alias("a_" + c) for c in side.columns])
     a = a.withColumn("a_class", F.explode(F.expr("sequence(a_class - 1, a_class + 1)")))
     b = side.select(*[F.col(c).alias("b_" + c) for c in side.columns])
     rest = a.join(b, (F.col("a_key") == F.col("b_key")) & (F.col("a_class") == F.col("b_class"))
-                  & (F.col("a_comp") > F.col("b_comp")) & fits)
+                  & (F.col("a_comp") > F.col("b_comp")) & fits
+                  & ~surely_apart("a_", "b_", percent))
     rest = save(rest.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct())
     more = confirm(rest, classes, docs, size, percent)
     of = lambda x: comp.select(F.col("node").alias(x), F.col("component").alias("c" + x))
