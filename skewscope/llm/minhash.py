@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skewscope.llm.common import decide, read, save, whole_text
+from skewscope.llm.common import decide, discard, read, save, whole_text
 from skewscope.llm.components import components
 
 HASHES, BANDS, BITS = 128, 32, 2
@@ -182,6 +182,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     first = save(stars.where(fits).select("a", "b"))
     comp = components(confirm(first, classes, docs, size, percent))
 
+    stars_of = members
     members = (members.select("node", "key").join(comp, "node", "left")
                .select("node", "key", F.coalesce("component", "node").alias("comp")))
     open_keys = (members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
@@ -203,6 +204,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     more = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
         F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
     outer = components(more).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    discard(stars_of, first, side, rest)
 
     ends = classes.select("node", "n", "f1", "f2").join(comp, "node", "left").withColumn(
         "component", F.coalesce("component", "node")).join(outer, "component", "left").select(
