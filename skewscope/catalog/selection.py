@@ -71,10 +71,12 @@ def _valid_metrics(spark, sf):
 
 
 @register("model_display_name", f"""WITH {BASE}
-SELECT DISTINCT model, {NAME_SQL} AS display_name FROM ms""")
+SELECT model, {NAME_SQL} AS display_name, count(*) AS n_rows, CAST(sum(y) AS BIGINT) AS positives,
+       round(avg(p1), 9) AS mean_score FROM ms GROUP BY model""")
 def model_display_name(spark, sf):
-    m = scored_models(spark, sf).select("model").distinct()
-    return m.select("model", display_name("model").alias("display_name"))
+    m = scored_models(spark, sf).groupBy("model").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("y").alias("positives"), F.round(F.avg("p1"), 9).alias("mean_score"))
+    return m.select("model", display_name("model").alias("display_name"), "n_rows", "positives", "mean_score")
 
 
 @register("select_best", METRICS_SQL + """

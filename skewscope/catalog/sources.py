@@ -54,10 +54,15 @@ def _fp_lineitem(spark, sf):
     return li.select("l_orderkey", "l_linenumber", *[F.col(c).cast("double").alias(n) for c, n in names.items()])
 
 
-@register("detect_layout")
+@register("detect_layout", """
+SELECT l_orderkey, l_linenumber, 'fp_columns' AS feature_mode, 5 AS width, CAST(l_linenumber AS DOUBLE) AS feature_0,
+       l_discount AS feature_1, l_quantity AS feature_2, l_tax AS feature_3, l_extendedprice AS feature_4
+FROM lineitem""")
 def detect_layout(spark, sf):
     df, mode = features.detect_layout(_fp_lineitem(spark, sf), min_columns=4)
-    return df.withColumn("feature_mode", F.lit(mode))
+    arr = vector_to_array("features")
+    return df.select(*[c for c in df.columns if c != "features"], F.lit(mode).alias("feature_mode"),
+                     F.size(arr).alias("width"), *[arr[i].alias(f"feature_{i}") for i in range(5)])
 
 
 @register("assemble_features", """

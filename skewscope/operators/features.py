@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,7 +52,11 @@ def bits_array(bits: Column, width: int = FP_WIDTH) -> Column:
 
 def bits_to_features(df: DataFrame, bits_col: str = BITS_COL, out: str = "features",
                      width: int = FP_WIDTH) -> DataFrame:
-    return df.withColumn(out, array_to_vector(bits_array(F.col(bits_col), width)))
+    """Bit strings to vectors, stored sparse where that is smaller."""
+    dense = df.withColumn("_bits", array_to_vector(bits_array(F.col(bits_col), width)))
+    # The width is checked by bits_array; the hint spares the assembler a look at the first row.
+    sized = VectorSizeHint(inputCol="_bits", size=width, handleInvalid="optimistic").transform(dense)
+    return VectorAssembler(inputCols=["_bits"], outputCol=out).transform(sized).drop("_bits")
 
 
 def detect_layout(df: DataFrame, out: str = "features", min_columns: int = MIN_COLUMNS,

@@ -52,7 +52,7 @@ def _values(df: DataFrame, col: str) -> DataFrame:
 
 
 def quantile_threshold_full(df: DataFrame, col: str, p: float = 0.8, method: str = "disc",
-                            rows_per_range: int = DEFAULT_ROWS_PER_RANGE, reuse: bool = False) -> DataFrame:
+                            rows_per_range: int = DEFAULT_ROWS_PER_RANGE, reuse: bool = True) -> DataFrame:
     """Exact quantile from value counts and a range-bounded running count over all values."""
     counts = _values(df, col).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
     ranked = running_totals(counts, "value", ["n"], descending=False, rows_per_range=rows_per_range,
@@ -64,7 +64,7 @@ BRACKET_ACCURACY = 10000
 
 
 def quantile_threshold(df: DataFrame, col: str, p: float = 0.8, method: str = "disc",
-                       rows_per_range: int = DEFAULT_ROWS_PER_RANGE, reuse: bool = False) -> DataFrame:
+                       rows_per_range: int = DEFAULT_ROWS_PER_RANGE) -> DataFrame:
     """Exact quantile as a one-row frame with column ``threshold``.
 
     ``method="disc"``: smallest value whose cumulative share is >= p (SQL
@@ -97,11 +97,13 @@ def quantile_threshold(df: DataFrame, col: str, p: float = 0.8, method: str = "d
     # lo and hi sit within 3n/accuracy ranks of pn, so the bracket holds at most
     # ~6n/accuracy distinct values plus the sentinel.
     bound = int(6 * n / BRACKET_ACCURACY) + 3
+    # A bracket beyond one range is read several times: written once, so the input is not read again.
+    small = bound <= rows_per_range
     ranked = running_totals(inside, "value", ["n"], descending=False, rows_per_range=rows_per_range,
-                            reuse=reuse, rows_hint=bound if bound <= rows_per_range else None)
+                            reuse=not small, rows_hint=bound if small else None)
     res = _pick(ranked, p, method, F.lit(n)).first()["threshold"]
     if res is None or not math.isfinite(res):  # a rank fell outside the bracket
-        return quantile_threshold_full(df, col, p, method, rows_per_range, reuse)
+        return quantile_threshold_full(df, col, p, method, rows_per_range)
     return spark.createDataFrame([(float(res),)], "threshold double")
 
 

@@ -55,3 +55,11 @@ def test_parquet_and_csv_give_same_frame(spark, tmp_path):
     a = batches.scan_batches(spark, str(tmp_path / "p"), fmt="parquet")
     b = batches.scan_batches(spark, str(tmp_path / "c"), schema="SMILES string, SA_score double")
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_mostly_zero_bits_are_sparse(spark):
+    from pyspark.ml.linalg import SparseVector
+    df = spark.createDataFrame([("0" * 63 + "1",), ("1" * 64,)], "fp_bits string")
+    few, many = (r["features"] for r in features.bits_to_features(df, width=64).collect())
+    assert isinstance(few, SparseVector) and few.toArray().sum() == 1 and few[63] == 1.0
+    assert many.toArray().sum() == 64

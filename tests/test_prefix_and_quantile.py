@@ -59,6 +59,21 @@ def test_exact_quantile_multi_range_and_nulls(spark):
     assert full == ref
 
 
+def test_exact_quantile_reads_its_input_twice_at_any_bracket(spark):
+    n = 40_000
+    read = spark.sparkContext.accumulator(0)
+
+    def passing(x):
+        read.add(1)
+        return x
+
+    counted = F.udf(passing, "double").asNondeterministic()
+    df = spark.range(n).select(counted((F.col("id") * 7919 % n).cast("double")).alias("x"))
+    got = labels.quantile_threshold(df, "x", 0.8, "disc", rows_per_range=5).first()["threshold"]
+    assert got == 0.8 * n - 1
+    assert read.value == 2 * n
+
+
 def test_empty_quantile_is_null_and_labels_zero(spark):
     df = spark.createDataFrame([], "x double")
     assert labels.threshold_value(df, "x", 0.8) is None
