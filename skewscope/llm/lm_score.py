@@ -9,8 +9,8 @@ P(w | v) = M * c(v, w) / c(v) + (1 - M) * (c(w) + A) / (N + A * V), with pairs s
 documents left to the second term in both models. A document starts after a boundary word.
 
 Word and pair counts cover all documents and are summed by Spark. Counts of single words are bounded by the
-vocabulary. Pair losses are broadcast up to ``BROADCAST_PAIRS`` rows; beyond that the documents' distinct pairs are joined with
-them by shuffle, with the same result.
+vocabulary. Pair losses are broadcast up to ``BROADCAST_PAIRS`` rows; beyond that documents are packed into batches, each batch's
+distinct pairs are joined with them by shuffle, and its documents scored with what was found: the same result.
 
 Defined results: null, empty and blank texts have no words and zeros; without good documents the target is uniform over
 the vocabulary; repeated rows get equal scores (and count twice in the models); a doc_id with several labels is good if
@@ -19,11 +19,13 @@ any is.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,7 @@ VOCABULARY = 16_384
 MIX, ADD, CUT = 0.7, 0.5, 2
 BROADCAST_PAIRS = 4_000_000
 BROADCAST_ROWS = 1_000_000
+BATCH_WORDS = 2_000_000
 UNKNOWN, START = 0, 1
 BITS = 20  # of a word's number within a pair
 
@@ -83,6 +86,42 @@ def pair_counts(flagged: DataFrame, shared) -> DataFrame:
                 .groupBy("pair").agg(F.sum("n").alias("n"), F.sum("good").alias("good")))
 
 
+def _batches(flagged: DataFrame, shared) -> DataFrame:
+    """Saved: whole documents as word numbers, some ``BATCH_WORDS`` words to a row (or one longer document)."""
+    def row(batch: int, held: list) -> pd.DataFrame:
+        ids = [x for *_, x in held]
+        return pd.DataFrame({
+            "batch": [batch], "doc_ids": [np.array([d or 0 for d, *_ in held], np.int64).tobytes()],
+            "absent": [np.array([d is None for d, *_ in held], np.bool_).tobytes()],
+            "row_hashes": [np.array([h for _, h, _ in held], np.int64).tobytes()],
+            "sizes": [np.array([len(x) for x in ids], np.int64).tobytes()],
+            "ids": [zlib.compress(np.concatenate(ids).tobytes(), 1)]})
+
+    def pack(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        batch, held, n = TaskContext.get().partitionId() << 32, [], 0
+        for pdf in parts:
+            for d, h, t in zip(pdf["doc_id"].astype("Int64"), pdf["row_hash"], pdf["text"]):
+                held.append((None if d is pd.NA else int(d), h,
+                             np.array([shared.value.get(w, UNKNOWN) for w in words(t)], np.uint32)))
+                n += len(held[-1][2]) + 1
+                if n >= BATCH_WORDS:
+                    yield row(batch, held)
+                    batch, held, n = batch + 1, [], 0
+        if held:
+            yield row(batch, held)
+
+    return save(flagged.select("doc_id", "row_hash", "text").mapInPandas(
+        pack, "batch long, doc_ids binary, absent binary, row_hashes binary, sizes binary, ids binary"))
+
+
+def _batch_pairs(sizes: bytes, ids: bytes) -> np.ndarray:
+    """The pairs of a batch's documents, one after another."""
+    sizes, ids = np.frombuffer(sizes, np.int64), np.frombuffer(zlib.decompress(ids), np.uint32).astype(np.int64)
+    before = np.concatenate([ids[:1], ids[:-1]])
+    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
+    return (before << BITS) | ids
+
+
 def _single(counts: DataFrame, side: str, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Counts by word (second or first of its pairs) over all documents and over good ones: bounded by the vocabulary."""
     number = F.shiftright("pair", BITS) if side == "first" else F.col("pair").bitwiseAND(F.lit((1 << BITS) - 1))
@@ -130,6 +169,17 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, vocabulary: int
             "ce_target": target / counted_, "ce_background": background / counted_,
             "score": (target - background) / counted_})
 
+    def summed(pdf, sizes, all_, pairs, n, good):
+        """Rows of ``pdf``, whose words' pairs are ``all_`` one after another; ``pairs`` are sorted, with their counts."""
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        a = b = np.zeros(len(all_))
+        if len(pairs):
+            at = np.minimum(np.searchsorted(pairs, all_), len(pairs) - 1)
+            hit = pairs[at] == all_
+            a, b = np.where(hit, good[at], 0), np.where(hit, n[at], 0)
+        t, g = losses(all_, b, a)
+        return frame(pdf, sizes, np.bincount(doc, t, len(sizes)), np.bincount(doc, g, len(sizes)))
+
     schema = "doc_id long, row_hash long, n_words long, ce_target double, ce_background double, score double"
     if n_kept <= broadcast_pairs:
         def packed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -142,49 +192,32 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, vocabulary: int
         table = spark.sparkContext.broadcast(tuple(np.ascontiguousarray(got[:, k]) for k in range(3)))
 
         def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            pairs, n, good = table.value
             for pdf in parts:
                 each = [_pairs(t, shared.value) for t in pdf["text"]]
                 sizes = np.array([len(x) for x in each], np.int64)
-                doc = np.repeat(np.arange(len(each)), sizes)
-                all_ = np.concatenate(each) if each else np.zeros(0, np.int64)
-                at = np.minimum(np.searchsorted(pairs, all_), max(0, len(pairs) - 1))
-                found = pairs[at] == all_ if len(pairs) else np.zeros(len(all_), bool)
-                a = np.where(found, good[at], 0) if len(pairs) else np.zeros(len(all_))
-                b = np.where(found, n[at], 0) if len(pairs) else np.zeros(len(all_))
-                t, g = losses(all_, b, a)
-                yield frame(pdf, sizes, np.bincount(doc, t, len(each)), np.bincount(doc, g, len(each)))
+                yield summed(pdf, sizes, np.concatenate(each) if each else np.zeros(0, np.int64), *table.value)
 
         return flagged.select("doc_id", "row_hash", "text").mapInPandas(score, schema)
 
-    def distinct(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            rows = [np.unique(_pairs(t, shared.value), return_counts=True) for t in pdf["text"]]
-            out = pdf[["doc_id", "row_hash"]].copy()
-            out["doc_id"] = out["doc_id"].astype("Int64")
-            out["pairs"], out["times"] = [p for p, _ in rows], [c for _, c in rows]
-            yield out
+    batches = _batches(flagged, shared)
 
-    def summed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def distinct(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            t, g = losses(pdf["pair"].to_numpy(), pdf["n"].to_numpy(), pdf["good"].to_numpy())
-            pdf["doc_id"] = pdf["doc_id"].astype("Int64")
-            yield pdf[["doc_id", "row_hash", "times"]].assign(t=t * pdf["times"], g=g * pdf["times"])
-
-    one = flagged.select("doc_id", "row_hash", "text").dropDuplicates(["doc_id", "row_hash"]).mapInPandas(
-        distinct, "doc_id long, row_hash long, pairs array<long>, times array<long>")
-    rows = one.select("doc_id", "row_hash", F.explode(F.arrays_zip("pairs", "times")).alias("x")).select(
-        "doc_id", "row_hash", F.col("x.pairs").alias("pair"), F.col("x.times").alias("times"))
-    rows = rows.join(kept, "pair", "left").na.fill(0, ["n", "good"]).mapInPandas(
-        summed, "doc_id long, row_hash long, times long, t double, g double")
-    sums = rows.groupBy("doc_id", "row_hash").agg(F.sum("times").alias("c"), F.sum("t").alias("t"), F.sum("g").alias("g"))
-    left = flagged.select(F.col("doc_id").alias("d"), F.col("row_hash").alias("h"))
-    out = left.join(sums, left["d"].eqNullSafe(sums["doc_id"]) & (left["h"] == sums["row_hash"]), "left")
-    n = F.coalesce("c", F.lit(0))
-    per = lambda x: F.coalesce(x / F.col("c"), F.lit(0.0))
-    return out.select(F.col("d").alias("doc_id"), F.col("h").alias("row_hash"), n.alias("n_words"),
-                      per(F.col("t")).alias("ce_target"), per(F.col("g")).alias("ce_background"),
-                      per(F.col("t") - F.col("g")).alias("score"))
+            for batch, sizes, ids in zip(pdf["batch"], pdf["sizes"], pdf["ids"]):
+                yield pd.DataFrame({"pair": np.unique(_batch_pairs(sizes, ids))}).assign(batch=batch)
+
+    def scored(batch: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        row = batch.iloc[0]
+        sizes, all_ = np.frombuffer(row["sizes"], np.int64), _batch_pairs(row["sizes"], row["ids"])
+        doc_id = pd.Series(np.frombuffer(row["doc_ids"], np.int64)).astype("Int64")
+        doc_id = doc_id.mask(np.frombuffer(row["absent"], np.bool_))
+        rows = pd.DataFrame({"doc_id": doc_id, "row_hash": np.frombuffer(row["row_hashes"], np.int64)})
+        found = found.sort_values("pair")
+        return summed(rows, sizes, all_, *(found[c].to_numpy(np.int64) for c in ("pair", "n", "good")))
+
+    wanted = batches.select("batch", "sizes", "ids").mapInPandas(distinct, "pair long, batch long")
+    found = wanted.join(kept, "pair").select("batch", "pair", "n", "good")
+    return batches.groupBy("batch").cogroup(found.groupBy("batch")).applyInPandas(scored, schema)
 
 
 def op3_cross_entropy(spark, sf_dir: str) -> DataFrame:
