@@ -1,12 +1,13 @@
 """I-Match fingerprints with randomised lexicons; DataFrame functions only.
 
 The lexicon is the band of terms whose document frequency lies between N^0.2 and N^0.8 (N rows): idf is
-neither among the least nor the most. It is split at random, by a hash of the term, into
-sub-lexicons; a fingerprint holds, for each sub-lexicon that meets the text, a hash of
-its sorted distinct terms. The likeness of two fingerprints is the share of sub-lexicons with equal hashes
-among those that meet either text. A text that meets none has a hash of the whole text instead.
+neither among the least nor the most. It is dealt at random, by a hash of the term, to ``SUBS`` sub-lexicons, so
+every term of it belongs to one; a fingerprint holds, for each sub-lexicon that meets the text, a hash of the text's
+distinct terms in it (the XOR of their own hashes, which needs no sorting and sums up before the shuffle). The likeness
+of two fingerprints is the share of sub-lexicons with equal hashes among those that meet either text. A text without any
+term of the lexicon has a hash of the whole text instead.
 
-Only the terms of the ``SLOTS`` sub-lexicons used are counted or shuffled (document frequencies cover all rows).
+All distinct terms of all rows are counted and looked up; one row of hashes per text is shuffled.
 The lexicon is broadcast up to ``BROADCAST_ROWS`` terms and joined by shuffle beyond that.
 
 The next document in descending doc_id is found with a window per range of doc_ids (ranges of about
@@ -26,40 +27,41 @@ from skewscope.llm.common import attach, read, save, whole_text
 from skewscope.llm.decontaminate import SEPARATORS, words
 from skewscope.llm.url_rules import LOWER, UPPER
 
-#: Sub-lexicons are the first two hex digits of md5(term); those below this bound are used (32 of 256).
+SUBS = 32
+#: Of the oracle SQL below only: it still takes 32 of 256 sub-lexicons, one eighth of the terms.
 SLOTS = "20"
 LOW, HIGH = 0.2, 0.8
 BROADCAST_ROWS = 1_000_000
 RANGE_ROWS, MAX_RANGES = 5_000, 4_096
 
 
-def slot_terms(text: Column) -> Column:
-    """Distinct terms of the used sub-lexicons as strings ``slot:term``."""
-    tagged = F.transform(F.array_distinct(words(text)), lambda w: F.concat(
-        F.substring(F.md5(w.cast("binary")), 1, 2), F.lit(":"), w))
-    return F.filter(tagged, lambda x: x < F.lit(SLOTS))
+def distinct_terms(text: Column) -> Column:
+    return F.array_distinct(words(text))
 
 
 def lexicon(rows: DataFrame, n: int) -> DataFrame:
-    """Terms (``term``, tagged with their slot) whose document frequency lies in the band."""
-    df = rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    return df.where(F.col("df").between(n ** LOW, n ** HIGH)).select("term")
+    """Terms of ``text`` whose document frequency lies in the band: ``term``, its sub-lexicon ``sub`` and its hash ``h``."""
+    df = rows.select(F.explode(distinct_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    number = lambda at, size: F.conv(F.substring(F.md5(F.col("term").cast("binary")), at, size), 16, 10)
+    return df.where(F.col("df").between(n ** LOW, n ** HIGH)).select(
+        "term", (number(1, 2).cast("int") % SUBS).alias("sub"), number(3, 8).cast("long").alias("h"))
 
 
-def fingerprints(rows: DataFrame, lex: DataFrame) -> DataFrame:
-    """doc_id, row_hash, print (array of ``slot:hash``) of rows (doc_id, row_hash, terms, whole).
+def fingerprints(rows: DataFrame, text: str, lex: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys``, of which one tells rows apart, and print: an array of ``sub:hash``, empty if no term is in the lexicon."""
+    small = lex.count() <= BROADCAST_ROWS
+    terms = rows.select(*keys, F.posexplode_outer(distinct_terms(F.col(text))).alias("at", "term"))
+    met = terms.join(F.broadcast(lex) if small else lex, "term", "left")
+    met = met.where(F.col("sub").isNotNull() | (F.coalesce("at", F.lit(0)) == 0))  # every row keeps its first
+    out = met.groupBy(*keys).agg(*(F.bit_xor(F.when(F.col("sub") == k, F.col("h"))).alias(f"h{k}") for k in range(SUBS)))
+    prints = F.array_compact(F.array(*(F.concat(F.lit(f"{k:02x}:"), F.lpad(F.lower(F.hex(f"h{k}")), 8, "0"))
+                                       for k in range(SUBS))))
+    return out.select(*keys, prints.alias("print"))
 
-    ``whole`` is the hash that stands in for a text that meets no sub-lexicon.
-    """
-    small = F.broadcast(lex) if lex.count() <= BROADCAST_ROWS else lex
-    met = (rows.select("doc_id", "row_hash", F.explode("terms").alias("term")).join(small, "term")
-           .groupBy("doc_id", "row_hash").agg(F.sort_array(F.collect_set("term")).alias("met")))
-    slots = F.array_distinct(F.transform("met", lambda t: F.substring(t, 1, 2)))
-    prints = F.transform(slots, lambda s: F.concat(s, F.lit(":"), F.substring(F.md5(F.array_join(F.filter(
-        "met", lambda t: t.startswith(s)), " ").cast("binary")), 1, 8)))
-    out = attach(rows.select("doc_id", "row_hash", "whole"), met.select("doc_id", "row_hash", prints.alias("print")),
-                 ["print"])
-    return out.select("doc_id", "row_hash", F.coalesce("print", F.array(F.concat(F.lit("t:"), "whole"))).alias("print"))
+
+def or_whole(prints: str, whole: str) -> Column:
+    """The print, or the hash of the whole text that stands in for an empty one."""
+    return F.when(F.size(prints) > 0, F.col(prints)).otherwise(F.array(F.concat(F.lit("t:"), whole)))
 
 
 def likeness(a: str, b: str) -> Column:
@@ -101,33 +103,35 @@ def with_next(docs: DataFrame) -> DataFrame:
 
 
 def edit_table(docs: DataFrame) -> DataFrame:
-    """Saved: per row its own and its edited text's hashes and slot terms, and who comes next."""
+    """Per row its edited text, the hashes of both texts and who comes next."""
     both = with_next(docs)
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     both = both.withColumn("edited", F.concat(F.substring("text", F.lit(1), n - half),
                                               F.substring("next_text", F.lit(1), half)))
-    return save(both.select(
-        "doc_id", "row_hash", "next_doc", "next_hash", n.cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"), slot_terms(F.col("text")).alias("terms"),
-        F.md5(F.col("text").cast("binary")).alias("whole"), slot_terms(F.col("edited")).alias("edited_terms"),
-        F.md5(F.col("edited").cast("binary")).alias("edited_whole")))
+    return both.select(
+        "doc_id", "row_hash", "next_doc", "next_hash", n.cast("long").alias("n_chars"), "edited",
+        F.sha2("edited", 256).alias("edited_sha256"), F.md5(F.col("edited").cast("binary")).alias("edited_whole"))
 
 
-def op7_imatch(spark, sf_dir: str) -> DataFrame:
-    rows = edit_table(read(spark, sf_dir, "documents"))
-    own = rows.select("doc_id", "row_hash", "terms", "whole")
-    lex = save(lexicon(own, max(1, rows.count())))
+def imatch(docs: DataFrame) -> DataFrame:
+    rows = whole_text(docs)
+    lex = save(lexicon(rows, max(1, rows.count())))
+    numbered = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("whole", F.md5(F.col("text").cast("binary")))
+    prints = fingerprints(numbered, "text", lex, ["row", "doc_id", "row_hash", "whole"])
     # Equal rows have equal prints: one of each is kept for the joins.
-    prints = save(fingerprints(own.dropDuplicates(["doc_id", "row_hash"]), lex))
-    edited = rows.select("doc_id", "row_hash", F.col("edited_terms").alias("terms"), F.col("edited_whole").alias("whole"))
-    # Repeated rows may have different next rows, so an edited text is known by its own hash too.
-    edited = edited.withColumn("row_hash", F.xxhash64("row_hash", "whole")).dropDuplicates(["doc_id", "row_hash"])
-    edited = save(fingerprints(edited, lex))
-    out = attach(rows.drop("terms", "edited_terms", "whole"), prints, ["print"])
-    out = out.withColumn("own_hash", F.col("row_hash")).withColumn("row_hash", F.xxhash64("own_hash", "edited_whole"))
-    out = attach(out, edited.withColumnRenamed("print", "edited_print"), ["edited_print"])
-    out = out.withColumnsRenamed({"doc_id": "own_doc", "row_hash": "own_edited"}).withColumnsRenamed(
+    prints = save(prints.select("doc_id", "row_hash", or_whole("print", "whole").alias("print"))
+                  .dropDuplicates(["doc_id", "row_hash"]))
+    edits = edit_table(docs).withColumn("row", F.monotonically_increasing_id())
+    names = [c for c in edits.columns if c != "edited"]
+    if lex.count() <= BROADCAST_ROWS:
+        edited = fingerprints(edits, "edited", lex, names)
+    else:  # the terms are shuffled with nothing but the row's number
+        edits = save(edits)
+        edited = edits.select(*names).join(fingerprints(edits, "edited", lex, ["row"]), "row")
+    out = edited.withColumn("edited_print", or_whole("print", "edited_whole")).drop("print", "row", "edited_whole")
+    out = attach(out, prints, ["print"])
+    out = out.withColumnsRenamed({"doc_id": "own_doc", "row_hash": "own_hash"}).withColumnsRenamed(
         {"next_doc": "doc_id", "next_hash": "row_hash"})
     out = attach(out, prints.withColumnRenamed("print", "next_print"), ["next_print"])
     return out.select(F.col("own_doc").alias("doc_id"), "n_chars", "edited_sha256",
@@ -137,6 +141,10 @@ def op7_imatch(spark, sf_dir: str) -> DataFrame:
                       likeness("print", "next_print").alias("near_next"))
 
 
+def op7_imatch(spark, sf_dir: str) -> DataFrame:
+    return imatch(read(spark, sf_dir, "documents"))
+
+
 _TERMS = r"""list_filter(list_transform(list_distinct(list_filter(string_split_regex(
     translate({t}, '{u}', '{l}'), '{s}'), lambda w: w <> '')), lambda w: md5(w)[1:2] || ':' || w), lambda x: x < '{m}')"""
 
