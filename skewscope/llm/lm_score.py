@@ -1,20 +1,20 @@
 """Cross-entropy difference of matched target and background bigram models.
 
-Both models share one vocabulary (the ``vocabulary`` most frequent words of all documents, the rest one unknown
-word), the same order, smoothing and cut-off; they differ only in what they count: the background all
-documents, the target those labelled good (quality 1, not toxic). A document's score is the mean over its words
+Both models share one vocabulary (all words of all documents, known by a 64-bit hash), the same order, smoothing and
+cut-off; they differ only in what they count: the background all documents, the target those labelled good
+(quality 1, not toxic). A document's score is the mean over its words
 of target loss minus background loss (nats): the lower, the more it reads like the target.
 
 P(w | v) = M * c(v, w) / c(v) + (1 - M) * (c(w) + A) / (N + A * V), with pairs seen fewer than ``CUT`` times in all
 documents left to the second term in both models. A document starts after a boundary word.
 
-Word and pair counts cover all documents and are summed by Spark. Counts of single words are bounded by the
-vocabulary. Pair losses are broadcast up to ``BROADCAST_PAIRS`` rows; beyond that documents are packed into batches, each batch's
-distinct pairs are joined with them by shuffle, and its documents scored with what was found: the same result.
+Word and pair counts cover all documents and stay in a Spark table; only their sums reach the driver. Up to ``BROADCAST_PAIRS``
+rows the table is broadcast; beyond that documents are packed into batches, each batch's distinct words and pairs
+are joined with it by shuffle, and its documents scored with what was found: the same result.
 
 Defined results: null, empty and blank texts have no words and zeros; without good documents the target is uniform over
 the vocabulary; repeated rows get equal scores (and count twice in the models); a doc_id with several labels is good if
-any is.
+any is. ``vocabulary`` keeps only that many most frequent words and makes the rest one unknown word, if a caller asks for it.
 """
 
 from __future__ import annotations
@@ -31,13 +31,13 @@ from pyspark.sql import functions as F
 
 from skewscope.llm.common import read, save, whole_text
 
-VOCABULARY = 16_384
 MIX, ADD, CUT = 0.7, 0.5, 2
 BROADCAST_PAIRS = 4_000_000
 BROADCAST_ROWS = 1_000_000
 BATCH_WORDS = 2_000_000
 UNKNOWN, START = 0, 1
-BITS = 20  # of a word's number within a pair
+WORD, PAIR = 0, 1  # kinds of counted keys
+COUNTS = "kind byte, key long, n long, good long, first_n long, first_good long"
 
 
 def words(text: str) -> list[str]:
@@ -51,8 +51,8 @@ def _flagged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return whole_text(docs).join(good, "doc_id", "left").withColumn("good", F.coalesce("good", F.lit(False)))
 
 
-def shared_vocabulary(docs: DataFrame, size: int) -> dict[str, int]:
-    """The ``size`` most frequent words (ties by word), numbered from 2."""
+def shared_vocabulary(docs: DataFrame, size: int) -> np.ndarray:
+    """The hashes of the ``size`` most frequent words (ties by word)."""
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
             c = Counter()
@@ -63,47 +63,83 @@ def shared_vocabulary(docs: DataFrame, size: int) -> dict[str, int]:
 
     top = (docs.select("text").mapInPandas(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "word").limit(size).collect())
-    return {r["word"]: k + 2 for k, r in enumerate(top)}
+    return _hashes([r["word"] for r in top])
 
 
-def _pairs(text: str, known: dict[str, int]) -> np.ndarray:
-    ids = np.array([START, *(known.get(w, UNKNOWN) for w in words(text))], np.int64)
-    return (ids[:-1] << BITS) | ids[1:]
+def _hashes(some: list[str] | np.ndarray) -> np.ndarray:
+    return pd.util.hash_array(np.array(some, object), categorize=False)
 
 
-def pair_counts(flagged: DataFrame, shared) -> DataFrame:
-    """Saved: pair, n (all documents), good (target documents)."""
-    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in parts:
-            got = [_pairs(t, shared.value) for t in pdf["text"]]
-            if not got:
-                continue
-            weight = np.repeat(pdf["good"].to_numpy(np.float64), [len(g) for g in got])
-            pair, place, n = np.unique(np.concatenate(got), return_inverse=True, return_counts=True)
-            yield pd.DataFrame({"pair": pair, "n": n, "good": np.bincount(place, weight, len(pair)).astype(np.int64)})
+def _coded(texts, known: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words by text, all words' places in the third, and the distinct words' hashes (the first is the boundary)."""
+    each = [words(t) for t in texts]
+    sizes = np.array([len(x) for x in each], np.int64)
+    code, distinct = pd.factorize(np.array([w for x in each for w in x], object))
+    ids = _hashes(distinct)
+    if known is not None:
+        ids, place = np.unique(np.where(np.isin(ids, known), ids, np.uint64(UNKNOWN)), return_inverse=True)
+        code = place[code] if len(code) else code
+    return sizes, code.astype(np.int64) + 1, np.concatenate([np.array([START], np.uint64), ids])
+
+
+def _before(sizes: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """The word before each word; 0, the boundary, at the start of a document."""
+    before = np.concatenate([code[:1], code[:-1]])
+    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = 0
+    return before
+
+
+def _pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """One 64-bit key for two hashes."""
+    x = first * np.uint64(0x9E3779B97F4A7C15) + second
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
 
-    return save(flagged.select("text", "good").mapInPandas(count, "pair long, n long, good long")
-                .groupBy("pair").agg(F.sum("n").alias("n"), F.sum("good").alias("good")))
 
+def _distinct_pairs(sizes: np.ndarray, code: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the distinct pairs, each word's place among them and how often each occurs."""
+    local, place, n = np.unique(_before(sizes, code) * len(ids) + code, return_inverse=True, return_counts=True)
+    return _pair_keys(ids[local // len(ids)], ids[local % len(ids)]), place, n
 
-def _batches(flagged: DataFrame, shared) -> DataFrame:
-    """Saved: whole documents as word numbers, some ``BATCH_WORDS`` words to a row (or one longer document)."""
+
+def word_and_pair_counts(flagged: DataFrame, known) -> DataFrame:
+    """Saved: kind and key of every word and every pair seen ``CUT`` times, n (all documents), good (target documents), and
+    both as first of a pair."""
+    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            sizes, code, ids = _coded(pdf["text"], known and known.value)
+            weight = np.repeat(pdf["good"].to_numpy(np.float64), sizes)
+            before = _before(sizes, code)
+            total = lambda x, w=None: np.bincount(x, w, len(ids)).astype(np.int64)
+            yield pd.DataFrame({"kind": np.int8(WORD), "key": ids.view(np.int64), "n": total(code), "good": total(code, weight),
+                                "first_n": total(before), "first_good": total(before, weight)})
+            keys, place, n = _distinct_pairs(sizes, code, ids)
+            yield pd.DataFrame({"kind": np.int8(PAIR), "key": keys, "n": n, "first_n": 0, "first_good": 0,
+                                "good": np.bincount(place, weight, len(keys)).astype(np.int64)})[
+                ["kind", "key", "n", "good", "first_n", "first_good"]]
+
+    return save(flagged.select("text", "good").mapInPandas(count, COUNTS).groupBy("kind", "key")
+                .agg(*(F.sum(c).alias(c) for c in ("n", "good", "first_n", "first_good")))
+                .where((F.col("kind") == WORD) | (F.col("n") >= CUT)))
+
+
+def _batches(flagged: DataFrame, known) -> DataFrame:
+    """Saved: whole documents as coded words, some ``BATCH_WORDS`` words to a row (or one longer document)."""
     def row(batch: int, held: list) -> pd.DataFrame:
-        ids = [x for *_, x in held]
+        sizes, code, ids = _coded([t for *_, t in held], known and known.value)
         return pd.DataFrame({
             "batch": [batch], "doc_ids": [np.array([d or 0 for d, *_ in held], np.int64).tobytes()],
             "absent": [np.array([d is None for d, *_ in held], np.bool_).tobytes()],
             "row_hashes": [np.array([h for _, h, _ in held], np.int64).tobytes()],
-            "sizes": [np.array([len(x) for x in ids], np.int64).tobytes()],
-            "ids": [zlib.compress(np.concatenate(ids).tobytes(), 1)]})
+            "sizes": [sizes.tobytes()], "codes": [zlib.compress(code.astype(np.uint32).tobytes(), 1)], "ids": [ids.tobytes()]})
 
     def pack(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         batch, held, n = TaskContext.get().partitionId() << 32, [], 0
         for pdf in parts:
             for d, h, t in zip(pdf["doc_id"].astype("Int64"), pdf["row_hash"], pdf["text"]):
-                held.append((None if d is pd.NA else int(d), h,
-                             np.array([shared.value.get(w, UNKNOWN) for w in words(t)], np.uint32)))
-                n += len(held[-1][2]) + 1
+                held.append((None if d is pd.NA else int(d), h, t))
+                n += len(words(t)) + 1
                 if n >= BATCH_WORDS:
                     yield row(batch, held)
                     batch, held, n = batch + 1, [], 0
@@ -111,28 +147,20 @@ def _batches(flagged: DataFrame, shared) -> DataFrame:
             yield row(batch, held)
 
     return save(flagged.select("doc_id", "row_hash", "text").mapInPandas(
-        pack, "batch long, doc_ids binary, absent binary, row_hashes binary, sizes binary, ids binary"))
+        pack, "batch long, doc_ids binary, absent binary, row_hashes binary, sizes binary, codes binary, ids binary"))
 
 
-def _batch_pairs(sizes: bytes, ids: bytes) -> np.ndarray:
-    """The pairs of a batch's documents, one after another."""
-    sizes, ids = np.frombuffer(sizes, np.int64), np.frombuffer(zlib.decompress(ids), np.uint32).astype(np.int64)
-    before = np.concatenate([ids[:1], ids[:-1]])
-    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = START
-    return (before << BITS) | ids
+def _unpacked(sizes: bytes, codes: bytes, ids: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return (np.frombuffer(sizes, np.int64), np.frombuffer(zlib.decompress(codes), np.uint32).astype(np.int64),
+            np.frombuffer(ids, np.uint64))
 
 
-def _single(counts: DataFrame, side: str, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts by word (second or first of its pairs) over all documents and over good ones: bounded by the vocabulary."""
-    number = F.shiftright("pair", BITS) if side == "first" else F.col("pair").bitwiseAND(F.lit((1 << BITS) - 1))
-    n, good = np.zeros(size + 2), np.zeros(size + 2)
-    for r in counts.groupBy(number.alias("word")).agg(F.sum("n").alias("n"), F.sum("good").alias("good")).collect():
-        n[r["word"]], good[r["word"]] = r["n"], r["good"]
-    return n, good
-
-
-def _unigram(counts: np.ndarray) -> np.ndarray:
-    return (counts + ADD) / (counts.sum() + ADD * len(counts))
+def _found(table: tuple[np.ndarray, ...], keys: np.ndarray) -> list[np.ndarray]:
+    """The counts of ``keys`` in ``table`` (sorted keys, then columns of counts); 0 for those it lacks."""
+    if not len(table[0]):
+        return [np.zeros(len(keys)) for _ in table[1:]]
+    at = np.minimum(np.searchsorted(table[0], keys), len(table[0]) - 1)
+    return [np.where(table[0][at] == keys, c[at], 0).astype(float) for c in table[1:]]
 
 
 def _loss(seen, context, single, mix=MIX):
@@ -143,80 +171,69 @@ def _loss(seen, context, single, mix=MIX):
     return -np.log(part * share + (1 - part) * single)
 
 
-def cross_entropy_difference(docs: DataFrame, labels: DataFrame, vocabulary: int = VOCABULARY,
+def cross_entropy_difference(docs: DataFrame, labels: DataFrame, vocabulary: int | None = None,
                              broadcast_pairs: int = BROADCAST_PAIRS) -> DataFrame:
     """doc_id, row_hash, n_words, ce_target, ce_background and score of every row."""
     spark = docs.sparkSession
     flagged = _flagged(docs, labels)
-    shared = spark.sparkContext.broadcast(shared_vocabulary(flagged, vocabulary))
-    counts = pair_counts(flagged, shared)
-    context, single = _single(counts, "first", vocabulary), _single(counts, "second", vocabulary)
-    size = len(shared.value) + 2
-    context = [c[:size] for c in context]
-    unigram = [_unigram(c[:size]) for c in single]
-    kept = counts.where(F.col("n") >= CUT)
-    n_kept = kept.count()
-    mask = (1 << BITS) - 1
-
-    def losses(pair: np.ndarray, n: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        first, second = pair >> BITS, pair & mask
-        return tuple(_loss(seen, c[first], u[second]) for seen, c, u in zip((good, n), context[::-1], unigram[::-1]))
-
-    def frame(pdf, counted, target, background):
-        counted_ = np.maximum(counted, 1)
+    known = None if vocabulary is None else spark.sparkContext.broadcast(shared_vocabulary(flagged, vocabulary))
+    counts = word_and_pair_counts(flagged, known)
+    sums = counts.where(F.col("kind") == WORD).agg(F.sum("n"), F.sum("good"), F.count_if(F.col("n") > 0)).first()
+    n_all, n_good, size = (float(x or 0) for x in sums)
+
+    def scores(pdf, sizes, code, ids, word_counts, pair_counts):
+        """Rows of ``pdf`` from their coded words and the counts (see ``_found``) of words and pairs."""
+        n, good, first_n, first_good = _found(word_counts, ids.view(np.int64))
+        pairs, place, _ = _distinct_pairs(sizes, code, ids)
+        pair_n, pair_good = _found(pair_counts[:3], pairs)
+        before, doc = _before(sizes, code), np.repeat(np.arange(len(sizes)), sizes)
+        counted = np.maximum(sizes, 1)
+        background, target = (
+            np.bincount(doc, _loss(pair[place], first[before], ((single + ADD) / (total + ADD * size or 1))[code]), len(sizes))
+            for pair, first, single, total in ((pair_n, first_n, n, n_all), (pair_good, first_good, good, n_good)))
         return pd.DataFrame({
-            "doc_id": pdf["doc_id"].astype("Int64").to_numpy(), "row_hash": pdf["row_hash"].to_numpy(), "n_words": counted,
-            "ce_target": target / counted_, "ce_background": background / counted_,
-            "score": (target - background) / counted_})
-
-    def summed(pdf, sizes, all_, pairs, n, good):
-        """Rows of ``pdf``, whose words' pairs are ``all_`` one after another; ``pairs`` are sorted, with their counts."""
-        doc = np.repeat(np.arange(len(sizes)), sizes)
-        a = b = np.zeros(len(all_))
-        if len(pairs):
-            at = np.minimum(np.searchsorted(pairs, all_), len(pairs) - 1)
-            hit = pairs[at] == all_
-            a, b = np.where(hit, good[at], 0), np.where(hit, n[at], 0)
-        t, g = losses(all_, b, a)
-        return frame(pdf, sizes, np.bincount(doc, t, len(sizes)), np.bincount(doc, g, len(sizes)))
+            "doc_id": pdf["doc_id"].astype("Int64").to_numpy(), "row_hash": pdf["row_hash"].to_numpy(), "n_words": sizes,
+            "ce_target": target / counted, "ce_background": background / counted, "score": (target - background) / counted})
+
+    def tables(rows: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+        """Words' and pairs' keys and counts, sorted by key, of rows of kind, key and counts."""
+        parts = (rows[rows[:, 0] == kind] for kind in (WORD, PAIR))
+        return [tuple(np.ascontiguousarray(x[np.argsort(x[:, 1]), k]) for k in range(1, 6)) for x in parts]
 
+    columns = ["kind", "key", "n", "good", "first_n", "first_good"]
     schema = "doc_id long, row_hash long, n_words long, ce_target double, ce_background double, score double"
-    if n_kept <= broadcast_pairs:
+    if counts.count() <= broadcast_pairs:
         def packed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in parts:
-                yield pd.DataFrame({"rows": [pdf[["pair", "n", "good"]].to_numpy(np.int64).tobytes()]})
+                yield pd.DataFrame({"rows": [pdf[columns].to_numpy(np.int64).tobytes()]})
 
-        got = [np.frombuffer(r["rows"], np.int64) for r in kept.mapInPandas(packed, "rows binary").collect()]
-        got = np.concatenate([np.zeros(0, np.int64), *got]).reshape(-1, 3)
-        got = got[np.argsort(got[:, 0])]
-        table = spark.sparkContext.broadcast(tuple(np.ascontiguousarray(got[:, k]) for k in range(3)))
+        got = [np.frombuffer(r["rows"], np.int64) for r in counts.mapInPandas(packed, "rows binary").collect()]
+        table = spark.sparkContext.broadcast(tables(np.concatenate([np.zeros(0, np.int64), *got]).reshape(-1, 6)))
 
         def score(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in parts:
-                each = [_pairs(t, shared.value) for t in pdf["text"]]
-                sizes = np.array([len(x) for x in each], np.int64)
-                yield summed(pdf, sizes, np.concatenate(each) if each else np.zeros(0, np.int64), *table.value)
+                yield scores(pdf, *_coded(pdf["text"], known and known.value), *table.value)
 
         return flagged.select("doc_id", "row_hash", "text").mapInPandas(score, schema)
 
-    batches = _batches(flagged, shared)
+    batches = _batches(flagged, known)
 
     def distinct(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            for batch, sizes, ids in zip(pdf["batch"], pdf["sizes"], pdf["ids"]):
-                yield pd.DataFrame({"pair": np.unique(_batch_pairs(sizes, ids))}).assign(batch=batch)
+            for batch, *raw in zip(pdf["batch"], pdf["sizes"], pdf["codes"], pdf["ids"]):
+                sizes, code, ids = _unpacked(*raw)
+                for kind, keys in ((WORD, ids.view(np.int64)), (PAIR, _distinct_pairs(sizes, code, ids)[0])):
+                    yield pd.DataFrame({"kind": np.int8(kind), "key": keys, "batch": batch})
 
     def scored(batch: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         row = batch.iloc[0]
-        sizes, all_ = np.frombuffer(row["sizes"], np.int64), _batch_pairs(row["sizes"], row["ids"])
         doc_id = pd.Series(np.frombuffer(row["doc_ids"], np.int64)).astype("Int64")
         doc_id = doc_id.mask(np.frombuffer(row["absent"], np.bool_))
         rows = pd.DataFrame({"doc_id": doc_id, "row_hash": np.frombuffer(row["row_hashes"], np.int64)})
-        found = found.sort_values("pair")
-        return summed(rows, sizes, all_, *(found[c].to_numpy(np.int64) for c in ("pair", "n", "good")))
+        return scores(rows, *_unpacked(row["sizes"], row["codes"], row["ids"]), *tables(found[columns].to_numpy(np.int64)))
 
-    wanted = batches.select("batch", "sizes", "ids").mapInPandas(distinct, "pair long, batch long")
-    found = wanted.join(kept, "pair").select("batch", "pair", "n", "good")
+    wanted = batches.select("batch", "sizes", "codes", "ids").mapInPandas(distinct, "kind byte, key long, batch long")
+    found = wanted.join(counts, ["kind", "key"]).select("batch", *columns)
     return batches.groupBy("batch").cogroup(found.groupBy("batch")).applyInPandas(scored, schema)
 
 

@@ -142,6 +142,36 @@ def test_cross_entropy_joined_and_broadcast_agree(spark, docs):
     assert by[0].score < by[21].score  # the target's own text reads more like it
 
 
+@pytest.mark.parametrize("bound", [10**6, 0])
+def test_cross_entropy_counts_all_words(spark, bound):
+    # More distinct words than any fixed vocabulary held; the rare ones tell target from background.
+    many = [" ".join(f"v{k}x{j}" for j in range(4000)) for k in range(5)]
+    texts = many + ["v0x1 v0x2 v0x3", "v4x1 v4x2 v4x3", "v0x1 v0x2 other", "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1, 0), (4, 0, 0)], "doc_id long, quality int, toxic int")
+    pairs, single, first = ([{}, {}] for _ in range(3))
+    for d, t in enumerate(texts):
+        w = ["<s>", *(t or "").split()]
+        for side in (0, 1) if d == 0 else (0,):
+            for x in zip(w, w[1:]):
+                for counts, key in ((pairs, x), (single, x[1]), (first, x[0])):
+                    counts[side][key] = counts[side].get(key, 0) + 1
+    size = len(single[0])
+    assert size > 16_384
+
+    def loss(x, side):
+        seen, context = pairs[side].get(x, 0) if pairs[0][x] >= lm_score.CUT else 0, first[side].get(x[0], 0)
+        low = (single[side].get(x[1], 0) + lm_score.ADD) / (sum(single[side].values()) + lm_score.ADD * size)
+        return -np.log(lm_score.MIX * seen / context + (1 - lm_score.MIX) * low if context else low)
+
+    got = {r.doc_id: r for r in lm_score.cross_entropy_difference(docs, labels, broadcast_pairs=bound).collect()}
+    for d, t in enumerate(texts):
+        w = ["<s>", *(t or "").split()]
+        want = [sum(loss(x, side) for x in zip(w, w[1:])) / max(1, len(w) - 1) for side in (1, 0)]
+        assert (got[d].ce_target, got[d].ce_background) == pytest.approx(tuple(want)), d
+    assert got[5].score < got[6].score
+
+
 PII_TEXTS = [
     "a@b.c_x@d.e é 1.2.3.4.5.6.7.8", "x.y@z..q 999.1.1.1 12.3.4", "4111 1111 1111 1111 4111111111111112 12-34",
     "+1 (017) 555-7713 ++44 20 7946 0958- +12 3", "call (555) 234-5678 ssn 123-45-6789 me [at] x [dot] com", None, "",
