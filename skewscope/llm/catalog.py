@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from skewscope.llm import bwt_dedup, decontaminate, imatch, lm_score, minhash, packing, pii, quality, secret_links, url_rules
+from skewscope.llm import (bwt_dedup, decontaminate, imatch, lm_score, minhash, packing, periodic_runs, pii, quality,
+                           secret_links, url_rules)
 
 QUERIES = {
     "op1_bbit_minhash": minhash.op1_bbit_minhash,
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_secret_links": secret_links.op8_secret_links,
     "op9_url_rules": url_rules.op9_url_rules,
     "op10_quality_gam": quality.op10_quality_gam,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
 }
 ORACLE_SQL = {
     "op1_bbit_minhash": minhash.SQL.strip(),
