@@ -218,7 +218,7 @@ def _record(some: list[tuple]) -> pa.RecordBatch:
     runs = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(fields, ["start", "length", "period"]))
     return pa.RecordBatch.from_arrays(
         [pa.array([d for d, _ in some], pa.int64()), pa.array(sizes), runs,
-         pa.array(collapsed, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "runs", "collapsed"])
+         pa.array(collapsed, pa.binary()).view(pa.string())], ["doc_id", "n_words", "runs", "collapsed"])
 
 
 def periodic_runs(docs: DataFrame, edit: Callable[[int, list[bytes]], list[bytes]] | None = None,
