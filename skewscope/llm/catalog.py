@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from skewscope.llm import (bwt_dedup, decontaminate, imatch, lm_score, minhash, packing, periodic_runs, pii, quality,
-                           secret_links, url_rules)
+from skewscope.llm import (bwt_dedup, decontaminate, embedding_dedup, imatch, lm_score, minhash, packing,
+                           periodic_runs, pii, quality, secret_links, url_rules)
 
 QUERIES = {
     "op1_bbit_minhash": minhash.op1_bbit_minhash,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_url_rules": url_rules.op9_url_rules,
     "op10_quality_gam": quality.op10_quality_gam,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_cross_polytope": embedding_dedup.op13_cross_polytope,
 }
 ORACLE_SQL = {
     "op1_bbit_minhash": minhash.SQL.strip(),
@@ -24,4 +25,5 @@ ORACLE_SQL = {
     "op6_bwt_repeats": bwt_dedup.SQL.strip(),
     "op7_imatch": imatch.SQL.strip(),
     "op9_url_rules": url_rules.SQL.strip(),
+    "op13_cross_polytope": embedding_dedup.SQL.strip(),
 }
