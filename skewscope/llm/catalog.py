@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from skewscope.llm import (bwt_dedup, decontaminate, embedding_dedup, imatch, lm_score, minhash, packing,
-                           periodic_runs, pii, quality, secret_links, url_rules)
+from skewscope.llm import (bwt_dedup, conversation_repair, decontaminate, embedding_dedup, imatch, lm_score, minhash,
+                           packing, periodic_runs, pii, quality, secret_links, url_rules)
 
 QUERIES = {
     "op1_bbit_minhash": minhash.op1_bbit_minhash,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_secret_links": secret_links.op8_secret_links,
     "op9_url_rules": url_rules.op9_url_rules,
     "op10_quality_gam": quality.op10_quality_gam,
+    "op11_suffix_automaton": conversation_repair.op11_suffix_automaton,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
     "op13_cross_polytope": embedding_dedup.op13_cross_polytope,
 }
@@ -25,5 +26,6 @@ ORACLE_SQL = {
     "op6_bwt_repeats": bwt_dedup.SQL.strip(),
     "op7_imatch": imatch.SQL.strip(),
     "op9_url_rules": url_rules.SQL.strip(),
+    "op11_suffix_automaton": conversation_repair.SQL.strip(),
     "op13_cross_polytope": embedding_dedup.SQL.strip(),
 }
