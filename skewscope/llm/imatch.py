@@ -28,8 +28,6 @@ from skewscope.llm.decontaminate import SEPARATORS, words
 from skewscope.llm.url_rules import LOWER, UPPER
 
 SUBS = 32
-#: Of the oracle SQL below only: it still takes 32 of 256 sub-lexicons, one eighth of the terms.
-SLOTS = "20"
 LOW, HIGH = 0.2, 0.8
 BROADCAST_ROWS = 1_000_000
 RANGE_ROWS, MAX_RANGES = 5_000, 4_096
@@ -145,12 +143,11 @@ def op7_imatch(spark, sf_dir: str) -> DataFrame:
     return imatch(read(spark, sf_dir, "documents"))
 
 
-_TERMS = r"""list_filter(list_transform(list_distinct(list_filter(string_split_regex(
-    translate({t}, '{u}', '{l}'), '{s}'), lambda w: w <> '')), lambda w: md5(w)[1:2] || ':' || w), lambda x: x < '{m}')"""
+_TERMS = r"""list_distinct(list_filter(string_split_regex(translate({t}, '{u}', '{l}'), '{s}'), lambda w: w <> ''))"""
 
 
 def _terms(t: str) -> str:
-    return _TERMS.format(t=t, u=UPPER, l=LOWER, s=SEPARATORS, m=SLOTS)
+    return _TERMS.format(t=t, u=UPPER, l=LOWER, s=SEPARATORS)
 
 
 _LIKE = """len(list_intersect({a}, {b})) / len(list_distinct(list_concat(list_transform({a}, lambda x: x[1:2]),
@@ -163,11 +160,11 @@ e AS (SELECT o.doc_id, o.text, p.doc_id AS next_doc, o.n,
              substr(o.text, 1, length(o.text) - length(o.text) // 2) || substr(p.text, 1, length(o.text) // 2) AS edited
       FROM o JOIN o p ON p.k = o.k % o.n + 1),
 t AS (SELECT *, {_terms("text")} AS terms, {_terms("edited")} AS eterms FROM e),
-lex AS (SELECT term FROM (SELECT unnest(terms) AS term, n FROM t) GROUP BY term, n
+lex AS (SELECT term, ('0x' || md5(term)[1:2])::BIGINT % {SUBS} AS sub, ('0x' || md5(term)[3:10])::BIGINT AS h
+        FROM (SELECT unnest(terms) AS term, n FROM t) GROUP BY term, n
         HAVING count(*) BETWEEN pow(n, {LOW}) AND pow(n, {HIGH})),
 x AS (SELECT doc_id, 0 AS v, unnest(terms) AS term FROM t UNION ALL SELECT doc_id, 1, unnest(eterms) FROM t),
-s AS (SELECT doc_id, v, term[1:2] || ':' || md5(string_agg(term, ' ' ORDER BY term))[1:8] AS part
-      FROM x JOIN lex USING (term) GROUP BY doc_id, v, term[1:2]),
+s AS (SELECT doc_id, v, printf('%02x:%08x', sub, bit_xor(h)) AS part FROM x JOIN lex USING (term) GROUP BY doc_id, v, sub),
 f AS (SELECT doc_id, v, list(part ORDER BY part) AS p FROM s GROUP BY doc_id, v),
 q AS (SELECT t.doc_id, next_doc, text, edited, coalesce(a.p, ['t:' || md5(text)]) AS p,
              coalesce(b.p, ['t:' || md5(edited)]) AS ep
