@@ -5,7 +5,15 @@ row cap, id subset or sample to stay cheap.
 """
 
 from skewscope.catalog._registry import ORACLE_SQL, QUERIES
-from skewscope.catalog import metrics, models, prepare, selection, sources, splitting  # noqa: F401  (registers queries)
+from skewscope.catalog import (  # noqa: F401  (registers queries)
+    exact,
+    metrics,
+    models,
+    prepare,
+    selection,
+    sources,
+    splitting,
+)
 from skewscope.catalog.flagship import flagship
 
 __all__ = ["ORACLE_SQL", "QUERIES", "flagship"]

@@ -42,9 +42,9 @@ def logistic_regression(features_col: str = "features", label_col: str = "label"
 def random_forest(features_col: str = "features", label_col: str = "label", weight_col: str | None = None,
                   num_trees: int = RF_NUM_TREES, max_depth: int = RF_MAX_DEPTH, max_bins: int = RF_MAX_BINS,
                   subsampling_rate: float = RF_SUBSAMPLING_RATE, feature_subset: str = RF_FEATURE_SUBSET,
-                  seed: int = SEED) -> RandomForestClassifier:
+                  seed: int = SEED, bootstrap: bool = True) -> RandomForestClassifier:
     kw = {"weightCol": weight_col} if weight_col else {}
-    return RandomForestClassifier(featuresCol=features_col, labelCol=label_col, numTrees=num_trees,
+    return RandomForestClassifier(featuresCol=features_col, labelCol=label_col, numTrees=num_trees, bootstrap=bootstrap,
                                   maxDepth=max_depth, maxBins=max_bins, subsamplingRate=subsampling_rate,
                                   featureSubsetStrategy=feature_subset, seed=seed,
                                   cacheNodeIds=RF_CACHE_NODE_IDS, maxMemoryInMB=RF_MAX_MEMORY_MB, **kw)
