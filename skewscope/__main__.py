@@ -30,6 +30,9 @@ def main(argv=None) -> None:
     ap.add_argument("--min-columns", type=int, default=128)
     ap.add_argument("--width", type=int, default=2048, help="bit-string width")
     ap.add_argument("--parallelism", type=int, default=1)
+    ap.add_argument("--ledger", default=None, help="folder of staged batches: only new or changed files are read")
+    ap.add_argument("--models", default=None, help="folder of finished fits: a run started again fits only what is missing")
+    ap.add_argument("--publish", action="store_true", help="make the artefacts visible all at once, with a manifest")
     ap.add_argument("--local", action="store_true", help="start a local session (otherwise use spark-submit's)")
     args = ap.parse_args(argv)
 
@@ -42,7 +45,8 @@ def main(argv=None) -> None:
     run_from_batches(spark, args.input, args.out, id_col=args.id_col, score_col=args.score_col,
                      group_col=args.group_col, p=args.p, quantile=args.quantile, cap=args.cap or None,
                      bins=args.bins, scaling_sizes=sizes, fmt=args.format, infer_schema=args.infer_schema, schema=args.schema,
-                     min_columns=args.min_columns, width=args.width, parallelism=args.parallelism)
+                     min_columns=args.min_columns, width=args.width, parallelism=args.parallelism, ledger_dir=args.ledger,
+                     models_dir=args.models, publish_set=args.publish)
 
 
 if __name__ == "__main__":

@@ -10,6 +10,8 @@ from skewscope.catalog import (  # noqa: F401  (registers queries)
     metrics,
     models,
     prepare,
+    recurring,
+    sampling,
     selection,
     sources,
     splitting,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from skewscope.catalog._registry import register, rounded
 from skewscope.catalog.fixtures import model_scores_sql, scored_lineitem, scored_models
@@ -191,3 +192,45 @@ def curves_by_model(spark, sf):
     table = curves.threshold_table(scored_models(spark, sf), "y", "p1", ["model"])
     return rounded(curves.curve_points(table, ["model"]))
 
+
+
+# Groups by l_returnflag, where N counts as missing: a third of the rows has no group.
+_FLAGGED = """q AS (SELECT quantile_disc(l_extendedprice, 0.8) AS t FROM lineitem),
+s AS (SELECT nullif(l_returnflag, 'N') AS flag, CAST(CASE WHEN l_extendedprice >= (SELECT t FROM q) THEN 1 ELSE 0 END AS INTEGER) AS y,
+             l_quantity / 50 AS p1 FROM lineitem)"""
+
+
+def _flagged(spark, sf):
+    s = scored_lineitem(spark, sf)
+    return s.select(F.nullif("l_returnflag", F.lit("N")).alias("flag"), "y", "p1")
+
+
+@register("evaluate_null_groups", f"""
+WITH {_FLAGGED},
+c AS (SELECT flag, p1 AS threshold, CAST(sum(y) AS BIGINT) AS pos, count(*) AS n FROM s GROUP BY flag, p1),
+tt AS (SELECT flag, threshold, pos, n, sum(pos) OVER (PARTITION BY flag ORDER BY threshold DESC) AS tp,
+              sum(n) OVER (PARTITION BY flag ORDER BY threshold DESC) AS cn,
+              sum(pos) OVER (PARTITION BY flag) AS np, sum(n) OVER (PARTITION BY flag) AS nt FROM c),
+k AS (SELECT flag, sum((tp * 1e0 / cn) * pos / np) AS PR_AUC,
+             sum(((n - pos) * 1e0 / (nt - np)) * ((2 * tp - pos) * 1e0 / (2 * np))) AS ROC_AUC,
+             CAST(sum(CASE WHEN threshold >= 0.5 THEN pos ELSE 0 END) AS BIGINT) AS TP,
+             CAST(sum(CASE WHEN threshold >= 0.5 THEN n - pos ELSE 0 END) AS BIGINT) AS FP, max(np) AS np, max(nt) AS nt
+      FROM tt GROUP BY flag)
+SELECT flag, round(PR_AUC, 9) AS PR_AUC, round(ROC_AUC, 9) AS ROC_AUC, TP, FP, CAST(nt - np - FP AS BIGINT) AS TN,
+       CAST(np - TP AS BIGINT) AS FN FROM k""")
+def evaluate_null_groups(spark, sf):
+    """A record per group, rows without a group being one; scores cut into ranges of a few."""
+    rec = metrics.evaluate_scores(_flagged(spark, sf), "y", "p1", group_cols=["flag"], rows_per_range=20)
+    return rounded(rec.select("flag", "PR_AUC", "ROC_AUC", "TP", "FP", "TN", "FN"))
+
+
+@register("calibration_null_groups", f"""
+WITH {_FLAGGED},
+g AS (SELECT flag, CAST(least(floor(p1 * 10), 9) AS INTEGER) AS bin_index, avg(p1) AS mean_pred, avg(y) AS rate, count(*) AS n
+      FROM s GROUP BY 1, 2),
+spine AS (SELECT DISTINCT flag, CAST(unnest(range(10)) AS INTEGER) AS bin_index FROM s)
+SELECT spine.flag, spine.bin_index, round(coalesce(mean_pred, 0), 9) AS mean_pred, round(coalesce(rate, 0), 9) AS empirical_pos_rate,
+       CAST(coalesce(n, 0) AS BIGINT) AS count
+FROM spine LEFT JOIN g ON g.flag IS NOT DISTINCT FROM spine.flag AND g.bin_index = spine.bin_index""")
+def calibration_null_groups(spark, sf):
+    return rounded(calib.calibration_table(_flagged(spark, sf), "y", "p1", 10, ["flag"]).drop("bin"))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skewscope.plans.joins import join_groups
+
 
 def bin_index(score_col: str, bins: int) -> F.Column:
     """floor(score * bins); scores >= 1 go to the last bin, NaN to none."""
@@ -43,7 +45,7 @@ def calibration_table(df: DataFrame, label_col: str = "label", score_col: str =
     else:
         spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin_index"))
     # binned holds at most groups x bins rows (bins is a small parameter).
-    out = spine.join(binned, on=[*group_cols, "bin_index"], how="left")
+    out = join_groups(spine, binned, [*group_cols, "bin_index"], "left")
     return out.select(
         *group_cols, "bin_index", bin_label(F.col("bin_index"), bins).alias("bin"),
         F.coalesce("mean_pred", F.lit(0.0)).alias("mean_pred"),

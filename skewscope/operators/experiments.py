@@ -19,6 +19,7 @@ from skewscope.functions.scoring import MODEL_KEYS
 from skewscope.operators import metrics, models, resample, splits
 from skewscope.operators.balance import class_counts
 from skewscope.operators.evaluate import order_validation_record
+from skewscope.operators.exact_sample import exact_sample
 from skewscope.plans.materialize import materialize
 
 log = logging.getLogger("skewscope")
@@ -39,17 +40,20 @@ def model_order(col: str = "model") -> F.Column:
     return expr.cast("int")
 
 
-def _fit_all(jobs, parallelism: int) -> dict:
+def _fit_all(jobs, parallelism: int, registry=None) -> dict:
     """{name: (fitted, seconds)} for (name, estimator, frame) jobs, ``parallelism`` at a time."""
+    def fit(name, est, df):
+        return models.fit_timed(est, df) if registry is None else registry.fit(est, df, name)
+
     if parallelism <= 1:
-        return {name: models.fit_timed(est, df) for name, est, df in jobs}
+        return {name: fit(name, est, df) for name, est, df in jobs}
     from concurrent.futures import ThreadPoolExecutor
 
     from pyspark import inheritable_thread_target
 
     def run(job):
         name, est, df = job
-        return name, models.fit_timed(est, df)
+        return name, fit(name, est, df)
 
     spark = jobs[0][2].sparkSession if jobs else None
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
@@ -83,13 +87,15 @@ def strategy_grid(train: DataFrame, valid: DataFrame, label_col: str = "label",
                   key_col: str | None = None, families: Sequence[str] = ("lr", "rf"),
                   strategies: Sequence[str] = STRATEGIES, policy: str = "mcc", seed: int = 42,
                   method: str = "hash", rf_params: dict | None = None, lr_params: dict | None = None,
-                  materialized: bool = False, parallelism: int = 1) -> GridResult:
+                  materialized: bool = False, parallelism: int = 1, registry=None) -> GridResult:
     """Fit every (family, remedy) pair on ``train`` and evaluate all on ``valid`` at once.
 
     ``materialized=True`` says both frames already read a written table (as
     from ``plans.study.prepare``), so they are not written again.
     ``parallelism`` > 1 submits that many fits at once (as MLlib's tuning
-    does); each fit_time_s is then wall time under shared load.
+    does); each fit_time_s is then wall time under shared load. With a
+    ``registry`` (``plans.registry.FitRegistry``) fits that an earlier run has
+    finished on the same rows are loaded instead of done again.
     """
     train = train.select(*[c for c in (key_col, label_col, features_col) if c])
     valid = valid.select(label_col, features_col)
@@ -105,7 +111,7 @@ def strategy_grid(train: DataFrame, valid: DataFrame, label_col: str = "label",
             weight = "weight" if strategy == "weighted" else None
             est = models.estimator(family, features_col, label_col, weight, **params)
             jobs.append((model_key(family, strategy), est, views[strategy]))
-    results = _fit_all(jobs, parallelism)
+    results = _fit_all(jobs, parallelism, registry)
     fitted, times = {}, []
     for name, _, _ in jobs:
         fitted[name], secs = results[name]
@@ -125,12 +131,14 @@ def scaling_study(train: DataFrame, valid: DataFrame, sizes: Sequence[int], labe
                   features_col: str = "features", key_col: str | None = None, families: Sequence[str] = ("lr", "rf"),
                   seed: int = 42, method: str = "hash", pos_weight: float | None = None,
                   rf_params: dict | None = None, lr_params: dict | None = None,
-                  materialized: bool = False, with_size: bool = False) -> DataFrame:
+                  materialized: bool = False, with_size: bool = False, exact: bool = True,
+                  registry=None) -> DataFrame:
     """(model, train_rows, train_time_s, pr_auc) per size and weighted family.
 
     ``train`` should be the whole training split (no cap). A size larger than
-    it is skipped with a warning, as is an empty sample. The fraction is taken
-    from the frame actually sampled. ``with_size`` adds the size asked for.
+    it is skipped with a warning, as is an empty sample. Samples have exactly the size asked for and
+    nest (``exact=False``, and the native method, draw each row at size / rows instead).
+    ``with_size`` adds the size asked for.
     """
     train = train.select(*[c for c in (key_col, label_col, features_col) if c])
     valid = valid.select(label_col, features_col)
@@ -144,7 +152,10 @@ def scaling_study(train: DataFrame, valid: DataFrame, sizes: Sequence[int], labe
         if n < size:
             log.warning("scaling study: size %d skipped, the training split has %d rows", size, n)
             continue
-        sample = splits.fraction_sample(train, size / float(n), seed, method, key_col, purpose="scale")
+        if exact and method != "native" and key_col is not None:
+            sample = exact_sample(train, size, key_col, seed, method, "scale", rows=n)
+        else:
+            sample = splits.fraction_sample(train, size / float(n), seed, method, key_col, purpose="scale")
         sample = materialize(resample.class_weights(sample, label_col, "weight", pw))
         actual = sample.count()
         if actual == 0:
@@ -153,8 +164,8 @@ def scaling_study(train: DataFrame, valid: DataFrame, sizes: Sequence[int], labe
         for family in families:
             params = (rf_params if family == "rf" else lr_params) or {}
             est = models.estimator(family, features_col, label_col, "weight", **params)
-            fitted, secs = models.fit_timed(est, sample)
             name = model_key(family, "weighted")
+            fitted, secs = models.fit_timed(est, sample) if registry is None else registry.fit(est, sample, f"{name}@{size}")
             tag = f"{name}@{size}"
             rows.append((tag, name, int(size), int(actual), round(secs, 2)))
             fits[tag] = fitted

@@ -13,7 +13,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skewscope.plans.materialize import materialize, table_path
+from skewscope.plans.materialize import materialize, scratch_path
 
 #: Nodes of one level that are broadcast (about 60 bytes each).
 BROADCAST_NODES = 500_000
@@ -28,7 +28,7 @@ def node_table(fitted) -> DataFrame:
     a numeric split) are the values that go left.
     """
     spark = SparkSession.active()
-    path = table_path(spark.range(0))
+    path = scratch_path(spark)
     fitted.write().save(path)
     data = spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), "nodeData.*")
     inner = F.col("leftChild") >= 0

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from skewscope.functions import rates
 from skewscope.operators import curves
+from skewscope.plans.joins import join_groups
 from skewscope.plans.prefix import BROADCAST_ROW_LIMIT, DEFAULT_ROWS_PER_RANGE
 
 RATE_NAMES = ["precision", "recall", "f1", "balanced_accuracy", "MCC"]
@@ -40,7 +41,7 @@ def _attach_thresholds(table: DataFrame, thresholds: DataFrame, group_cols: Sequ
     # One threshold per group: broadcast only behind a checked (or known) row count.
     n = thresholds.count() if rows is None else rows
     side = F.broadcast(thresholds) if n <= BROADCAST_ROW_LIMIT else thresholds
-    return table.join(side, on=list(group_cols), how="inner")
+    return join_groups(table, side, group_cols)
 
 
 def evaluate_scores(df: DataFrame, label_col: str = "label", score_col: str = "p1",

@@ -2,8 +2,9 @@
 
 All are narrow (no shuffle). Class counts are two numbers from one aggregate.
 ``method="hash"`` (md5) or ``"xxhash64"`` draws from the row key, the seed and the
-step's own purpose, so results do not depend on partitioning and steps stay independent; ``method="native"`` uses Spark's seeded ``sample`` (Bernoulli
-without replacement, Poisson with replacement) like the reference pipeline.
+step's own purpose, so results do not depend on partitioning and steps stay independent; ``exact=True`` makes both classes equal
+in size to the row; ``method="native"`` uses Spark's seeded ``sample`` (Bernoulli without replacement, Poisson with
+replacement) like the reference pipeline. Keys that repeat draw alike: give such frames ``ordinals.with_draw_key`` first.
 """
 
 from __future__ import annotations
@@ -13,9 +14,8 @@ from pyspark.sql import functions as F
 
 from skewscope.functions.hashing import draw_method, unit_draw
 from skewscope.operators.balance import class_counts
-
-# Largest number of copies one row expands to inside a single task.
-COPY_CHUNK = 10_000
+from skewscope.operators.exact_sample import exact_sample
+from skewscope.operators.ordinals import COPY_CHUNK, repeat_rows
 
 
 def class_weights(df: DataFrame, label_col: str = "label", weight_col: str = "weight",
@@ -36,8 +36,8 @@ def _sides(df: DataFrame, label_col: str):
 
 
 def undersample(df: DataFrame, label_col: str = "label", seed: int = 42, method: str = "hash",
-                key_col: str | None = None) -> DataFrame:
-    """All minority rows plus majority rows kept with probability n_min/n_maj."""
+                key_col: str | None = None, exact: bool = False) -> DataFrame:
+    """All minority rows plus majority rows kept with probability n_min/n_maj, or, with ``exact``, n_min of them."""
     sides = _sides(df, label_col)
     if sides is None:
         return df
@@ -49,17 +49,21 @@ def undersample(df: DataFrame, label_col: str = "label", seed: int = 42, method:
         return df.where(is_min).unionByName(majority)
     if key_col is None:
         raise ValueError("hash sampling needs key_col")
+    if exact:
+        few = exact_sample(df.where(F.col(label_col) == 1 - minority), n_min, key_col, seed, method, "under", rows=n_maj)
+        return df.where(is_min).unionByName(few)
     return df.where(is_min | (unit_draw(F.col(key_col), seed, draw_method(method), "under") < F.lit(fraction)))
 
 
 def oversample(df: DataFrame, label_col: str = "label", seed: int = 42, method: str = "hash",
-               key_col: str | None = None) -> DataFrame:
+               key_col: str | None = None, exact: bool = False) -> DataFrame:
     """All majority rows plus minority rows replicated to about n_maj in total.
 
     Hash method: a minority row appears floor(r + u) times, r = n_maj/n_min, u
     its draw, via ``explode(sequence(...))``; copy counts above ``COPY_CHUNK``
     are exploded in spread-out chunks. Without minority rows the frame is
-    returned unchanged.
+    returned unchanged. With ``exact`` every minority row appears floor(r) times and the
+    n_maj mod n_min rows with the least draws once more: n_maj in all.
     """
     sides = _sides(df, label_col)
     if sides is None or sides[1] == 0:
@@ -72,18 +76,12 @@ def oversample(df: DataFrame, label_col: str = "label", seed: int = 42, method:
         return df.where(~is_min).unionByName(extra)
     if key_col is None:
         raise ValueError("hash sampling needs key_col")
+    cols = df.columns
+    if exact:
+        few = df.where(is_min)
+        again = exact_sample(few, n_maj % n_min, key_col, seed, method, "over", rows=n_min)
+        whole = repeat_rows(few.withColumn("_copies", F.lit(n_maj // n_min)), "_copies", n_maj // n_min).select(*cols)
+        return df.where(F.col(label_col) == 1 - minority).unionByName(whole).unionByName(again)
     draw = unit_draw(F.col(key_col), seed, draw_method(method), "over")
     copies = F.when(is_min, F.floor(F.lit(ratio) + draw)).otherwise(F.lit(1)).cast("long")
-    cols = df.columns
-    rep = df.withColumn("_copies", copies).where(F.col("_copies") >= 1)
-    if ratio + 1 <= COPY_CHUNK:
-        # Every row makes at most COPY_CHUNK copies: one narrow explode, no shuffle.
-        return rep.select(*cols, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_c")).select(*cols)
-    # A tiny minority means a huge copy count per row: cut it into chunks of at
-    # most COPY_CHUNK, spread the chunks over tasks, then explode each chunk, so
-    # no task builds or emits one row's copies alone.
-    n_chunks = F.ceil(F.col("_copies") / F.lit(COPY_CHUNK)).cast("int")
-    chunks = rep.select(*cols, "_copies", F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("_chunk"))
-    size = F.least(F.lit(COPY_CHUNK), F.col("_copies") - F.col("_chunk") * F.lit(COPY_CHUNK)).cast("int")
-    spread = chunks.repartition(F.xxhash64(*[F.col(c) for c in cols], F.col("_chunk")))
-    return spread.select(*cols, F.explode(F.sequence(F.lit(1), size)).alias("_c")).select(*cols)
+    return repeat_rows(df.withColumn("_copies", copies), "_copies", int(ratio) + 1).select(*cols)

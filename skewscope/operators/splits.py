@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skewscope.functions.hashing import draw_method, hash_bucket, unit_draw
+from skewscope.operators.exact_sample import exact_sample
 
 # Bucket ranges of the 80/10/10 split over 100 buckets.
 TRAIN_BELOW = 80
@@ -74,8 +75,8 @@ def leakage_summary(df: DataFrame, key_col: str, split_col: str = "split") -> Da
 
 
 def cap_rows(df: DataFrame, cap: int, seed: int = 42, method: str = "hash", key_col: str | None = None,
-             rows: int | None = None) -> DataFrame:
-    """Keep about ``cap`` rows when the frame is larger (Bernoulli at cap/rows).
+             rows: int | None = None, exact: bool = False) -> DataFrame:
+    """Keep about ``cap`` rows when the frame is larger (Bernoulli at cap/rows), or, with ``exact``, just as many.
 
     ``method="hash"`` keeps a row when its keyed draw is below the fraction
     (partition-independent, needs ``key_col``); ``"native"`` uses
@@ -84,6 +85,10 @@ def cap_rows(df: DataFrame, cap: int, seed: int = 42, method: str = "hash", key_
     n = df.count() if rows is None else rows
     if not cap or n <= cap:
         return df
+    if exact and method != "native":
+        if key_col is None:
+            raise ValueError("hash sampling needs key_col")
+        return exact_sample(df, cap, key_col, seed, method, "cap", rows=n)
     return fraction_sample(df, cap / float(n), seed, method, key_col, purpose="cap")
 
 

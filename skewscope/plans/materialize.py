@@ -20,13 +20,18 @@ from skewscope.session import ensure_checkpoint_dir
 _WRITTEN: list[str] = []
 
 
-def table_path(df: DataFrame) -> str:
-    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+def scratch_path(spark: SparkSession) -> str:
+    """A new path under the shared checkpoint folder, removed by ``drop_tables``."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/skewscope-tables/{uuid.uuid4().hex}"
     _WRITTEN.append(path)
     return path
 
 
+def table_path(df: DataFrame) -> str:
+    return scratch_path(df.sparkSession)
+
+
 def written() -> int:
     """How many tables this process has materialised and not dropped."""
     return len(_WRITTEN)

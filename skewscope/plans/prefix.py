@@ -24,6 +24,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skewscope.plans.joins import join_groups
 from skewscope.plans.materialize import materialize
 
 # A sorted window over ~2M narrow rows fits comfortably in one task.
@@ -65,7 +66,7 @@ def running_totals(
     """Add ``cum_<v>`` (inclusive running sum in key order) and ``total_<v>``.
 
     ``df`` must hold at most one row per ``(group_cols, key)``; ``key`` must be
-    numeric and not null. With ``descending=True`` the running sum at a key
+    numeric and not null. A null group is a group like any other. With ``descending=True`` the running sum at a key
     covers every row of the same group whose key is greater or equal.
     ``rows_hint`` is a proven upper bound on the row count (skips counting).
     """
@@ -100,7 +101,7 @@ def running_totals(
     n_offsets = (len(bounds) + 1) if not group_cols else offsets.count()
     if n_offsets <= BROADCAST_ROW_LIMIT:
         offsets = F.broadcast(offsets)
-    joined = ranged.join(offsets, on=[*group_cols, _PID], how="inner")
+    joined = join_groups(ranged, offsets, [*group_cols, _PID])
 
     inside = (Window.partitionBy(*group_cols, _PID).orderBy(key_order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from skewscope.operators import (balance, calibration, curves, evaluate, experiments, features, labels, metrics,
                                  models, report, resample, select, splits)
 from skewscope.plans.materialize import drop_tables, materialize, written
-from skewscope.sinks import writers
-from skewscope.sources import batches
+from skewscope.plans.registry import FitRegistry
+from skewscope.sinks import publish, writers
+from skewscope.sources import batches, ledger
 
 
 @dataclass
@@ -33,7 +34,7 @@ class PreparedData:
 def prepare(df: DataFrame, score_col: str, group_col: str, key_col: str, features_col: str = "features",
             p: float = 0.8, quantile: str = "disc", hash_method: str = "xxhash64",
             cap: int | None = None, seed: int = 42) -> PreparedData:
-    """Label by the score quantile, split by group hash, optionally cap train."""
+    """Label by the score quantile, split by group hash, optionally cap train (to exactly ``cap`` rows)."""
     q = labels.threshold_value(df, score_col, p, quantile)
     lab = labels.label_by_quantile(df, score_col, "label", threshold=q)
     lab = batches.drop_missing(lab, [features_col, score_col, "label"])
@@ -44,7 +45,7 @@ def prepare(df: DataFrame, score_col: str, group_col: str, key_col: str, feature
     parts = splits.split_frames(framed)
     train = parts["train"]
     if cap:
-        train = materialize(splits.cap_rows(train, cap, seed, "hash", key_col))
+        train = materialize(splits.cap_rows(train, cap, seed, "hash", key_col, exact=True))
     return PreparedData(framed, q, train, parts["valid"], parts["test"], parts["train"])
 
 
@@ -73,7 +74,8 @@ class StudyResult:
 
 def run_study(data: PreparedData, features_col: str = "features", key_col: str | None = None,
               families: Sequence[str] = ("lr", "rf"), bins: int = 10, policy: str = "mcc",
-              rf_params: dict | None = None, parallelism: int = 4, lr_params: dict | None = None) -> StudyResult:
+              rf_params: dict | None = None, parallelism: int = 4, lr_params: dict | None = None,
+              registry=None) -> StudyResult:
     overall = balance.overall_balance(data.frame, "label")
     # Split statistics describe the frames the models use (train after any cap).
     used = (data.train.select("label", F.lit("train").alias("split"))
@@ -84,7 +86,7 @@ def run_study(data: PreparedData, features_col: str = "features", key_col: str |
     summary = balance.split_summary(used, "split", "label").join(F.broadcast(before), "split")
     grid = experiments.strategy_grid(data.train, data.valid, "label", features_col, key_col=key_col,
                                      families=families, policy=policy, rf_params=rf_params, materialized=True,
-                                     parallelism=parallelism, lr_params=lr_params)
+                                     parallelism=parallelism, lr_params=lr_params, registry=registry)
     best = materialize(select.select_best(grid.metrics))
     found = best.first()
     if found is None:
@@ -99,16 +101,23 @@ def run_study(data: PreparedData, features_col: str = "features", key_col: str |
 
 def load_batches(spark, path: str, id_col: str, score_col: str, fmt: str = "csv", schema=None,
                  infer_schema: bool = False, min_columns: int = features.MIN_COLUMNS,
-                 width: int = features.FP_WIDTH, stage: bool | None = None) -> tuple[DataFrame, str]:
+                 width: int = features.FP_WIDTH, stage: bool | None = None,
+                 ledger_dir: str | None = None) -> tuple[DataFrame, str]:
     """Scan, drop rows missing id or score, cast the score, build ``features``.
 
     Text input is staged once to Parquet (``stage``, default on for CSV): gzip
     batches cannot be split and are otherwise parsed again by every later pass
     (two quantile passes and the split write), while the staged table lets the
     quantile passes read the score column alone. Raw feature columns are staged,
-    not the assembled vectors: 0/1 columns compress far better.
+    not the assembled vectors: 0/1 columns compress far better. With ``ledger_dir`` the staged
+    files of earlier runs are kept there and only new or changed files are read.
     """
-    raw = batches.scan_batches(spark, path, fmt=fmt, schema=schema, infer_schema=infer_schema)
+    if ledger_dir:
+        ledger.stage_new(spark, path, ledger_dir, fmt, schema, infer_schema)
+        raw = ledger.staged(spark, ledger_dir).drop(ledger.FILE)
+        stage = False if stage is None else stage
+    else:
+        raw = batches.scan_batches(spark, path, fmt=fmt, schema=schema, infer_schema=infer_schema)
     raw = batches.cast_score(batches.drop_missing(raw, [id_col, score_col]), score_col)
     if stage if stage is not None else fmt == "csv":
         raw = materialize(raw)
@@ -166,7 +175,8 @@ def run_from_batches(spark, path: str, out_dir: str, id_col: str = "SMILES", sco
                      scaling_sizes: Sequence[int] = (100_000, 500_000, 1_000_000), fmt: str = "csv",
                      schema=None, infer_schema: bool = False, min_columns: int = features.MIN_COLUMNS,
                      width: int = features.FP_WIDTH, parallelism: int = 1, rf_params: dict | None = None,
-                     lr_params: dict | None = None, keep_tables: bool = False) -> StudyResult:
+                     lr_params: dict | None = None, keep_tables: bool = False, ledger_dir: str | None = None,
+                     models_dir: str | None = None, publish_set: bool = False) -> StudyResult:
     """Batches in, every artefact out: the whole imbalance study as Spark jobs.
 
     Groups come from ``group_col`` (empty or null values fall back to the
@@ -174,19 +184,28 @@ def run_from_batches(spark, path: str, out_dir: str, id_col: str = "SMILES", sco
     that fit the grid; the scaling study samples the whole training split.
     The tables written on the way are dropped at the end unless ``keep_tables``
     is set; without it the frames of the result can no longer be read.
+
+    For studies that run again and again, folders on shared storage: ``ledger_dir`` stages only files that are new or changed since
+    the last run, ``models_dir`` keeps finished fits, so a run that is started again fits only what is missing, and
+    ``publish_set`` makes the artefacts under ``out_dir`` visible all at once (``sinks.publish``).
     """
     mark = written()
-    df, mode = load_batches(spark, path, id_col, score_col, fmt, schema, infer_schema, min_columns, width)
+    registry = FitRegistry(spark, models_dir) if models_dir else None
+    df, mode = load_batches(spark, path, id_col, score_col, fmt, schema, infer_schema, min_columns, width, ledger_dir=ledger_dir)
     if group_col:
         df = splits.group_key(df, group_col, id_col, out="_group")
     else:
         df = df.withColumn("_group", F.col(id_col).cast("string"))
     data = prepare(df, score_col, "_group", id_col, p=p, quantile=quantile, cap=cap)
     res = run_study(data, key_col=id_col, bins=bins, rf_params=rf_params, parallelism=parallelism,
-                    lr_params=lr_params)
+                    lr_params=lr_params, registry=registry)
     scaling = experiments.scaling_study(data.train_all, data.valid, list(scaling_sizes), "label", "features",
-                                        key_col=id_col, rf_params=rf_params, lr_params=lr_params, materialized=True)
-    write_outputs(out_dir, data, res, mode, scaling)
+                                        key_col=id_col, rf_params=rf_params, lr_params=lr_params, materialized=True,
+                                        registry=registry)
+    if publish_set:
+        publish.publish(spark, out_dir, lambda folder: write_outputs(folder, data, res, mode, scaling))
+    else:
+        write_outputs(out_dir, data, res, mode, scaling)
     if not keep_tables:
         drop_tables(spark, mark)
     return res
