@@ -107,3 +107,23 @@ def test_materialize_round_trip_and_drop(spark):
     assert m.columns == ["id", "part"] and m.count() == 100
     assert m.where("part = '1'").count() == 33
     assert drop_tables(spark) >= 1
+
+
+@pytest.mark.parametrize("rows_per_range", [10**6, 20])
+def test_null_group_is_a_group(spark, rows_per_range):
+    """Running totals, thresholds and bins of rows without a group, in one range and in many."""
+    from pyspark.sql import functions as F
+
+    from skewscope.operators import calibration, curves, metrics
+
+    rows = [(g, k % 3 == 0, k / 100) for g in ("a", None) for k in range(100)]
+    df = spark.createDataFrame(rows, "g string, y boolean, p1 double").withColumn("y", F.col("y").cast("int"))
+    got = curves.threshold_table(df, "y", "p1", ["g"], rows_per_range=rows_per_range)
+    assert got.count() == 200
+    strip = lambda r: sorted((x["threshold"], x["tp"], x["fp"], x["fn"], x["tn"]) for x in r)
+    assert strip(got.where("g IS NULL").collect()) == strip(got.where("g = 'a'").collect())
+    own = metrics.evaluate_scores(df, "y", "p1", df.select("g").distinct().withColumn("applied_threshold", F.lit(0.25)), ["g"],
+                                  rows_per_range=rows_per_range)
+    assert sorted((r["TP"] + r["FP"] for r in own.collect())) == [75, 75]
+    bins = calibration.calibration_table(df, "y", "p1", 10, ["g"])
+    assert bins.groupBy("g").agg(F.sum("count").alias("n")).where("n = 100").count() == 2

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skewscope.functions.hashing import hash_bucket, unit_draw
-from skewscope.operators import balance, resample, splits
+from skewscope.operators import balance, ordinals, resample, splits
 from skewscope.sources.tables import table
 from tests.conftest import SF01
 
@@ -106,7 +106,7 @@ def test_split_summary_reports_empty_splits(spark):
 
 
 def test_oversample_huge_ratio_is_chunked(spark, monkeypatch):
-    monkeypatch.setattr(resample, "COPY_CHUNK", 100)
+    monkeypatch.setattr(ordinals, "COPY_CHUNK", 100)
     df = spark.range(2500).select(F.col("id").cast("string").alias("k"),
                                   F.when(F.col("id") < 2, 1).otherwise(0).alias("label"))
     out = resample.oversample(df, "label", key_col="k")
