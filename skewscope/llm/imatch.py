@@ -2,17 +2,15 @@
 
 The lexicon is the band of terms whose document frequency lies between N^0.2 and N^0.8 (N rows): idf is
 neither among the least nor the most. It is dealt at random, by a hash of the term, to ``SUBS`` sub-lexicons, so
-every term of it belongs to one; a fingerprint holds, for each sub-lexicon that meets the text, a hash of the text's
-distinct terms in it (the XOR of their own hashes, which needs no sorting and sums up before the shuffle). The likeness
-of two fingerprints is the share of sub-lexicons with equal hashes among those that meet either text. A text without any
-term of the lexicon has a hash of the whole text instead.
+every term of it belongs to one. A text's distinct terms of the lexicon are sorted; its fingerprint holds, for each sub-lexicon
+that meets the text, a hash of its sorted terms in it. The likeness of two fingerprints is the share of sub-lexicons with
+equal hashes among those that meet either text. A text without any term of the lexicon has a hash of the whole text instead.
 
-All distinct terms of all rows are counted and looked up; one row of hashes per text is shuffled.
-The lexicon is broadcast up to ``BROADCAST_ROWS`` terms and joined by shuffle beyond that.
-
-The next document in descending doc_id is found with a window per range of doc_ids (ranges of about
-``RANGE_ROWS`` rows, from approximate quantiles); the first row of each range, one per range, is
-broadcast to the last row of the range before.
+Work: one pass counts the terms of all rows (partial aggregates). Then the rows are dealt once, texts and all, into ranges of
+about ``RANGE_ROWS`` rows in descending doc_id, and all else happens where they lie: the next row, the edited text, the look-up of the terms
+of both texts (the lexicon is broadcast up to ``BROADCAST_ROWS`` terms, joined by shuffle beyond), their hashes and the likeness to the
+next row's. The first row of each range is dealt to the range before as well, as its end, so no text is sent twice otherwise and none is
+broadcast. A doc_id with many rows (null too) has ranges of its own, cut by the hash of the text.
 
 Defined results: a null text counts as empty; rows of one doc_id are ordered by their row hash and null doc_ids
 come last; a single row is its own next; repeated rows get equal fingerprints; an empty table gives no rows.
@@ -20,17 +18,22 @@ come last; a single row is its own next; repeated rows get equal fingerprints; a
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skewscope.llm.common import attach, read, save, whole_text
+from skewscope.llm.common import read, save, whole_text
 from skewscope.llm.decontaminate import SEPARATORS, words
 from skewscope.llm.url_rules import LOWER, UPPER
 
 SUBS = 32
 LOW, HIGH = 0.2, 0.8
 BROADCAST_ROWS = 1_000_000
-RANGE_ROWS, MAX_RANGES = 5_000, 4_096
+#: Rows of a range, until there are MAX_RANGES of them; a doc_id of over HOT ranges' rows is cut (at most HOT_IDS such ids).
+RANGE_ROWS, MAX_RANGES, HOT, HOT_IDS = 2_000, 100_000, 4, 10_000
+_PLACE = ("part", "sub")
 
 
 def distinct_terms(text: Column) -> Column:
@@ -38,26 +41,31 @@ def distinct_terms(text: Column) -> Column:
 
 
 def lexicon(rows: DataFrame, n: int) -> DataFrame:
-    """Terms of ``text`` whose document frequency lies in the band: ``term``, its sub-lexicon ``sub`` and its hash ``h``."""
+    """Terms of ``text`` whose document frequency lies in the band: ``term`` and its sub-lexicon ``lex``."""
     df = rows.select(F.explode(distinct_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    number = lambda at, size: F.conv(F.substring(F.md5(F.col("term").cast("binary")), at, size), 16, 10)
-    return df.where(F.col("df").between(n ** LOW, n ** HIGH)).select(
-        "term", (number(1, 2).cast("int") % SUBS).alias("sub"), number(3, 8).cast("long").alias("h"))
+    number = F.conv(F.substring(F.md5(F.col("term").cast("binary")), 1, 2), 16, 10).cast("int")
+    return df.where(F.col("df").between(n ** LOW, n ** HIGH)).select("term", (number % SUBS).alias("lex"))
+
 
+def fingerprint(terms: Column) -> Column:
+    """``sub:hash`` per sub-lexicon, from an array of ``sub:term`` (sub as two hex digits).
 
-def fingerprints(rows: DataFrame, text: str, lex: DataFrame, keys: list[str]) -> DataFrame:
-    """``keys``, of which one tells rows apart, and print: an array of ``sub:hash``, empty if no term is in the lexicon."""
-    small = lex.count() <= BROADCAST_ROWS
-    terms = rows.select(*keys, F.posexplode_outer(distinct_terms(F.col(text))).alias("at", "term"))
-    met = terms.join(F.broadcast(lex) if small else lex, "term", "left")
-    met = met.where(F.col("sub").isNotNull() | (F.coalesce("at", F.lit(0)) == 0))  # every row keeps its first
-    out = met.groupBy(*keys).agg(*(F.bit_xor(F.when(F.col("sub") == k, F.col("h"))).alias(f"h{k}") for k in range(SUBS)))
-    prints = F.array_compact(F.array(*(F.concat(F.lit(f"{k:02x}:"), F.lpad(F.lower(F.hex(f"h{k}")), 8, "0"))
-                                       for k in range(SUBS))))
-    return out.select(*keys, prints.alias("print"))
+    Markers that sort before each sub-lexicon's terms and behind the last one's cut the sorted array into pieces.
+    """
+    marks = [f"{k:02x}:" for k in range(SUBS + 1)]
+    held = F.array_sort(F.concat(terms, F.array(*map(F.lit, marks))))
 
+    def piece(sub, sorted_):
+        first = F.array_position(sorted_, F.concat(sub, F.lit(":"))).cast("int")
+        after = F.array_position(sorted_, F.concat(F.lpad(F.lower(F.hex(F.conv(sub, 16, 10).cast("long") + 1)), 2, "0"), F.lit(":"))).cast("int")
+        own = F.transform(F.slice(sorted_, first + 1, F.greatest(after - first - 1, F.lit(0))), lambda t: F.substring(t, 4, 1 << 30))
+        return F.when(after - first > 1, F.concat(sub, F.lit(":"), F.substring(F.md5(F.array_join(own, " ").cast("binary")), 1, 8)))
 
-def or_whole(prints: str, whole: str) -> Column:
+    subs = F.array(*[F.lit(m[:2]) for m in marks[:-1]])
+    return F.transform(F.array(held), lambda h: F.array_compact(F.transform(subs, lambda s: piece(s, h))))[0]
+
+
+def or_whole(prints: str, whole: Column) -> Column:
     """The print, or the hash of the whole text that stands in for an empty one."""
     return F.when(F.size(prints) > 0, F.col(prints)).otherwise(F.array(F.concat(F.lit("t:"), whole)))
 
@@ -67,76 +75,86 @@ def likeness(a: str, b: str) -> Column:
     return F.size(F.array_intersect(a, b)) / F.size(F.array_union(slot(a), slot(b))).cast("double")
 
 
-def with_next(docs: DataFrame) -> DataFrame:
-    """doc_id, text, row_hash, next_doc, next_hash, next_text: the next row in descending doc_id, then the first."""
-    rows = whole_text(docs)
-    n = rows.count()
+def _in_ranges(rows: DataFrame, n: int) -> DataFrame:
+    """``rows`` with (part, sub): part rises with doc_id (-1: null), sub within a part with the row hash."""
     parts = max(1, min(MAX_RANGES, n // RANGE_ROWS))
-    cuts = sorted({int(q) for q in rows.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.2 / parts)}) \
-        if parts > 1 else []
-    place = F.coalesce(F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: c <= F.col("doc_id")))
-                       if cuts else F.when(F.col("doc_id").isNotNull(), 0), F.lit(-1))
+    most = max(HOT * RANGE_ROWS, n // HOT_IDS)
+    per = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where(F.col("n") > most)
+    hot = per.select(F.col("doc_id").alias("hot_id"), F.ceil(F.col("n") / RANGE_ROWS).alias("pieces")).collect()  # at most HOT_IDS
+    cuts = set(rows.approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.2 / parts)) if parts > 1 else set()
+    cuts |= {float(h["hot_id"]) + d for h in hot if h["hot_id"] is not None for d in (0, 1)}
+    place = F.lit(0)
     if cuts:
-        place = F.when(F.col("doc_id").isNull(), -1).otherwise(place)
-    rows = rows.withColumn("part", place)
-    order = [F.desc_nulls_last("doc_id"), F.asc("row_hash")]
-    heads = (rows.groupBy("part").agg(F.max(F.struct("doc_id", F.bitwise_not("row_hash").alias("h"))).alias("top"))
-             .select("part", F.col("top.doc_id").alias("head_doc"), F.bitwise_not("top.h").alias("head_hash")))
-    heads = save(heads)  # one row per range
-    texts = rows.join(F.broadcast(heads.select(F.col("part").alias("hp"), "head_doc", "head_hash")),
-                      F.col("doc_id").eqNullSafe(F.col("head_doc")) & (F.col("row_hash") == F.col("head_hash"))) \
-        .groupBy("hp").agg(F.max("text").alias("head_text"), F.max("head_doc").alias("head_doc"),
-                           F.max("head_hash").alias("head_hash"))
-    by = Window.orderBy(F.desc("hp"))  # over one row per range
-    top = F.first(F.struct("head_doc", "head_hash", "head_text")).over(
-        by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    after = texts.select("hp", F.coalesce(F.lead(F.struct("head_doc", "head_hash", "head_text")).over(by), top).alias("after"))
-    w = Window.partitionBy("part").orderBy(*order)
-    rows = rows.withColumn("next", F.lead(F.struct(F.col("doc_id").alias("head_doc"), F.col("row_hash").alias("head_hash"),
-                                                   F.col("text").alias("head_text"))).over(w))
-    rows = rows.join(F.broadcast(save(after)), F.col("part") == F.col("hp"), "left")
-    then = F.coalesce("next", "after")
-    return rows.select("doc_id", "text", "row_hash", then["head_doc"].alias("next_doc"),
-                       then["head_hash"].alias("next_hash"), then["head_text"].alias("next_text"))
+        splits = [-math.inf, *sorted(cuts), math.inf]
+        rows = Bucketizer(splits=splits, inputCol="_id", outputCol="_part").transform(
+            rows.withColumn("_id", F.coalesce(F.col("doc_id").cast("double"), F.lit(0.0))))
+        place = F.col("_part").cast("int")
+    rows = rows.withColumn("part", F.when(F.col("doc_id").isNull(), -1).otherwise(place)).drop("_id", "_part")
+    if not hot:
+        return rows.withColumn("sub", F.lit(0))
+    pieces = F.broadcast(rows.sparkSession.createDataFrame(hot, "hot_id long, pieces long"))
+    rows = rows.join(pieces, F.col("doc_id").eqNullSafe(F.col("hot_id")), "left")
+    share = F.col("row_hash").cast("double") / 2.0 ** 64 + 0.5
+    sub = F.least(F.floor(share * F.col("pieces")), F.col("pieces") - 1)
+    return rows.withColumn("sub", F.coalesce(sub, F.lit(0)).cast("int")).drop("hot_id", "pieces")
+
+
+def with_next(docs: DataFrame) -> DataFrame:
+    """part, sub, place, doc_id, row_hash, text, next_doc, next_text: the next row in descending doc_id, then the first.
+
+    Where ``ends`` is set, the row is the first of the range after, which stands at the end of this one.
+    """
+    rows = whole_text(docs)
+    rows = _in_ranges(rows, rows.count())
+    # Per range its first row; it goes to the range before, the very first one to the last range.
+    top = F.max(F.struct("doc_id", F.bitwise_not("row_hash").alias("h")))
+    heads = save(rows.groupBy(*_PLACE).agg(top.alias("top")).select(
+        *_PLACE, F.col("top.doc_id").alias("head_doc"), F.bitwise_not("top.h").alias("head_hash")))
+    order = Window.orderBy(F.desc("part"), F.asc("sub"))  # over one small row per range
+    last = F.last(F.struct(*_PLACE)).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    goes = save(heads.select("head_doc", "head_hash", F.coalesce(F.lag(F.struct(*_PLACE)).over(order), last).alias("to")))
+    small = F.broadcast(goes) if goes.count() <= BROADCAST_ROWS else goes
+    met = rows.drop(*_PLACE).join(small, F.col("doc_id").eqNullSafe(F.col("head_doc")) & (F.col("row_hash") == F.col("head_hash")))
+    ends = met.groupBy("to").agg(*[F.first(c).alias(c) for c in ("doc_id", "row_hash", "text")])
+    both = rows.withColumn("ends", F.lit(False)).unionByName(
+        ends.select("doc_id", "row_hash", "text", "to.part", "to.sub", F.lit(True).alias("ends")))
+    w = Window.partitionBy(*_PLACE).orderBy("ends", F.desc_nulls_last("doc_id"), "row_hash")
+    return both.select(*_PLACE, F.row_number().over(w).alias("place"), "ends", "doc_id", "row_hash", "text",
+                       F.lead("doc_id").over(w).alias("next_doc"), F.lead("text").over(w).alias("next_text"))
 
 
 def edit_table(docs: DataFrame) -> DataFrame:
-    """Per row its edited text, the hashes of both texts and who comes next."""
-    both = with_next(docs)
+    """``with_next`` with the edited text."""
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    both = both.withColumn("edited", F.concat(F.substring("text", F.lit(1), n - half),
-                                              F.substring("next_text", F.lit(1), half)))
-    return both.select(
-        "doc_id", "row_hash", "next_doc", "next_hash", n.cast("long").alias("n_chars"), "edited",
-        F.sha2("edited", 256).alias("edited_sha256"), F.md5(F.col("edited").cast("binary")).alias("edited_whole"))
+    return with_next(docs).withColumn("edited", F.when(~F.col("ends"), F.concat(
+        F.substring("text", F.lit(1), n - half), F.substring("next_text", F.lit(1), half))))
 
 
 def imatch(docs: DataFrame) -> DataFrame:
     rows = whole_text(docs)
     lex = save(lexicon(rows, max(1, rows.count())))
-    numbered = rows.withColumn("row", F.monotonically_increasing_id()).withColumn("whole", F.md5(F.col("text").cast("binary")))
-    prints = fingerprints(numbered, "text", lex, ["row", "doc_id", "row_hash", "whole"])
-    # Equal rows have equal prints: one of each is kept for the joins.
-    prints = save(prints.select("doc_id", "row_hash", or_whole("print", "whole").alias("print"))
-                  .dropDuplicates(["doc_id", "row_hash"]))
-    edits = edit_table(docs).withColumn("row", F.monotonically_increasing_id())
-    names = [c for c in edits.columns if c != "edited"]
-    if lex.count() <= BROADCAST_ROWS:
-        edited = fingerprints(edits, "edited", lex, names)
-    else:  # the terms are shuffled with nothing but the row's number
-        edits = save(edits)
-        edited = edits.select(*names).join(fingerprints(edits, "edited", lex, ["row"]), "row")
-    out = edited.withColumn("edited_print", or_whole("print", "edited_whole")).drop("print", "row", "edited_whole")
-    out = attach(out, prints, ["print"])
-    out = out.withColumnsRenamed({"doc_id": "own_doc", "row_hash": "own_hash"}).withColumnsRenamed(
-        {"next_doc": "doc_id", "next_hash": "row_hash"})
-    out = attach(out, prints.withColumnRenamed("print", "next_print"), ["next_print"])
-    return out.select(F.col("own_doc").alias("doc_id"), "n_chars", "edited_sha256",
-                      F.array_join("print", " ").alias("fingerprint"),
-                      F.array_join("edited_print", " ").alias("edited_fingerprint"),
-                      likeness("print", "edited_print").alias("near_edited"),
-                      likeness("print", "next_print").alias("near_next"))
+    lex = F.broadcast(lex) if lex.count() <= BROADCAST_ROWS else lex
+    whole = lambda c: F.md5(F.col(c).cast("binary"))
+    own = F.struct("doc_id", "ends", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+                   whole("text").alias("whole"), whole("edited").alias("edited_whole"))
+    version = lambda c, v: F.transform(distinct_terms(F.coalesce(c, F.lit(""))), lambda t: F.struct(
+        F.lit(v).alias("version"), t.alias("term")))
+    terms = edit_table(docs).select(*_PLACE, "place", own.alias("own"), F.posexplode_outer(
+        F.concat(version("text", 0), version("edited", 1))).alias("at", "x"))
+    # What is not a term stands beside a row's first term only.
+    terms = terms.select(*_PLACE, "place", F.when(F.coalesce("at", F.lit(0)) == 0, F.col("own")).alias("own"), "x.version", "x.term")
+    met = terms.join(lex, "term", "left").where("lex IS NOT NULL OR own IS NOT NULL")
+    held = F.concat(F.lpad(F.lower(F.hex("lex")), 2, "0"), F.lit(":"), F.col("term"))
+    of = lambda v: F.collect_list(F.when(F.col("version") == v, held))  # noqa: E731  (nulls are left out)
+    both = met.groupBy(*_PLACE, "place").agg(F.first("own", ignorenulls=True).alias("own"), of(0).alias("t"), of(1).alias("e"))
+    both = both.select(*_PLACE, "place", "own.*", fingerprint(F.col("t")).alias("p"), fingerprint(F.col("e")).alias("ep"))
+    both = both.withColumn("p", or_whole("p", F.col("whole"))).withColumn("ep", or_whole("ep", F.col("edited_whole")))
+    w = Window.partitionBy(*_PLACE).orderBy("place")
+    out = both.withColumn("next_p", F.lead("p").over(w)).where("NOT ends")
+    return out.select("doc_id", "n_chars", "edited_sha256", F.array_join("p", " ").alias("fingerprint"),
+                      F.array_join("ep", " ").alias("edited_fingerprint"), likeness("p", "ep").alias("near_edited"),
+                      likeness("p", "next_p").alias("near_next"))
 
 
 def op7_imatch(spark, sf_dir: str) -> DataFrame:
@@ -160,11 +178,12 @@ e AS (SELECT o.doc_id, o.text, p.doc_id AS next_doc, o.n,
              substr(o.text, 1, length(o.text) - length(o.text) // 2) || substr(p.text, 1, length(o.text) // 2) AS edited
       FROM o JOIN o p ON p.k = o.k % o.n + 1),
 t AS (SELECT *, {_terms("text")} AS terms, {_terms("edited")} AS eterms FROM e),
-lex AS (SELECT term, ('0x' || md5(term)[1:2])::BIGINT % {SUBS} AS sub, ('0x' || md5(term)[3:10])::BIGINT AS h
+lex AS (SELECT term, ('0x' || md5(term)[1:2])::BIGINT % {SUBS} AS sub
         FROM (SELECT unnest(terms) AS term, n FROM t) GROUP BY term, n
         HAVING count(*) BETWEEN pow(n, {LOW}) AND pow(n, {HIGH})),
 x AS (SELECT doc_id, 0 AS v, unnest(terms) AS term FROM t UNION ALL SELECT doc_id, 1, unnest(eterms) FROM t),
-s AS (SELECT doc_id, v, printf('%02x:%08x', sub, bit_xor(h)) AS part FROM x JOIN lex USING (term) GROUP BY doc_id, v, sub),
+s AS (SELECT doc_id, v, printf('%02x:', sub) || md5(string_agg(term, ' ' ORDER BY term))[1:8] AS part
+      FROM x JOIN lex USING (term) GROUP BY doc_id, v, sub),
 f AS (SELECT doc_id, v, list(part ORDER BY part) AS p FROM s GROUP BY doc_id, v),
 q AS (SELECT t.doc_id, next_doc, text, edited, coalesce(a.p, ['t:' || md5(text)]) AS p,
              coalesce(b.p, ['t:' || md5(edited)]) AS ep
