@@ -131,45 +131,38 @@ def test_tokens_equal_the_tokenizer_on_odd_blanks():
         assert np.frombuffer(raw, "<u2").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
-def test_cross_entropy_joined_and_broadcast_agree(spark, docs):
-    labels = spark.createDataFrame([(0, 1, 0), (7, 1, 1), (14, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
-    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.row_hash)
-    a, b = (sorted(lm_score.cross_entropy_difference(docs, labels, 100, n).collect(), key=key) for n in (10**6, 0))
-    for x, y in zip(a, b):
-        assert x[:3] == y[:3] and x.score == pytest.approx(y.score) and x.ce_target == pytest.approx(y.ce_target)
-    by = {r.doc_id: r for r in a}
-    assert by[900].n_words == 0 and by[900].score == 0.0
-    assert by[0].score < by[21].score  # the target's own text reads more like it
-
-
-@pytest.mark.parametrize("bound", [10**6, 0])
-def test_cross_entropy_counts_all_words(spark, bound):
-    # More distinct words than any fixed vocabulary held; the rare ones tell target from background.
-    many = [" ".join(f"v{k}x{j}" for j in range(4000)) for k in range(5)]
-    texts = many + ["v0x1 v0x2 v0x3", "v4x1 v4x2 v4x3", "v0x1 v0x2 other", "", None]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    labels = spark.createDataFrame([(0, 1, 0), (4, 0, 0)], "doc_id long, quality int, toxic int")
+@pytest.mark.parametrize("batch_words,per_range", [(10**6, 2), (50, 1)])
+def test_cross_entropy_counts_all_words_and_pairs(spark, docs, batch_words, per_range):
+    """Against plain Python counts: rare words and single pairs too, in one batch and in many."""
+    many = [" ".join(f"v{k}x{j}" for j in range(1500)) for k in range(4)]
+    texts = [*many, "v0x1 v0x2 v0x3", "v3x1 v3x2 v3x3", "v0x1 v0x2 other", "", None, " \n "]
+    rows = [(1000 + k, t) for k, t in enumerate(texts)] + _rows(docs)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit(1)).repartition(3)
+    labels = spark.createDataFrame([(1000, 1, 0), (0, 1, 0), (7, 1, 1), (14, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     pairs, single, first = ([{}, {}] for _ in range(3))
-    for d, t in enumerate(texts):
-        w = ["<s>", *(t or "").split()]
-        for side in (0, 1) if d == 0 else (0,):
+    for d, t in rows:
+        w = ["<s>", *(t or "").lower().split()]
+        for side in (0, 1) if d in (1000, 0) else (0,):
             for x in zip(w, w[1:]):
                 for counts, key in ((pairs, x), (single, x[1]), (first, x[0])):
                     counts[side][key] = counts[side].get(key, 0) + 1
-    size = len(single[0])
-    assert size > 16_384
-
-    def loss(x, side):
-        seen, context = pairs[side].get(x, 0) if pairs[0][x] >= lm_score.CUT else 0, first[side].get(x[0], 0)
-        low = (single[side].get(x[1], 0) + lm_score.ADD) / (sum(single[side].values()) + lm_score.ADD * size)
-        return -np.log(lm_score.MIX * seen / context + (1 - lm_score.MIX) * low if context else low)
-
-    got = {r.doc_id: r for r in lm_score.cross_entropy_difference(docs, labels, broadcast_pairs=bound).collect()}
-    for d, t in enumerate(texts):
-        w = ["<s>", *(t or "").split()]
-        want = [sum(loss(x, side) for x in zip(w, w[1:])) / max(1, len(w) - 1) for side in (1, 0)]
-        assert (got[d].ce_target, got[d].ce_background) == pytest.approx(tuple(want)), d
-    assert got[5].score < got[6].score
+
+    def p(v, w, side):
+        seen, context = pairs[side].get((v, w), 0), first[side].get(v, 0)
+        low = (single[side].get(w, 0) + lm_score.ADD) / (sum(single[side].values()) + lm_score.ADD * len(single[0]))
+        return lm_score.MIX * seen / context + (1 - lm_score.MIX) * low if context else low
+
+    for side in (0, 1):  # each row of either model is a distribution over the vocabulary
+        for v in ("<s>", "v0x1", "v3x7"):
+            assert sum(p(v, w, side) for w in single[0]) == pytest.approx(1)
+    got = {(r.doc_id, r.n_words): r for r in lm_score.cross_entropy_difference(frame, labels, batch_words, per_range).collect()}
+    assert len(got) == len({(d, len((t or "").split())) for d, t in rows})
+    for d, t in rows:
+        w = ["<s>", *(t or "").lower().split()]
+        want = [-sum(np.log(p(*x, side)) for x in zip(w, w[1:])) / max(1, len(w) - 1) for side in (1, 0)]
+        r = got[d, len(w) - 1]
+        assert (r.ce_target, r.ce_background, r.score) == pytest.approx((*want, want[0] - want[1])), d
+    assert got[1004, 3].score < got[1005, 3].score
 
 
 PII_TEXTS = [
