@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skewscope.llm.common import read, save, whole_text
-from skewscope.llm.decontaminate import SEPARATORS, words
+from skewscope.llm.decontaminate import SEPARATORS
 from skewscope.llm.url_rules import LOWER, UPPER
 
 SUBS = 32
@@ -37,7 +37,7 @@ _PLACE = ("part", "sub")
 
 
 def distinct_terms(text: Column) -> Column:
-    return F.array_distinct(words(text))
+    return F.array_remove(F.array_distinct(F.split(F.translate(text, UPPER, LOWER), SEPARATORS)), "")
 
 
 def lexicon(rows: DataFrame, n: int) -> DataFrame:
@@ -47,22 +47,21 @@ def lexicon(rows: DataFrame, n: int) -> DataFrame:
     return df.where(F.col("df").between(n ** LOW, n ** HIGH)).select("term", (number % SUBS).alias("lex"))
 
 
-def fingerprint(terms: Column) -> Column:
-    """``sub:hash`` per sub-lexicon, from an array of ``sub:term`` (sub as two hex digits).
+def in_sub(lex: Column, term: Column) -> Column:
+    """A term of a sub-lexicon as ``fingerprint`` takes it: two hex digits, \\x01, the term (which holds no control characters)."""
+    return F.concat(F.lpad(F.lower(F.hex(lex)), 2, "0"), F.lit("\x01"), term)
 
-    Markers that sort before each sub-lexicon's terms and behind the last one's cut the sorted array into pieces.
-    """
-    marks = [f"{k:02x}:" for k in range(SUBS + 1)]
-    held = F.array_sort(F.concat(terms, F.array(*map(F.lit, marks))))
 
-    def piece(sub, sorted_):
-        first = F.array_position(sorted_, F.concat(sub, F.lit(":"))).cast("int")
-        after = F.array_position(sorted_, F.concat(F.lpad(F.lower(F.hex(F.conv(sub, 16, 10).cast("long") + 1)), 2, "0"), F.lit(":"))).cast("int")
-        own = F.transform(F.slice(sorted_, first + 1, F.greatest(after - first - 1, F.lit(0))), lambda t: F.substring(t, 4, 1 << 30))
-        return F.when(after - first > 1, F.concat(sub, F.lit(":"), F.substring(F.md5(F.array_join(own, " ").cast("binary")), 1, 8)))
+def fingerprint(terms: Column) -> Column:
+    """``sub:hash`` per sub-lexicon, from an array of ``in_sub`` terms.
 
-    subs = F.array(*[F.lit(m[:2]) for m in marks[:-1]])
-    return F.transform(F.array(held), lambda h: F.array_compact(F.transform(subs, lambda s: piece(s, h))))[0]
+    A marker sorts before each sub-lexicon's terms; the sorted terms are joined to one text, which the markers part again.
+    """
+    marks = F.array(*[F.lit(f"{k:02x}\x00") for k in range(SUBS)])
+    joined = F.array_join(F.sort_array(F.concat(terms, marks)), "\x02")  # sort_array: unlike array_sort, no lambda
+    pieces = F.split(F.regexp_replace(joined, "\x02[0-9a-f]{2}\x01", " "), "\x02")  # 1f\x00 first second ..
+    return F.transform(F.filter(pieces, lambda p: F.length(p) > 3), lambda p: F.concat(
+        F.substring(p, 1, 2), F.lit(":"), F.substring(F.md5(F.substring(p, 5, 1 << 30).cast("binary")), 1, 8)))
 
 
 def or_whole(prints: str, whole: Column) -> Column:
@@ -145,7 +144,7 @@ def imatch(docs: DataFrame) -> DataFrame:
     # What is not a term stands beside a row's first term only.
     terms = terms.select(*_PLACE, "place", F.when(F.coalesce("at", F.lit(0)) == 0, F.col("own")).alias("own"), "x.version", "x.term")
     met = terms.join(lex, "term", "left").where("lex IS NOT NULL OR own IS NOT NULL")
-    held = F.concat(F.lpad(F.lower(F.hex("lex")), 2, "0"), F.lit(":"), F.col("term"))
+    held = in_sub(F.col("lex"), F.col("term"))
     of = lambda v: F.collect_list(F.when(F.col("version") == v, held))  # noqa: E731  (nulls are left out)
     both = met.groupBy(*_PLACE, "place").agg(F.first("own", ignorenulls=True).alias("own"), of(0).alias("t"), of(1).alias("e"))
     both = both.select(*_PLACE, "place", "own.*", fingerprint(F.col("t")).alias("p"), fingerprint(F.col("e")).alias("ep"))
