@@ -21,10 +21,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from pyspark.sql import functions as F  # noqa: E402
 
 from skewscope.catalog.fixtures import labelled_lineitem, labelled_orders, scored_lineitem, scored_models  # noqa: E402
-from skewscope.catalog.fixtures import embedding_splits  # noqa: E402
+from skewscope.catalog.fixtures import embedding_splits, wide_lineitem  # noqa: E402
 from skewscope.catalog.flagship import flagship, lineitem_model_frame  # noqa: E402
 from skewscope.operators import balance, calibration, curves, experiments, metrics, models, resample, splits  # noqa: E402
 from skewscope.plans import study  # noqa: E402
+from skewscope.plans.materialize import materialize  # noqa: E402
 from skewscope.session import local_session  # noqa: E402
 
 
@@ -70,6 +71,18 @@ def q_lr_fit_weighted(spark, sf, timings):
     return fitted
 
 
+def q_wide_lr_fit(spark, staged, timings):
+    """The reference's width: 2,048 0/1 features a row, read from a staged table as its batches are."""
+    data = study.prepare(staged, "score", "group", "key")
+    train = resample.class_weights(data.train, "label", "weight")
+    fitted, secs = models.fit_timed(models.logistic_regression(weight_col="weight"), train)
+    timings["wide_fit_only"] = round(secs, 3)
+    timings["wide_train_rows"], timings["wide_width"] = train.count(), fitted.numFeatures
+    valid = models.score_all({"logistic_regression_weighted": fitted}, data.valid)
+    timings["wide_pr_auc"] = round(metrics.evaluate_scores(valid, "label", "p1", group_cols=["model"]).first()["PR_AUC"], 4)
+    return fitted
+
+
 def q_strategy_grid(spark, sf):
     s = embedding_splits(spark, sf)
     return experiments.strategy_grid(s["train"], s["valid"], "label", "features", key_col="key").metrics.collect()
@@ -95,10 +108,13 @@ def main() -> None:
         for fn in (q_label_balance, q_evaluate_split, q_resample):
             fn(spark, warm_dir)
     extra: dict[str, float] = {}
+    # The wide rows stand in for staged batches: made once, outside the timings.
+    wide = materialize(wide_lineitem(spark, sf)) if not only or "wide_lr_fit" in only else None
     plan = [("label_balance", q_label_balance), ("split_summary", q_split_summary),
             ("evaluate_split", q_evaluate_split), ("curves_by_model", q_curves_by_model),
             ("resample", q_resample), ("calibration", q_calibration),
             ("lr_fit_weighted", lambda s, d: q_lr_fit_weighted(s, d, extra)),
+            ("wide_lr_fit", lambda s, d: q_wide_lr_fit(s, wide, extra)),
             ("strategy_grid", q_strategy_grid), ("flagship", q_flagship),
             ("study_documents", q_study_documents)]
     # Two passes over the whole plan: the first pays JVM/codegen warm-up and is

@@ -117,3 +117,22 @@ def document_study_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.split(F.trim("text"), r"\s+")).cast("double").alias("words"),
         F.size(F.split("text", "\n")).cast("double").alias("lines"))
     return VectorAssembler(inputCols=["words", "lines"], outputCol="features").transform(docs)
+
+
+WIDTH = 2048
+WIDE_BITS = 48
+
+
+def wide_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as rows of 2,048 0/1 features, about 48 of them set (as in a molecule's fingerprint): each part sets its own 40
+    and each quantity 8 more; key, group (order), score (price raised with the quantity) and features."""
+    from pyspark.ml.feature import HashingTF
+
+    def draws(name: str, col: str, n: int):
+        return F.transform(F.sequence(F.lit(1), F.lit(n)), lambda k: F.concat_ws(":", F.lit(name), F.col(col).cast("string"), k.cast("string")))
+
+    li = table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("key"), F.col("l_orderkey").cast("string").alias("group"),
+        (F.col("l_extendedprice") + 1500 * F.col("l_quantity")).alias("score"),
+        F.concat(draws("p", "l_partkey", WIDE_BITS - 8), draws("q", "l_quantity", 8)).alias("drawn"))
+    return HashingTF(numFeatures=WIDTH, binary=True, inputCol="drawn", outputCol="features").transform(li).drop("drawn")

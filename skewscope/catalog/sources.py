@@ -90,3 +90,17 @@ def bits_to_features(spark, sf):
     return df.select("vec_id", F.aggregate(arr, F.lit(0.0), lambda a, x: a + x).alias("ones"),
                      F.size(arr).alias("width"))
 
+
+
+@register("wide_bits", """
+SELECT CAST(k AS INTEGER) AS coordinate, sum(CASE WHEN o_orderkey % (k + 2) = 0 THEN 1 ELSE 0 END) * 1e0 AS ones
+FROM orders, (SELECT unnest(range(2048)) AS k) GROUP BY k""")
+def wide_bits(spark, sf):
+    """Bit strings of the full width (bit k: the key divides by k + 2) as vectors; ones per coordinate."""
+    from pyspark.ml.stat import Summarizer
+
+    bit = lambda k: F.when(F.col("o_orderkey") % (k + 2) == 0, "1").otherwise("0")
+    text = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(features.FP_WIDTH - 1)), bit), "")
+    vectors = features.bits_to_features(table(spark, sf, "orders").select("o_orderkey", text.alias(features.BITS_COL)))
+    sums = vectors.agg(Summarizer.sum(F.col("features")).alias("s"))
+    return sums.select(F.posexplode(vector_to_array("s")).alias("coordinate", "ones"))
