@@ -5,7 +5,7 @@
 2. Document frequencies of all token ids over all whole documents are summed by Spark (one count per
    vocabulary entry, which bounds what reaches the driver).
 3. Tails are dealt by a hash of the row into shards of about ``SHARD_DOCS`` documents. A shard keeps an inverted index
-   of BM25 weights (corpus-wide idf). A seed queries it with all its terms; its best unused neighbours fill the
+   of BM25 weights (corpus-wide idf, term counts of the whole documents). A seed queries it with all its terms; its best unused neighbours fill the
    window in order of score. The one that no longer fits is cut, and its rest seeds the next window.
 4. The last window of a shard is cut into sequences of powers of two, so that no sequence needs padding.
 
@@ -15,12 +15,14 @@ Defined results: a null or empty text has the end id only; every row is packed,
 empty table gives no pieces.
 
 Ids are those of the ``tokenizers`` file; they are computed with the same vocabulary as ranks (``tiktoken``), several
-times faster, on pieces that begin with a blank (no token spans such a boundary) and are looked up in a cache.
+times faster, on pieces that begin with a blank (no token spans such a boundary) and are looked up in a cache. The string of
+an added token is that token's id, as there.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -33,7 +35,9 @@ from skewscope.llm.common import read, save, whole_text
 
 SIZE, END_ID = 2048, 1
 SHARD_DOCS = 512
-CACHED_PIECES = 300_000
+CACHED_PIECES = 600_000
+#: Fixed value: the one added token of the vocabulary; its string in a text is one id.
+ADDED = {"<|endoftext|>": 50256}
 K1, B = 1.2, 0.75
 
 
@@ -55,40 +59,67 @@ def encoder(ranks_path: str | None = None, pattern: str | None = None):
 class Tokens:
     """Ids of whole texts as little-endian unsigned 16-bit bytes (the vocabulary has 50,257 entries)."""
 
-    def __init__(self, encoding):
-        self.encoding, self.pieces = encoding, {}
+    def __init__(self, encoding, added: dict[str, int] = ADDED):
+        self.encoding, self.added, self.pieces = encoding, added, {}
+        self.width = np.array([len(t) for t in encoding.decode_tokens_bytes(list(range(encoding.n_vocab)))])
+        self.marker = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
 
     def plain(self, text: str) -> bytes:
         return np.array(self.encoding.encode_ordinary(text), "<u2").tobytes()
 
+    def learn(self, some: list[str]) -> None:
+        """Encode pieces in one go; tokens never span the blank that begins a piece, so their lengths tell them apart."""
+        ids = np.array(self.encoding.encode_ordinary(" " + " ".join(some)), "<u2")
+        ends = np.cumsum(self.width[ids])
+        until = np.cumsum([len(p.encode()) + 1 for p in some])
+        cut = np.searchsorted(ends, until) + 1
+        if cut[-1] != len(ids) or (ends[cut - 1] != until).any():
+            raise ValueError("a token spans two pieces")
+        raw, start = ids.tobytes(), 0
+        for p, end in zip(some, (2 * cut).tolist()):
+            self.pieces[p] = raw[start:end]
+            start = end
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        new = set().union(*(s[1:] for s in split)).difference(self.pieces) if split else ()
-        if len(self.pieces) + len(new) > CACHED_PIECES:
-            self.pieces.clear()
-            new = set().union(*(s[1:] for s in split))
-        for p in new:
-            # A blank followed by another blank, or by none, does not begin a piece.
-            if p and not p[0].isspace():
-                self.pieces[p] = self.plain(" " + p)
+        """Texts that hold an added token are encoded between and around it."""
+        if self.marker is None or not any(m in t for t in texts for m in self.added):
+            return self._encode(texts)
         out = []
-        for text, (first, *rest) in zip(texts, split):
-            try:
-                out.append(self.plain(first) + b"".join(map(self.pieces.__getitem__, rest)))
-            except KeyError:
-                out.append(self.plain(text))
+        for t in texts:
+            parts = self.marker.split(t)  # text, marker, text, ..
+            ids = self._encode(parts[::2])
+            marks = [np.array([self.added[m]], "<u2").tobytes() for m in parts[1::2]]
+            out.append(b"".join(x for pair in zip(ids, [*marks, b""]) for x in pair))
         return out
 
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        split = [t.split(" ") for t in texts]
+        firsts = [s.pop(0) for s in split]
+        found = [list(map(self.pieces.get, s)) for s in split]
+        lacking = [k for k, f in enumerate(found) if not all(f)]
+        # A blank followed by another blank, or by none, does not begin a piece.
+        new = {p for k in lacking for p, f in zip(split[k], found[k]) if f is None and p and not p[0].isspace()}
+        if new:
+            if len(self.pieces) + len(new) > CACHED_PIECES:
+                self.pieces.clear()
+                new = {p for s in split for p in s if p and not p[0].isspace()}
+                lacking = range(len(split))
+            self.learn(list(new))
+            for k in lacking:
+                found[k] = list(map(self.pieces.get, split[k]))
+        return [self.plain(first) + b"".join(f) if all(f) else self.plain(t) for t, first, f in zip(texts, firsts, found)]
+
 
 def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-TOKENS = "row long, doc_id long, row_hash long, n long, heads binary, ids binary"
+TOKENS = "row long, doc_id long, row_hash long, n long, heads binary, ids binary, bag binary"
 
 
 def tokenized(docs: DataFrame, size: int = SIZE, all_ids: bool = False, ranks_path: str | None = None) -> DataFrame:
-    """Saved: per row its count of ids, checksums of its whole windows and the ids of its tail.
+    """Saved: per row its count of ids, checksums of its whole windows, the ids of its tail and, if that is not the whole
+    document, the document's bag: its distinct ids and how often each occurs.
 
     With ``all_ids`` the ids of the whole windows are kept too. Rows with a negative ``row`` hold a task's document
     frequencies (token id, count).
@@ -105,19 +136,21 @@ def tokenized(docs: DataFrame, size: int = SIZE, all_ids: bool = False, ranks_pa
                 out = []
                 for raw in tokens.encode(one["text"].tolist()):
                     ids = np.frombuffer(raw + end, "<u2")
-                    df[np.unique(ids)] += 1
+                    seen, count = np.unique(ids, return_counts=True)
+                    df[seen] += 1
                     whole = len(ids) - len(ids) % size
                     heads = np.array([crc(ids[k:k + size]) for k in range(0, whole, size)], np.uint32)
-                    out.append((number, len(ids), heads.tobytes(), ids[0 if all_ids else whole:].tobytes()))
+                    bag = np.stack([seen, count]).astype(np.uint32).tobytes() if whole else b""
+                    out.append((number, len(ids), heads.tobytes(), ids[0 if all_ids else whole:].tobytes(), bag))
                     number += 1
-                done = pd.DataFrame(out, columns=["row", "n", "heads", "ids"])
+                done = pd.DataFrame(out, columns=["row", "n", "heads", "ids", "bag"])
                 done["doc_id"] = one["doc_id"].astype("Int64").to_numpy()
                 done["row_hash"] = one["row_hash"].to_numpy()
-                yield done[["row", "doc_id", "row_hash", "n", "heads", "ids"]]
+                yield done[["row", "doc_id", "row_hash", "n", "heads", "ids", "bag"]]
         seen = np.flatnonzero(df).astype(np.uint32)
         if len(seen):
             yield pd.DataFrame({"row": [-1], "doc_id": pd.array([None], "Int64"), "row_hash": [0], "n": [0], "heads": [b""],
-                                "ids": [np.stack([seen, df[seen]]).tobytes()]})
+                                "ids": [np.stack([seen, df[seen]]).tobytes()], "bag": [b""]})
 
     return save(whole_text(docs).mapInPandas(rows, TOKENS))
 
@@ -139,17 +172,17 @@ def idf(tokens: DataFrame, n_docs: int) -> np.ndarray:
 
 
 class Index:
-    """Inverted index of a shard: BM25 weights by token."""
+    """Inverted index of a shard: BM25 weights by token, from each document's ids in any order."""
 
-    def __init__(self, tails: list[np.ndarray], weights: np.ndarray):
-        sizes = np.array([len(t) for t in tails])
-        key = np.concatenate(tails).astype(np.int64) * len(tails) + np.repeat(np.arange(len(tails)), sizes)
+    def __init__(self, docs: list[np.ndarray], weights: np.ndarray):
+        sizes = np.array([len(d) for d in docs])
+        key = np.concatenate(docs).astype(np.int64) * len(docs) + np.repeat(np.arange(len(docs)), sizes)
         key, tf = np.unique(key, return_counts=True)
-        token, self.doc = key // len(tails), key % len(tails)
+        token, self.doc = key // len(docs), key % len(docs)
         norm = K1 * (1 - B + B * sizes / max(1.0, sizes.mean()))
         self.weight = (weights[token] * tf * (K1 + 1) / (tf + norm[self.doc])).astype(np.float32)
         self.begin = np.searchsorted(token, np.arange((1 << 16) + 1))
-        self.n = len(tails)
+        self.n = len(docs)
 
     def scores(self, ids: np.ndarray) -> np.ndarray:
         """BM25 of every document of the shard for the distinct terms of ``ids``."""
@@ -159,9 +192,12 @@ class Index:
         return np.bincount(self.doc[at], self.weight[at], self.n)
 
 
-def fill(tails: list[np.ndarray], weights: np.ndarray, size: int) -> list[list[tuple[int, int, int]]]:
-    """Windows of (tail, start, length); all but the last window hold exactly ``size`` ids."""
-    index = Index(tails, weights)
+def fill(tails: list[np.ndarray], docs: list[np.ndarray], weights: np.ndarray, size: int) -> list[list[tuple[int, int, int]]]:
+    """Windows of (tail, start, length); all but the last window hold exactly ``size`` ids.
+
+    Seeds ask, and are found, by the ids of their whole documents ``docs``; equal scores go by place.
+    """
+    index = Index(docs, weights)
     unused = np.ones(len(tails), bool)
     windows, seed, begin = [], 0, 0
     unused[0] = False
@@ -169,7 +205,7 @@ def fill(tails: list[np.ndarray], weights: np.ndarray, size: int) -> list[list[t
         window, room = [(seed, begin, len(tails[seed]) - begin)], size - len(tails[seed]) + begin
         near = iter(())
         if room and unused.any():
-            score = np.where(unused, index.scores(tails[seed]), -1.0)
+            score = np.where(unused, index.scores(docs[seed]), -1.0)
             near = iter(np.argsort(-score, kind="stable")[: int(unused.sum())].tolist())
         seed = None
         for other in near:
@@ -231,7 +267,9 @@ def pack(docs: DataFrame, size: int = SIZE, shard_docs: int = SHARD_DOCS, with_i
                 out.append((k, j * size, size, c, int(n), sequence, 0, ids))
                 sequence += 1
         some = [k for k, t in enumerate(tails) if len(t)]
-        windows = fill([tails[k] for k in some], weights, size) if some else []
+        bags = {k: np.frombuffer(b, np.uint32).reshape(2, -1) for k, b in enumerate(pdf["bag"]) if len(b)}
+        own = [np.repeat(*bags[k]) if k in bags else tails[k] for k in some]
+        windows = fill([tails[k] for k in some], own, weights, size) if some else []
         cut = [w for x in windows for w in ([x] if sum(p[2] for p in x) == size else _halves(x, size))]
         for window in cut:
             offset = 0

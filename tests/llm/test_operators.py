@@ -97,7 +97,6 @@ def test_packing_round_trip(docs):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     got = packing.pack(docs, size=64, shard_docs=16, with_ids=True).collect()
     pieces = {}
     for r in got:
@@ -124,13 +123,55 @@ def test_tokens_equal_the_tokenizer_on_odd_blanks():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     odd = ["", " ", "  a", "a  b", "a \n b", " a", "a ", "\n", "é à", "x  y z", "a\tb c ", "it's  don't 's", "<|endoftext|> hi",
+           "a <|endoftext|> b", "a<|endoftext|><|endoftext|>", "<|endoftext |> <|endoftext|>\n",
            "\x1c a \x1d", "a \x85b", "a ​ b"]
     for text, raw in zip(odd, packing.Tokens(packing.encoder()).encode(odd)):
         assert np.frombuffer(raw, "<u2").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_windows_are_filled_by_bm25(monkeypatch):
+    """Neighbours, their order and the fill against BM25 by hand, with ties and documents longer than a window."""
+    rng = np.random.default_rng(8)
+    for trial in range(6):
+        docs = [rng.integers(2, 40, int(rng.integers(1, 90))) for _ in range(30)]
+        docs += [docs[3].copy(), docs[3].copy(), docs[5][::-1].copy()]  # copies tie
+        size = 64
+        tails = [d[len(d) - len(d) % size:] for d in docs]
+        docs, tails = zip(*[(d, t) for d, t in zip(docs, tails) if len(t)])
+        n = len(docs)
+        weights = np.zeros(1 << 16, np.float32)
+        weights[2:40] = rng.uniform(0.1, 3, 38)
+        mean = sum(map(len, docs)) / n
+
+        def bm25(seed, other):
+            out = 0.0
+            for w in set(docs[seed].tolist()):
+                tf = int((docs[other] == w).sum())
+                out += weights[w] * tf * (packing.K1 + 1) / (tf + packing.K1 * (1 - packing.B + packing.B * len(docs[other]) / mean))
+            return out
+
+        unused, seed, begin, want = set(range(1, n)), 0, 0, []
+        while seed is not None:
+            window, room = [(seed, begin, len(tails[seed]) - begin)], size - len(tails[seed]) + begin
+            near = sorted(unused, key=lambda o: (-round(bm25(seed, o), 4), o)) if room else []
+            seed = None
+            for o in near:
+                part = min(room, len(tails[o]))
+                window.append((o, 0, part))
+                unused.discard(o)
+                room -= part
+                if part < len(tails[o]):
+                    seed, begin = o, part
+                if not room:
+                    break
+            want.append(window)
+            if seed is None and unused:
+                seed, begin = min(unused), 0
+                unused.discard(seed)
+        assert packing.fill(list(tails), list(docs), weights, size) == want
+
+
 @pytest.mark.parametrize("batch_words,per_range", [(10**6, 2), (50, 1)])
 def test_cross_entropy_counts_all_words_and_pairs(spark, docs, batch_words, per_range):
     """Against plain Python counts: rare words and single pairs too, in one batch and in many."""
