@@ -68,3 +68,33 @@ def test_column_layouts_load_by_header_alone(spark, tmp_path):
         row = out.where("SMILES = 'm6'").first()
         assert row["features"].size == 130 and row["SA_score"] == 6.0
         assert row["features"].toArray()[:5].tolist() == [1, 1, 0, 0, 1]  # 6 % 2, 3, 4, 5, 6
+
+
+def test_recurring_study_stages_and_fits_only_what_is_new(spark, tmp_path, monkeypatch):
+    """Three runs: from scratch, again on the same batches, and after one more batch; outputs are published as sets."""
+    from skewscope.plans import study
+    from skewscope.sinks import publish
+    from skewscope.sources import ledger
+
+    made, staged = [], []
+    real_registry, real_stage = study.FitRegistry, ledger.stage_new
+    monkeypatch.setattr(study, "FitRegistry", lambda *a: made.append(real_registry(*a)) or made[-1])
+    monkeypatch.setattr(ledger, "stage_new", lambda *a, **b: staged.append(real_stage(*a, **b)) or staged[-1])
+    _batches(spark, tmp_path / "in" / "1")
+    out = str(tmp_path / "out")
+
+    def run():
+        run_from_batches(spark, str(tmp_path / "in" / "*" / "*.csv.gz"), out, group_col="scaffold", width=64, cap=300, quantile="disc",
+                         scaling_sizes=(50,), rf_params={"num_trees": 2, "max_depth": 3}, lr_params={"max_iter": 3},
+                         ledger_dir=str(tmp_path / "staged"), models_dir=str(tmp_path / "models"), publish_set=True)
+        path = publish.artefact(spark, out, "class_balance_overall.json")
+        return json.loads(spark.read.text(path).first()[0])["total_rows"]
+
+    assert run() == 500 and run() == 500
+    assert staged[0] >= 1 and staged[1] == 0
+    assert len(made[0].fitted) == 10 and made[1].fitted == [] and len(made[1].reused) == 10
+    first, second = (publish.current(spark, out)["number"], publish.verify(spark, out))
+    assert first == 2 and second.where("intact").count() == second.count() >= 19
+    _batches(spark, tmp_path / "in" / "2")
+    assert run() == 1000 and staged[2] == staged[0] and len(made[2].fitted) == 10
+    assert publish.current(spark, out)["number"] == 3
