@@ -10,9 +10,11 @@
    components only, under the same estimate and an exact bound, and confirmed likewise: this finds what a star
    cannot. The bound: each shingle flips one of ``PARITY`` bits of its set, so the bits in which two sets differ are never
    more than the shingles in which they do; pairs with too many are below the similarity for certain.
+5. Such a bucket of more than ``HOT_BUCKET`` classes (texts of one template, say) is not joined: its classes get ``DEEP_BANDS`` narrower
+   buckets of ``DEEP_ROWS`` fresh minima each, which unlike texts of one template hardly share, and those are joined in its place.
 
 A pair at similarity 0.8 shares no band with probability 5e-8 and falls below the estimate's margin
-with about 1e-7; higher similarities are missed less. Buckets and classes are only aggregated or joined, never
+with about 1e-7, and shares no narrow band with 4e-7; higher similarities are missed less. Buckets and classes are only aggregated or joined, never
 gathered; no count of partners is capped.
 
 Defined results: null and empty texts and texts without words have no shingles and link with nothing; a text
@@ -36,6 +38,9 @@ from skewscope.llm.components import components
 HASHES, BANDS, BITS = 128, 32, 2
 PARITY = 2048
 MARGIN = 0.22
+#: Beyond so many classes a bucket of several components is replaced by narrower ones.
+HOT_BUCKET = 256
+DEEP_BANDS, DEEP_ROWS = 130, 10
 BROADCAST_ROWS = 1_000_000
 _RNG = np.random.default_rng(20_240_607)
 _MUL = (_RNG.integers(0, 1 << 31, HASHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -65,14 +70,24 @@ def shingle_hashes(found: list[bytes], size: int) -> np.ndarray:
     return np.unique(_mix(out))
 
 
-def minima(hashes: np.ndarray) -> np.ndarray:
-    low = np.full(HASHES, 0xFFFFFFFF, np.uint32)
+def minima(hashes: np.ndarray, xor: np.ndarray = _XOR, mul: np.ndarray = _MUL) -> np.ndarray:
+    low = np.full(len(xor), 0xFFFFFFFF, np.uint32)
     short = (hashes >> np.uint64(32)).astype(np.uint32)
-    for k in range(0, len(short), 2048):
-        np.minimum(low, ((short[k:k + 2048, None] ^ _XOR) * _MUL).min(axis=0), out=low)
+    step = max(1, 2048 * HASHES // len(xor))
+    for k in range(0, len(short), step):
+        np.minimum(low, ((short[k:k + step, None] ^ xor) * mul).min(axis=0), out=low)
     return low
 
 
+def band_keys(low: np.ndarray, bands: int) -> np.ndarray:
+    """One key for each of ``bands`` equal parts of the minima."""
+    whole = low.reshape(bands, -1).astype(np.uint64)
+    key = np.arange(1, bands + 1, dtype=np.uint64)
+    for k in range(whole.shape[1]):
+        key = _mix(key) + whole[:, k]
+    return _mix(key).view(np.int64)
+
+
 def sketch(text: str, size: int) -> tuple:
     """n, sum, mixed sum, four longs of packed low bits, band keys, parity bits."""
     u = shingle_hashes(words(text), size)
@@ -81,14 +96,10 @@ def sketch(text: str, size: int) -> tuple:
     low = minima(u)
     bits = (low[:, None] >> np.arange(BITS, dtype=np.uint32)) & np.uint32(1)
     packed = np.packbits(bits.astype(np.uint8).ravel()).view(np.int64)
-    whole = low.reshape(BANDS, -1).astype(np.uint64)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for k in range(whole.shape[1]):
-        key = _mix(key) + whole[:, k]
     flips = np.bincount((u & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
     parity = np.packbits(flips.astype(np.uint8)).view(np.int64)
     sums = np.array([u.sum(), _mix(u ^ _ODD).sum()], np.uint64).view(np.int64)
-    return len(u), int(sums[0]), int(sums[1]), *map(int, packed), _mix(key).view(np.int64).tolist(), parity.tolist()
+    return len(u), int(sums[0]), int(sums[1]), *map(int, packed), band_keys(low, BANDS).tolist(), parity.tolist()
 
 
 SKETCH = ("doc_id long, row_hash long, n long, f1 long, f2 long, s0 long, s1 long, s2 long, s3 long, "
@@ -130,13 +141,33 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach ``percent`` of intersection over union."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def class_texts(nodes: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, text) of the classes ``nodes``."""
     known = _small(classes.select("node", "rep_hash").join(nodes, "node", "leftsemi"))
     texts = whole_text(docs)
     texts = texts.join(known, (texts["doc_id"] == known["node"]) & (texts["row_hash"] == known["rep_hash"]))
-    texts = save(texts.select("node", "text").dropDuplicates(["node"]))
+    return texts.select("node", "text").dropDuplicates(["node"])
+
+
+def deep_buckets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(node, key) of narrower buckets, ``DEEP_BANDS`` bands of ``DEEP_ROWS`` minima of their own."""
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rng = np.random.default_rng(7_031_907)
+        mul = (rng.integers(0, 1 << 31, DEEP_BANDS * DEEP_ROWS, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
+        xor = rng.integers(0, 1 << 32, DEEP_BANDS * DEEP_ROWS, dtype=np.uint32)
+        for pdf in batches:
+            for at in range(0, len(pdf), 1000):
+                one = pdf.iloc[at:at + 1000]
+                keys = [band_keys(minima(shingle_hashes(words(t), size), xor, mul), DEEP_BANDS) for t in one["text"]]
+                yield pd.DataFrame({"node": np.repeat(one["node"].to_numpy(), DEEP_BANDS), "key": np.concatenate(keys)})
+
+    return class_texts(nodes, classes, docs).mapInPandas(rows, "node long, key long")
+
+
+def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets reach ``percent`` of intersection over union."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = save(class_texts(nodes, classes, docs))
     both = (pairs.join(texts.withColumnsRenamed({"node": "a", "text": "text_a"}), "a")
             .join(texts.withColumnsRenamed({"node": "b", "text": "text_b"}), "b"))
 
@@ -159,7 +190,7 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, pe
     return both.mapInPandas(check, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, hot_bucket: int = HOT_BUCKET) -> DataFrame:
     """doc_id, row_hash, n_shingles, component_id, kept of every row."""
     sk = save(sketches(docs, size))
     rep = F.min(F.struct("doc_id", "row_hash"))
@@ -183,14 +214,28 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     comp = components(confirm(first, classes, docs, size, percent))
 
     stars_of = members
-    members = (members.select("node", "key").join(comp, "node", "left")
-               .select("node", "key", F.coalesce("component", "node").alias("comp")))
-    open_keys = (members.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
-                 .select("key"))
+
+    def open_members(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(node, key, comp) of buckets with several components, and (key, c) of those buckets."""
+        rows = rows.select("node", "key").join(comp, "node", "left").select("node", "key", F.coalesce("component", "node").alias("comp"))
+        keys = (rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("c"))
+                .where("x <> y").select("key", "c"))
+        return rows, keys
+
+    members, open_keys = open_members(members)
+    open_keys = save(open_keys)
+    hot = open_keys.where(F.col("c") > hot_bucket)
+    members = save(members.join(open_keys, "key").select("node", "key", "comp", "c"))
+    if hot.count():
+        deep = save(deep_buckets(members.where(F.col("c") > hot_bucket).select("node").distinct(), classes, docs, size))
+        narrow, narrow_keys = open_members(deep)
+        members = members.where(F.col("c") <= hot_bucket).drop("c").unionByName(narrow.join(narrow_keys, "key", "leftsemi"))
+    else:
+        members = members.drop("c")
     # Sizes in ratio 0.8 or more differ by one class at most (a class spans a factor just above 1/0.8).
     step = float(np.log(100 / percent) * 1.01)
     bits = classes.select("node", *[F.col("parity")[k].alias(f"p{k}") for k in range(PARITY // 64)])
-    side = save(members.join(open_keys, "key", "leftsemi").join(sig, "node").join(bits, "node")
+    side = save(members.join(sig, "node").join(bits, "node")
                 .withColumn("class", F.floor(F.log("n") / F.lit(step)).cast("int")))
     a = side.select(*[F.col(c).alias("a_" + c) for c in side.columns])
     a = a.withColumn("a_class", F.explode(F.expr("sequence(a_class - 1, a_class + 1)")))

@@ -85,6 +85,22 @@ def test_dedup_stage_keeps_one_of_each_group(spark, docs):
     assert 1 not in ids  # the upper-case copy of row 0
 
 
+def test_hot_buckets_lose_no_link_and_do_not_pair_all(spark):
+    """Texts of one template share buckets without being alike; near copies among them are still found."""
+    rng = np.random.default_rng(12)
+    common = [f"c{k}" for k in range(150)]
+    rows = [(k, " ".join(common + [f"w{x}" for x in rng.integers(0, 10**7, 110)])) for k in range(120)]
+    for k in range(15):
+        words = rows[7 * k][1].split()
+        words[200] = "changed"
+        rows.append((1000 + k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {(1000 + k, 7 * k) for k in range(15)}
+    for hot in (5, 10**6):
+        got = minhash.near_duplicates(docs, size=2, hot_bucket=hot).where("NOT kept").collect()
+        assert {(r.doc_id, r.component_id) for r in got} == want
+
+
 def test_parity_bound_is_exact():
     a, b = (np.unique(np.random.default_rng(k).integers(0, 1 << 60, 300, dtype=np.uint64)) for k in (1, 2))
     both = np.concatenate([a[:200], b[:50]])
