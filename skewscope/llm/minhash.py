@@ -10,8 +10,9 @@
    components only, under the same estimate and an exact bound, and confirmed likewise: this finds what a star
    cannot. The bound: each shingle flips one of ``PARITY`` bits of its set, so the bits in which two sets differ are never
    more than the shingles in which they do; pairs with too many are below the similarity for certain.
-5. Such a bucket of more than ``HOT_BUCKET`` classes (texts of one template, say) is not joined: its classes get ``DEEP_BANDS`` narrower
-   buckets of ``DEEP_ROWS`` fresh minima each, which unlike texts of one template hardly share, and those are joined in its place.
+5. A bucket with more than ``HOT_PARTNERS`` partners for each class (texts of one template, say) is not joined: its classes get
+   ``DEEP_BANDS`` narrower buckets of ``DEEP_ROWS`` fresh minima each, which unlike texts of one template hardly share, and those
+   are joined in its place.
 
 A pair at similarity 0.8 shares no band with probability 5e-8 and falls below the estimate's margin
 with about 1e-7, and shares no narrow band with 4e-7; higher similarities are missed less. Buckets and classes are only aggregated or joined, never
@@ -38,8 +39,8 @@ from skewscope.llm.components import components
 HASHES, BANDS, BITS = 128, 32, 2
 PARITY = 2048
 MARGIN = 0.22
-#: Beyond so many classes a bucket of several components is replaced by narrower ones.
-HOT_BUCKET = 256
+#: A bucket whose classes have more partners in other components than this, on average, is replaced by narrower ones.
+HOT_PARTNERS = 256
 DEEP_BANDS, DEEP_ROWS = 130, 10
 BROADCAST_ROWS = 1_000_000
 _RNG = np.random.default_rng(20_240_607)
@@ -190,7 +191,7 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, pe
     return both.mapInPandas(check, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, hot_bucket: int = HOT_BUCKET) -> DataFrame:
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, hot_partners: int = HOT_PARTNERS) -> DataFrame:
     """doc_id, row_hash, n_shingles, component_id, kept of every row."""
     sk = save(sketches(docs, size))
     rep = F.min(F.struct("doc_id", "row_hash"))
@@ -216,22 +217,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, hot_bucke
     stars_of = members
 
     def open_members(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(node, key, comp) of buckets with several components, and (key, c) of those buckets."""
+        """(node, key, comp), and (key, partners) of the buckets with several components."""
         rows = rows.select("node", "key").join(comp, "node", "left").select("node", "key", F.coalesce("component", "node").alias("comp"))
-        keys = (rows.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("c"))
-                .where("x <> y").select("key", "c"))
-        return rows, keys
+        sizes = rows.groupBy("key", "comp").agg(F.count("*").cast("double").alias("n")).groupBy("key").agg(
+            F.count("*").alias("comps"), F.sum("n").alias("c"), F.sum(F.col("n") * F.col("n")).alias("q"))
+        return rows, sizes.where("comps > 1").select("key", ((F.col("c") * F.col("c") - F.col("q")) / F.col("c")).alias("partners"))
 
     members, open_keys = open_members(members)
     open_keys = save(open_keys)
-    hot = open_keys.where(F.col("c") > hot_bucket)
-    members = save(members.join(open_keys, "key").select("node", "key", "comp", "c"))
-    if hot.count():
-        deep = save(deep_buckets(members.where(F.col("c") > hot_bucket).select("node").distinct(), classes, docs, size))
+    hot = F.col("partners") > hot_partners
+    members = save(members.join(open_keys, "key").select("node", "key", "comp", "partners"))
+    if open_keys.where(hot).count():
+        deep = save(deep_buckets(members.where(hot).select("node").distinct(), classes, docs, size))
         narrow, narrow_keys = open_members(deep)
-        members = members.where(F.col("c") <= hot_bucket).drop("c").unionByName(narrow.join(narrow_keys, "key", "leftsemi"))
+        members = members.where(~hot).drop("partners").unionByName(narrow.join(narrow_keys, "key", "leftsemi"))
     else:
-        members = members.drop("c")
+        members = members.drop("partners")
     # Sizes in ratio 0.8 or more differ by one class at most (a class spans a factor just above 1/0.8).
     step = float(np.log(100 / percent) * 1.01)
     bits = classes.select("node", *[F.col("parity")[k].alias(f"p{k}") for k in range(PARITY // 64)])

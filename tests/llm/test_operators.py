@@ -97,7 +97,7 @@ def test_hot_buckets_lose_no_link_and_do_not_pair_all(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want = {(1000 + k, 7 * k) for k in range(15)}
     for hot in (5, 10**6):
-        got = minhash.near_duplicates(docs, size=2, hot_bucket=hot).where("NOT kept").collect()
+        got = minhash.near_duplicates(docs, size=2, hot_partners=hot).where("NOT kept").collect()
         assert {(r.doc_id, r.component_id) for r in got} == want
 
 
