@@ -35,7 +35,8 @@ from skewscope.llm.common import read, save, whole_text
 
 SIZE, END_ID = 2048, 1
 SHARD_DOCS = 512
-CACHED_PIECES = 600_000
+#: Pieces of a cache's younger half; the older half keeps those before until it is full again.
+CACHED_PIECES = 400_000
 #: Fixed value: the one added token of the vocabulary; its string in a text is one id.
 ADDED = {"<|endoftext|>": 50256}
 K1, B = 1.2, 0.75
@@ -60,7 +61,7 @@ class Tokens:
     """Ids of whole texts as little-endian unsigned 16-bit bytes (the vocabulary has 50,257 entries)."""
 
     def __init__(self, encoding, added: dict[str, int] = ADDED):
-        self.encoding, self.added, self.pieces = encoding, added, {}
+        self.encoding, self.added, self.pieces, self.older = encoding, added, {}, {}
         self.width = np.array([len(t) for t in encoding.decode_tokens_bytes(list(range(encoding.n_vocab)))])
         self.marker = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
 
@@ -96,20 +97,34 @@ class Tokens:
         split = [t.split(" ") for t in texts]
         firsts = [s.pop(0) for s in split]
         found = [list(map(self.pieces.get, s)) for s in split]
-        lacking = [k for k, f in enumerate(found) if not all(f)]
+        lacking = [(k, [i for i, x in enumerate(f) if x is None]) for k, f in enumerate(found) if not all(f)]
         # A blank followed by another blank, or by none, does not begin a piece.
-        new = {p for k in lacking for p, f in zip(split[k], found[k]) if f is None and p and not p[0].isspace()}
+        new = {p for k, at in lacking for p in map(split[k].__getitem__, at) if p and not p[0].isspace()}
         if new:
             if len(self.pieces) + len(new) > CACHED_PIECES:
-                self.pieces.clear()
-                new = {p for s in split for p in s if p and not p[0].isspace()}
-                lacking = range(len(split))
-            self.learn(list(new))
-            for k in lacking:
-                found[k] = list(map(self.pieces.get, split[k]))
+                self.older, self.pieces = self.pieces, {}
+            known = {p: self.older[p] for p in new if p in self.older}
+            self.pieces.update(known)
+            if len(known) < len(new):
+                self.learn(list(new.difference(known)))
+        for k, at in lacking:
+            f, s = found[k], split[k]
+            for i in at:
+                f[i] = self.pieces.get(s[i])
         return [self.plain(first) + b"".join(f) if all(f) else self.plain(t) for t, first, f in zip(texts, firsts, found)]
 
 
+def kept_tokens(ranks_path: str | None = None) -> Tokens:
+    """The tokens of this process, with the pieces that earlier tasks of the worker have learnt."""
+    from tiktoken import registry
+
+    encoding = encoder(ranks_path)
+    name = f"{encoding.name} pieces"
+    if name not in registry.ENCODINGS:
+        registry.ENCODINGS[name] = Tokens(encoding)
+    return registry.ENCODINGS[name]
+
+
 def crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
@@ -127,7 +142,7 @@ def tokenized(docs: DataFrame, size: int = SIZE, all_ids: bool = False, ranks_pa
     def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
         number = TaskContext.get().partitionId() << 32
-        tokens = Tokens(encoder(ranks_path))
+        tokens = kept_tokens(ranks_path)
         df = np.zeros(1 << 16, np.uint32)
         end = np.array([END_ID], "<u2").tobytes()
         for pdf in parts:
@@ -172,21 +187,35 @@ def idf(tokens: DataFrame, n_docs: int) -> np.ndarray:
 
 
 class Index:
-    """Inverted index of a shard: BM25 weights by token, from each document's ids in any order."""
+    """Inverted index of a shard: BM25 weights by token, from each document's ids in any order, or its bag (ids and counts)."""
 
     def __init__(self, docs: list[np.ndarray], weights: np.ndarray):
-        sizes = np.array([len(d) for d in docs])
-        key = np.concatenate(docs).astype(np.int64) * len(docs) + np.repeat(np.arange(len(docs)), sizes)
-        key, tf = np.unique(key, return_counts=True)
-        token, self.doc = key // len(docs), key % len(docs)
+        n = len(docs)
+        bags = [k for k, d in enumerate(docs) if d.ndim == 2]
+        plain = [k for k, d in enumerate(docs) if d.ndim == 1]
+        sizes = np.array([d[1].sum() if d.ndim == 2 else len(d) for d in docs])
+        keys, counts = [], []
+        if plain:
+            key = np.concatenate([docs[k] for k in plain]).astype(np.int64) * n + np.repeat(plain, sizes[plain])
+            key, tf = np.unique(key, return_counts=True)
+            keys.append(key)
+            counts.append(tf)
+        for k in bags:
+            keys.append(docs[k][0].astype(np.int64) * n + k)
+            counts.append(docs[k][1].astype(np.int64))
+        key, tf = np.concatenate(keys), np.concatenate(counts)
+        if bags:
+            order = np.argsort(key, kind="stable")
+            key, tf = key[order], tf[order]
+        token, self.doc = key // n, key % n
         norm = K1 * (1 - B + B * sizes / max(1.0, sizes.mean()))
         self.weight = (weights[token] * tf * (K1 + 1) / (tf + norm[self.doc])).astype(np.float32)
         self.begin = np.searchsorted(token, np.arange((1 << 16) + 1))
-        self.n = len(docs)
+        self.n = n
 
     def scores(self, ids: np.ndarray) -> np.ndarray:
-        """BM25 of every document of the shard for the distinct terms of ``ids``."""
-        terms = np.unique(ids)
+        """BM25 of every document of the shard for the distinct terms of ``ids`` (or of a bag)."""
+        terms = np.unique(ids) if ids.ndim == 1 else ids[0]
         begin, count = self.begin[terms], self.begin[terms.astype(np.int64) + 1] - self.begin[terms]
         at = np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
         return np.bincount(self.doc[at], self.weight[at], self.n)
@@ -268,7 +297,7 @@ def pack(docs: DataFrame, size: int = SIZE, shard_docs: int = SHARD_DOCS, with_i
                 sequence += 1
         some = [k for k, t in enumerate(tails) if len(t)]
         bags = {k: np.frombuffer(b, np.uint32).reshape(2, -1) for k, b in enumerate(pdf["bag"]) if len(b)}
-        own = [np.repeat(*bags[k]) if k in bags else tails[k] for k in some]
+        own = [bags.get(k, tails[k]) for k in some]
         windows = fill([tails[k] for k in some], own, weights, size) if some else []
         cut = [w for x in windows for w in ([x] if sum(p[2] for p in x) == size else _halves(x, size))]
         for window in cut:
