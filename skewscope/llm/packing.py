@@ -193,7 +193,7 @@ class Index:
         n = len(docs)
         bags = [k for k, d in enumerate(docs) if d.ndim == 2]
         plain = [k for k, d in enumerate(docs) if d.ndim == 1]
-        sizes = np.array([d[1].sum() if d.ndim == 2 else len(d) for d in docs])
+        sizes = np.array([d[1].sum() if d.ndim == 2 else len(d) for d in docs], np.int64)
         keys, counts = [], []
         if plain:
             key = np.concatenate([docs[k] for k in plain]).astype(np.int64) * n + np.repeat(plain, sizes[plain])
