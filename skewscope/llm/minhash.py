@@ -40,7 +40,7 @@ HASHES, BANDS, BITS = 128, 32, 2
 PARITY = 2048
 MARGIN = 0.22
 #: A bucket whose classes have more partners in other components than this, on average, is replaced by narrower ones.
-HOT_PARTNERS = 256
+HOT_PARTNERS = 2_000
 DEEP_BANDS, DEEP_ROWS = 130, 10
 BROADCAST_ROWS = 1_000_000
 _RNG = np.random.default_rng(20_240_607)
