@@ -6,7 +6,9 @@ from tests.conftest import SF001
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
 # The queries whose plans hold joins, windows or multi-stage aggregates.
 JOINING = ["split_summary", "calibration", "drop_missing", "curves_by_model", "compare_lr_rf", "scaling_series",
-           "roc_curve_points", "evaluate_split", "label_shares", "oversample", "report_split_table"]
+           "roc_curve_points", "evaluate_split", "label_shares", "oversample", "report_split_table", "evaluate_null_groups",
+           "calibration_null_groups", "number_within_key", "sample_repeated_keys", "cap_exact", "exact_sample_tied", "nested_samples",
+           "forest_walk", "fit_lr_gradient", "stage_ledger"]
 
 
 def test_no_cross_joins_and_pruned_scans(spark):
