@@ -15,7 +15,7 @@ Defined results: a null or empty text has the end id only; every row is packed,
 empty table gives no pieces.
 
 Ids are those of the ``tokenizers`` file; they are computed with the same vocabulary as ranks (``tiktoken``), several
-times faster, on pieces that begin with a blank (no token spans such a boundary) and are looked up in a cache. The string of
+times faster, on a batch's distinct words with the blank before them (no token spans that boundary). The string of
 an added token is that token's id, as there.
 """
 
@@ -35,11 +35,16 @@ from skewscope.llm.common import read, save, whole_text
 
 SIZE, END_ID = 2048, 1
 SHARD_DOCS = 512
-#: Pieces of a cache's younger half; the older half keeps those before until it is full again.
-CACHED_PIECES = 400_000
+#: Characters that are tokenised at a time.
+BATCH_CHARS = 4_000_000
+#: First bytes of the white space of UTF-8 beyond ASCII.
+_LEADS = np.array([0xC2, 0xE1, 0xE2, 0xE3], np.uint8)
 #: Fixed value: the one added token of the vocabulary; its string in a text is one id.
 ADDED = {"<|endoftext|>": 50256}
 K1, B = 1.2, 0.75
+_RNG = np.random.default_rng(1_931)
+_BYTE = _RNG.integers(0, 1 << 63, 256, dtype=np.uint64)
+_POWER = _RNG.integers(0, 1 << 63, 1 << 16, dtype=np.uint64) | np.uint64(1)
 
 
 def encoder(ranks_path: str | None = None, pattern: str | None = None):
@@ -57,30 +62,27 @@ def encoder(ranks_path: str | None = None, pattern: str | None = None):
     return registry.ENCODINGS[path]
 
 
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all elements of stretches, one stretch after the other."""
+    after = np.cumsum(sizes)
+    return np.repeat(starts - (after - sizes), sizes) + np.arange(int(after[-1]) if len(after) else 0)
+
+
 class Tokens:
-    """Ids of whole texts as little-endian unsigned 16-bit bytes (the vocabulary has 50,257 entries)."""
+    """Ids of whole texts as little-endian unsigned 16-bit bytes (the vocabulary has 50,257 entries).
+
+    No token spans the blank that begins a word, so a batch's distinct words, each with its blank, are encoded once, in
+    one call; their lengths in bytes tell which ids are whose.
+    """
 
     def __init__(self, encoding, added: dict[str, int] = ADDED):
-        self.encoding, self.added, self.pieces, self.older = encoding, added, {}, {}
+        self.encoding, self.added = encoding, added
         self.width = np.array([len(t) for t in encoding.decode_tokens_bytes(list(range(encoding.n_vocab)))])
         self.marker = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
 
     def plain(self, text: str) -> bytes:
         return np.array(self.encoding.encode_ordinary(text), "<u2").tobytes()
 
-    def learn(self, some: list[str]) -> None:
-        """Encode pieces in one go; tokens never span the blank that begins a piece, so their lengths tell them apart."""
-        ids = np.array(self.encoding.encode_ordinary(" " + " ".join(some)), "<u2")
-        ends = np.cumsum(self.width[ids])
-        until = np.cumsum([len(p.encode()) + 1 for p in some])
-        cut = np.searchsorted(ends, until) + 1
-        if cut[-1] != len(ids) or (ends[cut - 1] != until).any():
-            raise ValueError("a token spans two pieces")
-        raw, start = ids.tobytes(), 0
-        for p, end in zip(some, (2 * cut).tolist()):
-            self.pieces[p] = raw[start:end]
-            start = end
-
     def encode(self, texts: list[str]) -> list[bytes]:
         """Texts that hold an added token are encoded between and around it."""
         if self.marker is None or not any(m in t for t in texts for m in self.added):
@@ -93,36 +95,49 @@ class Tokens:
             out.append(b"".join(x for pair in zip(ids, [*marks, b""]) for x in pair))
         return out
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        firsts = [s.pop(0) for s in split]
-        found = [list(map(self.pieces.get, s)) for s in split]
-        lacking = [(k, [i for i, x in enumerate(f) if x is None]) for k, f in enumerate(found) if not all(f)]
-        # A blank followed by another blank, or by none, does not begin a piece.
-        new = {p for k, at in lacking for p in map(split[k].__getitem__, at) if p and not p[0].isspace()}
-        if new:
-            if len(self.pieces) + len(new) > CACHED_PIECES:
-                self.older, self.pieces = self.pieces, {}
-            known = {p: self.older[p] for p in new if p in self.older}
-            self.pieces.update(known)
-            if len(known) < len(new):
-                self.learn(list(new.difference(known)))
-        for k, at in lacking:
-            f, s = found[k], split[k]
-            for i in at:
-                f[i] = self.pieces.get(s[i])
-        return [self.plain(first) + b"".join(f) if all(f) else self.plain(t) for t, first, f in zip(texts, firsts, found)]
-
-
-def kept_tokens(ranks_path: str | None = None) -> Tokens:
-    """The tokens of this process, with the pieces that earlier tasks of the worker have learnt."""
-    from tiktoken import registry
+    def distinct(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces of ``data`` and how many each has: none where white space or nothing follows the blank."""
+        second = np.where(sizes > 1, data[np.minimum(starts + 1, len(data) - 1)], 32)
+        fit = (second > 32) & (second != 127)
+        for k in np.flatnonzero(fit & np.isin(second, _LEADS)).tolist():
+            fit[k] = not bytes(data[starts[k] + 1:starts[k] + 4]).decode("utf-8", "ignore")[:1].isspace()
+        n = np.zeros(len(starts), np.int64)
+        if not fit.any():
+            return np.zeros(0, "<u2"), n
+        ids = np.array(self.encoding.encode_ordinary(data[_spread(starts[fit], sizes[fit])].tobytes().decode()), "<u2")
+        ends, until = np.cumsum(self.width[ids]), np.cumsum(sizes[fit])
+        cut = np.searchsorted(ends, until) + 1
+        if cut[-1] != len(ids) or (ends[cut - 1] != until).any():
+            raise ValueError("a token spans two words")
+        n[fit] = np.diff(cut, prepend=0)
+        return ids, n
 
-    encoding = encoder(ranks_path)
-    name = f"{encoding.name} pieces"
-    if name not in registry.ENCODINGS:
-        registry.ENCODINGS[name] = Tokens(encoding)
-    return registry.ENCODINGS[name]
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        raw = [t.encode() for t in texts]
+        firsts = [r.partition(b" ")[0] for r in raw]
+        data = np.frombuffer(b"".join(r[len(f):] for r, f in zip(raw, firsts)), np.uint8)
+        starts = np.flatnonzero(data == 32)
+        if not len(starts):
+            return list(map(self.plain, texts))
+        sizes = np.diff(starts, append=len(data))
+        place = np.arange(len(data)) - np.repeat(starts, sizes)
+        hashes = np.add.reduceat(_BYTE[data] * _POWER[place & 0xFFFF], starts) ^ (sizes.astype(np.uint64) << np.uint64(40))
+        code, known = pd.factorize(hashes)
+        at = np.empty(len(known), np.int64)
+        at[code[::-1]] = np.arange(len(code) - 1, -1, -1)
+        ids, n = self.distinct(data, starts[at], sizes[at])
+        flat = ids[_spread((np.cumsum(n) - n)[code], n[code])].tobytes()
+        after = np.concatenate(([0], np.cumsum(n[code])))
+        odd = np.concatenate(([0], np.cumsum(n[code] == 0)))
+        until = np.searchsorted(starts, np.cumsum([len(r) - len(f) for r, f in zip(raw, firsts)]))
+        out, begin = [], 0
+        for t, first, end in zip(texts, firsts, until.tolist()):
+            if odd[end] > odd[begin]:
+                out.append(self.plain(t))
+            else:
+                out.append(self.plain(first.decode()) + flat[2 * int(after[begin]):2 * int(after[end])])
+            begin = end
+        return out
 
 
 def crc(ids: np.ndarray) -> int:
@@ -142,12 +157,14 @@ def tokenized(docs: DataFrame, size: int = SIZE, all_ids: bool = False, ranks_pa
     def rows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
         number = TaskContext.get().partitionId() << 32
-        tokens = kept_tokens(ranks_path)
+        tokens = Tokens(encoder(ranks_path))
         df = np.zeros(1 << 16, np.uint32)
         end = np.array([END_ID], "<u2").tobytes()
         for pdf in parts:
-            for at in range(0, len(pdf), 256):
-                one = pdf.iloc[at:at + 256]
+            size_to = pdf["text"].str.len().cumsum().to_numpy()
+            cuts = np.searchsorted(size_to, np.arange(BATCH_CHARS, size_to[-1] if len(pdf) else 0, BATCH_CHARS))
+            for at, upto in zip([0, *cuts.tolist()], [*cuts.tolist(), len(pdf)]):
+                one = pdf.iloc[at:upto]
                 out = []
                 for raw in tokens.encode(one["text"].tolist()):
                     ids = np.frombuffer(raw + end, "<u2")
