@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from skewscope.catalog._registry import register
 from skewscope.operators import features
+from skewscope.plans.spread import spread
 from skewscope.sources import batches
 from skewscope.sources.tables import table
 
@@ -91,6 +95,24 @@ def bits_to_features(spark, sf):
                      F.size(arr).alias("width"))
 
 
+#: Rows of one task that turns keys of 8 bytes into texts of 2,048.
+BIT_ROWS = 50_000
+#: Rows whose remainders are worked out at a time.
+BIT_CHUNK = 256
+WIDTH = features.FP_WIDTH
+
+
+@F.arrow_udf(StringType())
+def divisor_bits(keys: pa.Array) -> pa.Array:
+    """Texts of WIDTH bits: bit k is 1 where the key divides by k + 2 (a null key: all 0)."""
+    by = np.arange(2, WIDTH + 2)
+    keys = keys.fill_null(1).to_numpy(zero_copy_only=False)
+    text = np.empty((len(keys), WIDTH), np.uint8)
+    for i in range(0, len(keys), BIT_CHUNK):
+        text[i:i + BIT_CHUNK] = (keys[i:i + BIT_CHUNK, None] % by == 0) + ord("0")
+    ends = np.arange(len(keys) + 1, dtype=np.int32) * WIDTH
+    return pa.StringArray.from_buffers(len(keys), pa.py_buffer(ends), pa.py_buffer(text))
+
 
 @register("wide_bits", """
 SELECT CAST(k AS INTEGER) AS coordinate, sum(CASE WHEN o_orderkey % (k + 2) = 0 THEN 1 ELSE 0 END) * 1e0 AS ones
@@ -99,8 +121,7 @@ def wide_bits(spark, sf):
     """Bit strings of the full width (bit k: the key divides by k + 2) as vectors; ones per coordinate."""
     from pyspark.ml.stat import Summarizer
 
-    bit = lambda k: F.when(F.col("o_orderkey") % (k + 2) == 0, "1").otherwise("0")
-    text = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(features.FP_WIDTH - 1)), bit), "")
-    vectors = features.bits_to_features(table(spark, sf, "orders").select("o_orderkey", text.alias(features.BITS_COL)))
+    keys = spread(table(spark, sf, "orders").select("o_orderkey"), BIT_ROWS)
+    vectors = features.bits_to_features(keys.select("o_orderkey", divisor_bits("o_orderkey").alias(features.BITS_COL)))
     sums = vectors.agg(Summarizer.sum(F.col("features")).alias("s"))
     return sums.select(F.posexplode(vector_to_array("s")).alias("coordinate", "ones"))

@@ -1 +1,10 @@
-"""DataFrame-in / DataFrame-out operators for imbalanced classification analytics."""
+"""DataFrame-in / DataFrame-out operators for imbalanced classification analytics.
+
+Functions that run in Python workers are sent by value, so executors need no copy of this package.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

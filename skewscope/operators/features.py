@@ -2,16 +2,18 @@
 
 Layouts, tried in order: ``fp_<n>`` columns, all-digit column names, an
 ``fp_bits`` string. A column layout needs at least ``min_columns`` columns.
-Columns are ordered by their number (``fp_2`` before ``fp_10``). The bit string
-is parsed natively (split, transform, cast), so no Python worker is involved.
+Columns are ordered by their number (``fp_2`` before ``fp_10``). Bit strings
+are parsed a batch at a time, as one matrix of bytes per Arrow batch.
 """
 
 from __future__ import annotations
 
 import re
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler, VectorSizeHint
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,22 +43,50 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features", handle_inval
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid=handle_invalid).transform(df)
 
 
-def bits_array(bits: Column, width: int = FP_WIDTH) -> Column:
-    """'0101..' to array<double>; a null string or one of another length raises."""
+def checked_bits(bits: Column, width: int = FP_WIDTH) -> Column:
+    """The trimmed string; a null one or one of another length raises."""
     s = F.trim(bits)
     n = F.coalesce(F.length(s), F.lit(0))
-    checked = F.when(n == width, s).otherwise(
+    return F.when(n == width, s).otherwise(
         F.raise_error(F.format_string(f"expected {width} bits in {BITS_COL}, found %d characters", n)))
-    return F.transform(F.split(checked, ""), lambda ch: ch.cast("double"))
+
+
+def digit_rows(texts: pa.Array, width: int) -> np.ndarray:
+    """Texts of ``width`` digits as one row of bytes 0-9 each; anything but a digit raises."""
+    texts = texts.cast(pa.large_string())
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    digits = np.frombuffer(texts.buffers()[2], np.uint8)[ends[0]:ends[-1]] - np.uint8(ord("0"))
+    if texts.null_count or len(digits) != len(texts) * width or (digits > 9).any():
+        raise ValueError(f"{BITS_COL} holds a character that is not a digit")
+    return digits.reshape(len(texts), width)
+
+
+def vector_structs(rows: np.ndarray) -> pa.StructArray:
+    """Rows of numbers as MLlib stores vectors: sparse where that is smaller (``Vector.compressed``), else dense."""
+    n, width = rows.shape
+    filled = rows != 0
+    sparse = 1.5 * (filled.sum(axis=1) + 1.0) < width
+    filled |= ~sparse[:, None]  # a dense vector keeps its zeros
+    at, place = np.nonzero(filled)
+    kept = filled.sum(axis=1)
+    ends = lambda sizes: pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    indices = pa.ListArray.from_arrays(ends(np.where(sparse, kept, 0)), pa.array(place[sparse[at]], pa.int32()), mask=pa.array(~sparse))
+    values = pa.ListArray.from_arrays(ends(kept), pa.array(rows[filled], pa.float64()))
+    return pa.StructArray.from_arrays(
+        [pa.array(np.where(sparse, 0, 1), pa.int8()), pa.array(np.full(n, width), pa.int32(), mask=~sparse), indices, values],
+        ["type", "size", "indices", "values"])
 
 
 def bits_to_features(df: DataFrame, bits_col: str = BITS_COL, out: str = "features",
                      width: int = FP_WIDTH) -> DataFrame:
     """Bit strings to vectors, stored sparse where that is smaller."""
-    dense = df.withColumn("_bits", array_to_vector(bits_array(F.col(bits_col), width)))
-    # The width is checked by bits_array; the hint spares the assembler a look at the first row.
-    sized = VectorSizeHint(inputCol="_bits", size=width, handleInvalid="optimistic").transform(dense)
-    return VectorAssembler(inputCols=["_bits"], outputCol=out).transform(sized).drop("_bits")
+    @F.arrow_udf(VectorUDT())
+    def parse(texts: pa.Array) -> pa.Array:
+        return vector_structs(digit_rows(texts, width))
+
+    parsed = df.withColumn(out, parse(checked_bits(F.col(bits_col), width)))
+    # The width is checked above; the hint spares estimators a look at the first row.
+    return VectorSizeHint(inputCol=out, size=width, handleInvalid="optimistic").transform(parsed)
 
 
 def detect_layout(df: DataFrame, out: str = "features", min_columns: int = MIN_COLUMNS,
