@@ -11,7 +11,7 @@ from skewscope.operators import metrics, models
 def evaluate_model(est, train: DataFrame, valid: DataFrame, label_col: str = "label", name: str = "model",
                    policy: str = "mcc", threshold: float = 0.5) -> tuple[object, DataFrame]:
     """Fit, score validation, and return (fitted, 15-field record with fit_time_s)."""
-    fitted, secs = models.fit_timed(est, train)
+    fitted, secs = models.fit_timed(est, models.training_table(train))
     scored = models.score_all({name: fitted}, valid, label_col)
     rec = metrics.evaluate_scores(scored, label_col, "p1", threshold=threshold, group_cols=["model"], policy=policy)
     rec = rec.withColumn("fit_time_s", F.lit(round(secs, 2)))

@@ -100,7 +100,7 @@ def strategy_grid(train: DataFrame, valid: DataFrame, label_col: str = "label",
     train = train.select(*[c for c in (key_col, label_col, features_col) if c])
     valid = valid.select(label_col, features_col)
     if not materialized:
-        train, valid = materialize(train), materialize(valid)
+        train, valid = models.training_table(train), materialize(valid)
     n_pos, n_neg = class_counts(train, label_col)
     pw = (n_neg / n_pos) if n_pos else 1.0
     views = strategy_views(train, label_col, key_col, seed, method, pw)
@@ -118,7 +118,7 @@ def strategy_grid(train: DataFrame, valid: DataFrame, label_col: str = "label",
         times.append((name, round(secs, 2)))
     scored = models.score_all(fitted, valid, label_col)
     rec = metrics.evaluate_scores(scored, label_col, "p1", threshold=0.5, group_cols=["model"], policy=policy)
-    spark = train.sparkSession
+    spark = valid.sparkSession
     # One row per fitted model: a bounded, driver-made table.
     fit_times = spark.createDataFrame(times, "model string, fit_time_s double")
     rec = rec.join(F.broadcast(fit_times), "model").withColumn("model_order", model_order())
@@ -143,7 +143,7 @@ def scaling_study(train: DataFrame, valid: DataFrame, sizes: Sequence[int], labe
     train = train.select(*[c for c in (key_col, label_col, features_col) if c])
     valid = valid.select(label_col, features_col)
     if not materialized:
-        train, valid = materialize(train), materialize(valid)
+        train, valid = models.training_table(train), materialize(valid)
     n_pos, n_neg = class_counts(train, label_col)
     n = n_pos + n_neg
     pw = pos_weight if pos_weight is not None else ((n_neg / n_pos) if n_pos else 1.0)
@@ -156,7 +156,7 @@ def scaling_study(train: DataFrame, valid: DataFrame, sizes: Sequence[int], labe
             sample = exact_sample(train, size, key_col, seed, method, "scale", rows=n)
         else:
             sample = splits.fraction_sample(train, size / float(n), seed, method, key_col, purpose="scale")
-        sample = materialize(resample.class_weights(sample, label_col, "weight", pw))
+        sample = models.training_table(resample.class_weights(sample, label_col, "weight", pw))
         actual = sample.count()
         if actual == 0:
             log.warning("scaling study: size %d skipped, its sample is empty", size)
@@ -169,7 +169,7 @@ def scaling_study(train: DataFrame, valid: DataFrame, sizes: Sequence[int], labe
             tag = f"{name}@{size}"
             rows.append((tag, name, int(size), int(actual), round(secs, 2)))
             fits[tag] = fitted
-    spark = train.sparkSession
+    spark = valid.sparkSession
     runs = spark.createDataFrame(rows, "run string, model string, size long, train_rows long, train_time_s double")
     head = ["model", *(["size"] if with_size else []), "train_rows", "train_time_s"]
     if not fits:

@@ -26,9 +26,13 @@ RF_FEATURE_SUBSET = "sqrt"
 SEED = 42
 # Execution settings (not hyper-parameters): deep trees keep per-row node ids
 # cached instead of re-evaluating the trees each level, and a larger node-stat
-# budget lets one data pass split more nodes.
+# budget lets one data pass split more nodes. Forests of few trees are walked
+# again each level: their node ids cost more than the walk, a second copy per row.
 RF_CACHE_NODE_IDS = True
+RF_CACHE_FROM_TREES = 8
 RF_MAX_MEMORY_MB = 1024
+#: Rows of one task of a fit: MLlib keeps 150 bytes and more of each row in memory, whatever its file says.
+FIT_ROWS = 250_000
 
 FAMILIES = {"lr": "logistic_regression", "rf": "random_forest"}
 
@@ -47,7 +51,8 @@ def random_forest(features_col: str = "features", label_col: str = "label", weig
     return RandomForestClassifier(featuresCol=features_col, labelCol=label_col, numTrees=num_trees, bootstrap=bootstrap,
                                   maxDepth=max_depth, maxBins=max_bins, subsamplingRate=subsampling_rate,
                                   featureSubsetStrategy=feature_subset, seed=seed,
-                                  cacheNodeIds=RF_CACHE_NODE_IDS, maxMemoryInMB=RF_MAX_MEMORY_MB, **kw)
+                                  cacheNodeIds=RF_CACHE_NODE_IDS and num_trees >= RF_CACHE_FROM_TREES,
+                                  maxMemoryInMB=RF_MAX_MEMORY_MB, **kw)
 
 
 def estimator(family: str, features_col: str, label_col: str, weight_col: str | None = None, **params):
@@ -58,6 +63,12 @@ def estimator(family: str, features_col: str, label_col: str, weight_col: str |
     raise ValueError(f"unknown family {family!r}")
 
 
+def training_table(train: DataFrame) -> DataFrame:
+    """``train`` saved for fits: tasks of at most FIT_ROWS rows. MLlib passes over its input several times before it
+    caches it, so what ``train`` is made of is worked out once."""
+    return materialize(train, rows_per_task=FIT_ROWS)
+
+
 def fit_timed(est, df: DataFrame):
     """(fitted model, wall seconds of ``fit``)."""
     start = time.time()
