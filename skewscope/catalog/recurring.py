@@ -15,8 +15,8 @@ from skewscope.catalog.metrics import CALIB_SQL
 from skewscope.catalog.sampling import _SCALING
 from skewscope.catalog.selection import METRICS_SQL, _valid_metrics
 from skewscope.operators import calibration as calib
-from skewscope.operators import evaluate, experiments, features, quantile_sketch, select
-from skewscope.plans.materialize import scratch_path
+from skewscope.operators import evaluate, experiments, features, models, quantile_sketch, select
+from skewscope.plans.materialize import materialize, scratch_path
 from skewscope.plans.registry import FitRegistry
 from skewscope.sinks import publish, writers
 from skewscope.sources import batches, ledger
@@ -123,10 +123,14 @@ def grid_restart(spark, sf):
     """The grid after a run that had finished its four logistic regressions: those are loaded, the forests fitted."""
     s = banded_splits(spark, sf)
     root = scratch_path(spark)
-    experiments.strategy_grid(s["train"], s["valid"], "label", "features", key_col="key", families=("lr",),
-                              registry=FitRegistry(spark, root))
+    # Both runs read the same saved splits, as two runs of a study do.
+    train = models.training_table(s["train"].select("key", "label", "features"))
+    valid = materialize(s["valid"].select("label", "features"))
+    experiments.strategy_grid(train, valid, "label", "features", key_col="key", families=("lr",),
+                              materialized=True, registry=FitRegistry(spark, root))
     again = FitRegistry(spark, root)
-    grid = experiments.strategy_grid(s["train"], s["valid"], "label", "features", key_col="key", rf_params=TREES, registry=again)
+    grid = experiments.strategy_grid(train, valid, "label", "features", key_col="key", rf_params=TREES,
+                                     materialized=True, registry=again)
     return _record(grid.metrics).withColumn("reused", F.col("model").isin(again.reused))
 
 
