@@ -20,6 +20,7 @@ from skewscope.catalog.selection import _record_sql
 from skewscope.catalog.splitting import LI_KEY, MD5_BUCKET, SPLIT, U
 from skewscope.functions.scoring import MODEL_KEYS
 from skewscope.operators import evaluate, experiments, forest, labels, models, optimum, resample, splits
+from skewscope.plans.materialize import materialize
 from skewscope.sources.tables import table
 
 BANDS = 10
@@ -132,19 +133,20 @@ FROM lb JOIN fit USING (band) WHERE split = 'test' GROUP BY model, band, p1""")
 def band_scores(spark, sf):
     """p1 of every test row by all eight models; forests by their node tables instead of MLlib's transform."""
     s = banded_splits(spark, sf)
-    views = experiments.strategy_views(s["train"], "label", "key")
-    test = s["test"].select("band", "features")
-    out = None
+    views = experiments.strategy_views(models.training_table(s["train"].select("key", "label", "features")), "label", "key")
+    test = materialize(s["test"].select("band", "features"))
+    regressions, walked = {}, None
     for strategy, train in views.items():
         weight = "weight" if strategy == "weighted" else None
-        lr, _ = models.fit_timed(models.logistic_regression("features", "label", weight), train)
+        regressions[experiments.model_key("lr", strategy)], _ = models.fit_timed(
+            models.logistic_regression("features", "label", weight), train)
         rf, _ = models.fit_timed(models.random_forest("features", "label", weight, **TREES), train)
-        for name, scored in ((experiments.model_key("lr", strategy), models.score(lr, test, "band")),
-                             (experiments.model_key("rf", strategy), forest.walk(test, forest.node_table(rf)))):
-            one = scored.groupBy("band").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.min("p1"), P1_DIGITS).alias("least_p1"),
-                                             F.round(F.max("p1"), P1_DIGITS).alias("most_p1")).withColumn("model", F.lit(name))
-            out = one if out is None else out.unionByName(one)
-    return out.select("model", "band", "n_rows", "least_p1", "most_p1")
+        one = forest.walk(test, forest.node_table(rf)).withColumn("model", F.lit(experiments.model_key("rf", strategy)))
+        walked = one if walked is None else walked.unionByName(one)
+    scored = models.score_all(regressions, test, "band").unionByName(walked)
+    return scored.groupBy("model", "band").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.round(F.min("p1"), P1_DIGITS).alias("least_p1"),
+        F.round(F.max("p1"), P1_DIGITS).alias("most_p1"))
 
 
 @register("forest_nodes", f"""WITH RECURSIVE {ROWS}, {STRATEGIES}, {TREE}
@@ -157,7 +159,7 @@ FROM chain c JOIN st s ON s.strategy = c.strategy AND s.band = c.cut, (SELECT un
 WHERE c.strategy = 'weighted'""")
 def forest_nodes(spark, sf):
     """The node table of the weighted forest, and whether the training rows that pass a node make up its votes."""
-    train = resample.class_weights(banded_splits(spark, sf)["train"], "label")
+    train = resample.class_weights(models.training_table(banded_splits(spark, sf)["train"].select("label", "features")), "label")
     fitted, _ = models.fit_timed(models.random_forest("features", "label", "weight", **TREES), train)
     n = forest.node_counts(train, forest.node_table(fitted), weight_col="weight")
     off = F.abs(F.col("met0") - F.col("votes0")) + F.abs(F.col("met1") - F.col("votes1"))

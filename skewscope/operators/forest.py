@@ -113,9 +113,10 @@ def walk(rows: DataFrame, nodes: DataFrame, features_col: str = "features", out:
     leaves = nodes.where("feature IS NULL").select(
         "tree", "node", F.when(F.col("votes0") + F.col("votes1") > 0, F.col("votes1") / (F.col("votes0") + F.col("votes1")))
         .otherwise(0.0).alias("_share"))
-    at = visits(rows.select("_row", features_col), nodes, features_col)
-    shares = at.join(_side(leaves, leaves.count()), ["tree", "node"]).groupBy("_row").agg(F.avg("_share").alias(out))
-    return rows.select("_row", *keep).join(shares, "_row").drop("_row")
+    # The kept columns come along, so that a row's leaves are brought together once and not joined to it again.
+    at = visits(rows, nodes, features_col)
+    met = at.join(_side(leaves, leaves.count()), ["tree", "node"])
+    return met.groupBy("_row", *keep).agg(F.avg("_share").alias(out)).drop("_row")
 
 
 def node_counts(rows: DataFrame, nodes: DataFrame, features_col: str = "features", label_col: str = "label",
