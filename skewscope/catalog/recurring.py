@@ -5,6 +5,8 @@ The queries write the given tables as batch files or outputs under the shared ch
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from skewscope.catalog.sampling import _SCALING
 from skewscope.catalog.selection import METRICS_SQL, _valid_metrics
 from skewscope.operators import calibration as calib
 from skewscope.operators import evaluate, experiments, features, models, quantile_sketch, select
-from skewscope.plans.materialize import materialize, scratch_path
+from skewscope.plans.materialize import materialize, scratch_path, session_with
 from skewscope.plans.registry import FitRegistry
 from skewscope.sinks import publish, writers
 from skewscope.sources import batches, ledger
@@ -50,11 +52,22 @@ def quantile_of_arriving_batches(spark, sf):
     return out
 
 
-def _write_csv_batches(spark, sf) -> str:
-    """lineitem as one CSV.gz file per batch; the folder of batch k is ``batch=k``."""
+#: Rows of one CSV.gz file, which one task writes and one task reads.
+CSV_ROWS = 1_000_000
+
+
+def _write_csv_batches(spark, sf, rows_per_file: int | None = None) -> str:
+    """lineitem as CSV.gz batches; the folder of batch k is ``batch=k``. One file per batch, or files of about ``rows_per_file`` rows.
+
+    Every file has a task of its own, which writes rows as they come: with a writer per folder they need not be sorted by it.
+    """
     path = scratch_path(spark)
-    li = table(spark, sf, "lineitem").select(*_CSV, F.expr(_BATCH).alias("batch"))
-    li.repartition("batch").write.partitionBy("batch").option("header", True).csv(path, compression="gzip")
+    own = session_with(spark, spark_sql_maxConcurrentOutputFileWriters=str(FILES))
+    li = table(own, sf, "lineitem").select(*_CSV, F.expr(_BATCH).alias("batch"))
+    parts = math.ceil(li.count() / (FILES * rows_per_file)) or 1 if rows_per_file else 1
+    part = F.pmod(F.xxhash64(*_CSV), F.lit(parts)).cast("int")
+    task = F.pmod(F.coalesce("batch", F.lit(0)), F.lit(FILES)) * parts + part
+    li.repartitionById(FILES * parts, task).write.partitionBy("batch").option("header", True).csv(path, compression="gzip")
     return path
 
 
@@ -86,7 +99,7 @@ def stage_ledger(spark, sf):
 SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_returnflag FROM lineitem""")
 def scan_csv_batches(spark, sf):
     """lineitem written as CSV.gz batches and scanned by a glob with a declared schema."""
-    path = _write_csv_batches(spark, sf)
+    path = _write_csv_batches(spark, sf, CSV_ROWS)
     schema = "l_orderkey long, l_linenumber int, l_partkey long, l_extendedprice double, l_returnflag string"
     return batches.scan_batches(spark, f"{path}/batch=*/*.csv.gz", schema=schema)
 
@@ -97,7 +110,7 @@ FROM (VALUES (0, 'l_orderkey', 'int'), (1, 'l_linenumber', 'int'), (2, 'l_partke
              (4, 'l_returnflag', 'string'), (5, 'batch', 'int')) t(position, name, type)""")
 def infer_schema(spark, sf):
     """Types found in CSV text by an inference pass, and how many values each column then has."""
-    path = _write_csv_batches(spark, sf)
+    path = _write_csv_batches(spark, sf, CSV_ROWS)
     found = batches.scan_batches(spark, path, infer_schema=True)
     each = F.array(*[F.struct(F.lit(k).alias("position"), F.lit(c).alias("name"), F.lit(t).alias("type"), F.col(f"n{k}").alias("present"))
                      for k, (c, t) in enumerate(found.dtypes)])
