@@ -15,20 +15,25 @@ from skewscope.operators.labels import quantile_threshold
 from skewscope.operators.ordinals import content_hash, number_within_key
 
 
+def draw(key_col: str, seed: int = 42, method: str = "hash", purpose: str = "sample") -> Column:
+    """The draw that ``exact_sample`` takes its rows by; to be saved with rows that several samples are taken of."""
+    return unit_draw(F.coalesce(F.col(key_col).cast("string"), F.lit("")), seed, draw_method(method), purpose)
+
+
 def exact_sample(df: DataFrame, size: int, key_col: str, seed: int = 42, method: str = "hash", purpose: str = "sample",
-                 rows: int | None = None, content: Column | None = None) -> DataFrame:
+                 rows: int | None = None, content: Column | None = None, draw_col: str | None = None) -> DataFrame:
     """Exactly min(size, rows) rows of ``df`` without replacement. Null keys draw as the text ''.
 
-    ``content`` orders rows that tie at the last draw (default: a hash of all columns).
+    ``content`` orders rows that tie at the last draw (default: a hash of all columns). ``draw_col``: the column of ``df``
+    that holds ``draw`` of the same key, seed, method and purpose; the sample is without it.
     """
+    cols = [c for c in df.columns if c != draw_col]
     if size <= 0:
-        return df.limit(0)
-    cols = df.columns
-    key = F.coalesce(F.col(key_col).cast("string"), F.lit(""))
-    drawn = df.withColumn("_draw", unit_draw(key, seed, draw_method(method), purpose))
+        return df.select(*cols).limit(0)
+    drawn = df.withColumn("_draw", F.col(draw_col) if draw_col else draw(key_col, seed, method, purpose))
     n = df.count() if rows is None else rows
     if n <= size:
-        return df
+        return df.select(*cols)
     last = quantile_threshold(drawn, "_draw", (size - 0.5) / n, "disc").first()["threshold"]  # rank ceil(size - 0.5)
     got = drawn.agg(F.count(F.when(F.col("_draw") < last, 1)).alias("below"),
                     F.count(F.when(F.col("_draw") <= last, 1)).alias("upto")).first()

@@ -19,7 +19,7 @@ from skewscope.functions.scoring import MODEL_KEYS
 from skewscope.operators import metrics, models, resample, splits
 from skewscope.operators.balance import class_counts
 from skewscope.operators.evaluate import order_validation_record
-from skewscope.operators.exact_sample import exact_sample
+from skewscope.operators.exact_sample import draw, exact_sample
 from skewscope.plans.materialize import materialize
 
 log = logging.getLogger("skewscope")
@@ -142,7 +142,11 @@ def scaling_study(train: DataFrame, valid: DataFrame, sizes: Sequence[int], labe
     """
     train = train.select(*[c for c in (key_col, label_col, features_col) if c])
     valid = valid.select(label_col, features_col)
+    drawn = exact and method != "native" and key_col is not None
+    saved_draw = "_scale_draw" if drawn and not materialized else None
     if not materialized:
+        # The samples nest by one draw: worked out once, where each sample would hash every key several times.
+        train = train.withColumn(saved_draw, draw(key_col, seed, method, "scale")) if saved_draw else train
         train, valid = models.training_table(train), materialize(valid)
     n_pos, n_neg = class_counts(train, label_col)
     n = n_pos + n_neg
@@ -152,11 +156,13 @@ def scaling_study(train: DataFrame, valid: DataFrame, sizes: Sequence[int], labe
         if n < size:
             log.warning("scaling study: size %d skipped, the training split has %d rows", size, n)
             continue
-        if exact and method != "native" and key_col is not None:
-            sample = exact_sample(train, size, key_col, seed, method, "scale", rows=n)
+        if drawn:
+            sample = exact_sample(train, size, key_col, seed, method, "scale", rows=n, draw_col=saved_draw)
         else:
             sample = splits.fraction_sample(train, size / float(n), seed, method, key_col, purpose="scale")
-        sample = models.training_table(resample.class_weights(sample, label_col, "weight", pw))
+        sample = resample.class_weights(sample, label_col, "weight", pw)
+        if not (saved_draw and size == n):  # then it is the saved table itself
+            sample = models.training_table(sample)
         actual = sample.count()
         if actual == 0:
             log.warning("scaling study: size %d skipped, its sample is empty", size)
