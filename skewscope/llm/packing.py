@@ -31,12 +31,16 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skewscope.llm.common import read, save, whole_text
+from skewscope.llm.common import arrow_bytes, read, save, whole_text
 
 SIZE, END_ID = 2048, 1
 SHARD_DOCS = 512
 #: Characters that are tokenised at a time.
-BATCH_CHARS = 4_000_000
+BATCH_CHARS = 2_000_000
+#: Bytes that are hashed at a time; each takes 32 bytes of sums meanwhile.
+HASH_BYTES = 1 << 17
+#: Bytes of the rows that a task and its worker exchange at a time; both hold them, the worker as texts too.
+ARROW_BYTES = 8 << 20
 #: First bytes of the white space of UTF-8 beyond ASCII.
 _LEADS = np.array([0xC2, 0xE1, 0xE2, 0xE3], np.uint8)
 #: Fixed value: the one added token of the vocabulary; its string in a text is one id.
@@ -68,6 +72,18 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (after - sizes), sizes) + np.arange(int(after[-1]) if len(after) else 0)
 
 
+def _hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A hash of each stretch of ``data``; ``starts`` begins with 0 and leaves no gap."""
+    out = np.zeros(len(starts), np.uint64)
+    for low in range(0, len(data), HASH_BYTES):
+        high = min(low + HASH_BYTES, len(data))
+        first, after = int(np.searchsorted(starts, low, "right")) - 1, int(np.searchsorted(starts, high))
+        begin = np.maximum(starts[first:after], low) - low
+        place = np.arange(low, high) - np.repeat(starts[first:after], np.diff(begin, append=high - low))
+        out[first:after] += np.add.reduceat(_BYTE[data[low:high]] * _POWER[place & 0xFFFF], begin)
+    return out ^ (sizes.astype(np.uint64) << np.uint64(40))
+
+
 class Tokens:
     """Ids of whole texts as little-endian unsigned 16-bit bytes (the vocabulary has 50,257 entries).
 
@@ -120,9 +136,7 @@ class Tokens:
         if not len(starts):
             return list(map(self.plain, texts))
         sizes = np.diff(starts, append=len(data))
-        place = np.arange(len(data)) - np.repeat(starts, sizes)
-        hashes = np.add.reduceat(_BYTE[data] * _POWER[place & 0xFFFF], starts) ^ (sizes.astype(np.uint64) << np.uint64(40))
-        code, known = pd.factorize(hashes)
+        code, known = pd.factorize(_hashes(data, starts, sizes))
         at = np.empty(len(known), np.int64)
         at[code[::-1]] = np.arange(len(code) - 1, -1, -1)
         ids, n = self.distinct(data, starts[at], sizes[at])
@@ -184,7 +198,8 @@ def tokenized(docs: DataFrame, size: int = SIZE, all_ids: bool = False, ranks_pa
             yield pd.DataFrame({"row": [-1], "doc_id": pd.array([None], "Int64"), "row_hash": [0], "n": [0], "heads": [b""],
                                 "ids": [np.stack([seen, df[seen]]).tobytes()], "bag": [b""]})
 
-    return save(whole_text(docs).mapInPandas(rows, TOKENS))
+    with arrow_bytes(docs.sparkSession, ARROW_BYTES):
+        return save(whole_text(docs).mapInPandas(rows, TOKENS))
 
 
 def idf(tokens: DataFrame, n_docs: int) -> np.ndarray:
@@ -309,7 +324,7 @@ def pack(docs: DataFrame, size: int = SIZE, shard_docs: int = SHARD_DOCS, with_i
         tails = [k[w:] if with_ids else k for k, w in zip(kept, whole)]
         for k, (heads, n) in enumerate(zip(pdf["heads"], pdf["n"])):
             for j, c in enumerate(np.frombuffer(heads, np.uint32).tolist()):
-                ids = kept[k][j * size:(j + 1) * size].tolist() if with_ids else None
+                ids = kept[k][j * size:(j + 1) * size].astype(np.int32) if with_ids else None
                 out.append((k, j * size, size, c, int(n), sequence, 0, ids))
                 sequence += 1
         some = [k for k, t in enumerate(tails) if len(t)]
@@ -323,7 +338,7 @@ def pack(docs: DataFrame, size: int = SIZE, shard_docs: int = SHARD_DOCS, with_i
                 k = some[tail]
                 ids = tails[k][start:start + length]
                 out.append((k, whole[k] + start, length, crc(ids), int(pdf["n"].iloc[k]), sequence, offset,
-                            ids.tolist() if with_ids else None))
+                            ids.astype(np.int32) if with_ids else None))
                 offset += length
             sequence += 1
         done = pd.DataFrame(out, columns=["k", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])

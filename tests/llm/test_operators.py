@@ -2,13 +2,15 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from skewscope.llm import (bwt_dedup, catalog, decontaminate, imatch, lm_score, minhash, packing, pii, quality,
+from skewscope.llm import (bwt_dedup, catalog, common, decontaminate, imatch, lm_score, minhash, packing, pii, quality,
                            secret_links, url_rules)
 from tests.conftest import SF001
 
@@ -146,6 +148,33 @@ def test_tokens_equal_the_tokenizer_on_odd_blanks():
         assert np.frombuffer(raw, "<u2").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_a_tokenising_worker_holds_little(spark, monkeypatch):
+    """Hashes of a batch's words take a bounded space, and texts reach a worker in small batches."""
+    rng = np.random.default_rng(5)
+    words = ["".join(chr(97 + c) for c in rng.integers(0, 26, n)) for n in rng.integers(2, 9, 3000)]
+    texts = [" ".join(words[k] for k in rng.integers(0, 3000, 1500)) for _ in range(400)] + ["x" * 300_000 + " y", ""]
+    tokens = packing.Tokens(packing.encoder())
+    size = sum(map(len, texts))
+    whole = tokens.encode(texts)
+    tracemalloc.start()
+    tokens.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 * size
+    monkeypatch.setattr(packing, "HASH_BYTES", 7)
+    assert tokens.encode(texts[:5] + texts[-2:]) == whole[:5] + whole[-2:]
+
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before = spark.conf.get(key)
+    monkeypatch.setattr(packing, "save", lambda df: seen.append(spark.conf.get(key)))
+    packing.tokenized(spark.createDataFrame([(1, "a")], "doc_id long, text string"))
+    assert seen == [str(packing.ARROW_BYTES)] and spark.conf.get(key) == before
+    with common.arrow_bytes(spark, 1 << 16):
+        rows = spark.range(40, numPartitions=1).selectExpr("repeat('a', 10000) AS text").mapInPandas(
+            lambda parts: (pd.DataFrame({"n": [len(p)]}) for p in parts), "n long").collect()
+    assert sum(r.n for r in rows) == 40 and max(r.n for r in rows) <= 8
+
+
 def test_windows_are_filled_by_bm25(monkeypatch):
     """Neighbours, their order and the fill against BM25 by hand, with ties and documents longer than a window."""
     rng = np.random.default_rng(8)
