@@ -8,7 +8,8 @@
    signatures, is at least ``0.8 - MARGIN`` are confirmed on the shingles themselves, and components built.
 4. Buckets that still hold several components are joined with themselves on (bucket, size class), between
    components only, under the same estimate and an exact bound, and confirmed likewise: this finds what a star
-   cannot. The bound: each shingle flips one of ``PARITY`` bits of its set, so the bits in which two sets differ are never
+   cannot. A component with most of a bucket's rows meets only those outside it, so large components cost no pairs of
+   their own. The bound: each shingle flips one of ``PARITY`` bits of its set, so the bits in which two sets differ are never
    more than the shingles in which they do; pairs with too many are below the similarity for certain.
 5. A bucket with more than ``HOT_PARTNERS`` partners for each class (texts of one template, say) is not joined: its classes get
    ``DEEP_BANDS`` narrower buckets of ``DEEP_ROWS`` fresh minima each, which unlike texts of one template hardly share, and those
@@ -42,6 +43,8 @@ MARGIN = 0.22
 #: A bucket whose classes have more partners in other components than this, on average, is replaced by narrower ones.
 HOT_PARTNERS = 2_000
 DEEP_BANDS, DEEP_ROWS = 130, 10
+#: Buckets of fewer rows are joined as they are, without size classes and levels.
+LARGE = 16
 BROADCAST_ROWS = 1_000_000
 _RNG = np.random.default_rng(20_240_607)
 _MUL = (_RNG.integers(0, 1 << 31, HASHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -130,6 +133,12 @@ def estimate(a: str, b: str) -> Column:
     return (agree / float(HASHES) - chance) / (1 - chance)
 
 
+def fits(a: str, b: str, percent: int) -> Column:
+    """True where sizes allow ``percent`` and the estimate is not below it by more than ``MARGIN``."""
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (estimate(a, b) >= percent / 100 - MARGIN)
+
+
 def surely_apart(a: str, b: str, percent: int) -> Column:
     """True where the parity bits of two sets prove their similarity to be below ``percent``."""
     differ = F.lit(0)
@@ -191,6 +200,59 @@ def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, pe
     return both.mapInPandas(check, "a long, b long")
 
 
+def peeled(members: DataFrame) -> DataFrame:
+    """(node, key, comp) with how to pair a bucket's rows across its components without pairing any component with itself.
+
+    place: the component's number in its bucket, the largest first. peels: so many of the first hold more than half of the pairs of
+    what is left when they are reached; each is met with all after it, at the level of its place, and only the
+    rest with itself, at level ``peels``. As each such component has over half of the rows left, a row stands at few levels.
+    """
+    parts = members.groupBy("key", "comp").agg(F.count("*").cast("double").alias("n")).groupBy("key").agg(
+        F.sort_array(F.collect_list(F.struct("n", "comp"))).alias("parts"))
+    start = F.struct(F.lit(0.0).alias("rows"), F.lit(0.0).alias("same"), F.lit(0).cast("long").alias("peels"))
+
+    def larger(acc, x):
+        rows, same = acc["rows"] + x["n"], acc["same"] + x["n"] * x["n"]
+        return F.struct(rows.alias("rows"), same.alias("same"), F.when(
+            (rows >= LARGE) & (2 * same > rows * rows), acc["peels"] + 1).otherwise(0).alias("peels"))
+
+    places = (parts.withColumn("all", F.aggregate("parts", start, larger))
+              .select("key", F.col("all.peels").alias("peels"), (F.col("all.rows") >= LARGE).alias("large"),
+                      F.posexplode(F.reverse(F.col("parts.comp"))).alias("place", "comp")))
+    return members.join(places.withColumn("place", F.col("place").cast("long")), ["key", "comp"])
+
+
+def with_sketches(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The rows of ``peeled`` with the sizes, signatures and parity bits of their nodes, and a size class in large buckets."""
+    # Sizes in ratio 0.8 or more differ by one class at most (a class spans a factor just above 1/0.8).
+    step = float(np.log(100 / percent) * 1.01)
+    bits = [F.col("parity")[k].alias(f"p{k}") for k in range(PARITY // 64)]
+    return members.join(classes.select("node", "n", "s0", "s1", "s2", "s3", *bits), "node").withColumn(
+        "class", F.when(F.col("large"), F.floor(F.log("n") / F.lit(step))).otherwise(0).cast("long"))
+
+
+def halves(side: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the join on a_key = b_key, a_level = b_level, a_class = b_class in which all components of a bucket meet."""
+    # Columns that can't be null keep the join's code below the 8,000 bytes up to which the JVM compiles it.
+    whole = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in side.columns if c not in ("large", "comp")]
+    rows = side.select("large", *whole)
+    sent = [c for c in rows.columns if c not in ("large", "peels")]
+    a = rows.withColumn("level", F.least("place", "peels"))
+    levels = F.when(F.col("place") >= F.col("peels"), F.expr("sequence(0, peels)")).when(
+        F.col("place") > 0, F.expr("sequence(0, place - 1)"))
+    b = rows.withColumn("level", F.explode(levels)).withColumn(
+        "class", F.explode(F.expr("if(large, sequence(class - 1, class + 1), array(class))")))
+    return tuple(x.select(*[F.col(c).alias(to + c) for c in [*sent, "level"]]) for x, to in ((a, "a_"), (b, "b_")))
+
+
+def pairs_across(side: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of one bucket, in two components, that may reach ``percent``."""
+    a, b = halves(side)
+    met = a.join(b, (F.col("a_key") == F.col("b_key")) & (F.col("a_level") == F.col("b_level")) & (F.col("a_class") == F.col("b_class"))
+                 & (F.col("a_place") < F.col("b_place")) & fits("a_", "b_", percent) & ~surely_apart("a_", "b_", percent))
+    return met.select(F.greatest("a_node", "b_node").alias("a"), F.least("a_node", "b_node").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, hot_partners: int = HOT_PARTNERS) -> DataFrame:
     """doc_id, row_hash, n_shingles, component_id, kept of every row."""
     sk = save(sketches(docs, size))
@@ -201,7 +263,6 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, hot_partn
         .select(F.col("rep.doc_id").alias("node"), F.col("rep.row_hash").alias("rep_hash"), "n", "f1", "f2",
                 "s0", "s1", "s2", "s3", "bands", "parity"))
     sig = classes.select("node", "n", "s0", "s1", "s2", "s3")
-    least = percent / 100 - MARGIN
 
     buckets = classes.select("node", F.explode("bands").alias("key"))
     hubs = (buckets.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("c")).where("c > 1")
@@ -210,8 +271,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, hot_partn
     stars = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
     stars = (stars.join(sig.select(*[F.col(c).alias("a_" + c) for c in sig.columns]), F.col("a") == F.col("a_node"))
              .join(sig.select(*[F.col(c).alias("b_" + c) for c in sig.columns]), F.col("b") == F.col("b_node")))
-    fits = (100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")) & (estimate("a_", "b_") >= least)
-    first = save(stars.where(fits).select("a", "b"))
+    first = save(stars.where(fits("a_", "b_", percent)).select("a", "b"))
     comp = components(confirm(first, classes, docs, size, percent))
 
     stars_of = members
@@ -233,18 +293,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, hot_partn
         members = members.where(~hot).drop("partners").unionByName(narrow.join(narrow_keys, "key", "leftsemi"))
     else:
         members = members.drop("partners")
-    # Sizes in ratio 0.8 or more differ by one class at most (a class spans a factor just above 1/0.8).
-    step = float(np.log(100 / percent) * 1.01)
-    bits = classes.select("node", *[F.col("parity")[k].alias(f"p{k}") for k in range(PARITY // 64)])
-    side = save(members.join(sig, "node").join(bits, "node")
-                .withColumn("class", F.floor(F.log("n") / F.lit(step)).cast("int")))
-    a = side.select(*[F.col(c).alias("a_" + c) for c in side.columns])
-    a = a.withColumn("a_class", F.explode(F.expr("sequence(a_class - 1, a_class + 1)")))
-    b = side.select(*[F.col(c).alias("b_" + c) for c in side.columns])
-    rest = a.join(b, (F.col("a_key") == F.col("b_key")) & (F.col("a_class") == F.col("b_class"))
-                  & (F.col("a_comp") > F.col("b_comp")) & fits
-                  & ~surely_apart("a_", "b_", percent))
-    rest = save(rest.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).distinct())
+    side = save(with_sketches(peeled(members), classes, percent))
+    rest = save(pairs_across(side, percent))
     more = confirm(rest, classes, docs, size, percent)
     of = lambda x: comp.select(F.col("node").alias(x), F.col("component").alias("c" + x))
     more = more.join(of("a"), "a", "left").join(of("b"), "b", "left").select(

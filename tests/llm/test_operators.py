@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import tracemalloc
 import zlib
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from skewscope.llm import (bwt_dedup, catalog, common, decontaminate, imatch, lm_score, minhash, packing, pii, quality,
                            secret_links, url_rules)
+from skewscope.plans.materialize import session_with
 from tests.conftest import SF001
 
 RNG = random.Random(5)
@@ -103,6 +105,31 @@ def test_hot_buckets_lose_no_link_and_do_not_pair_all(spark):
         assert {(r.doc_id, r.component_id) for r in got} == want
 
 
+def test_a_large_component_is_not_paired_with_itself(spark):
+    """A bucket's components meet all, once; rows that meet grow with the pairs across, not with the square of a component."""
+    comps = {0: 300, 1000: 40, 2000: 1, 3000: 1, 4000: 2}
+    rows = [(0, c + k, c) for c, n in comps.items() for k in range(n)] + [(1, 5000 + k, 5000 + k) for k in range(20)] + [
+        (2, 6000, 6000), (2, 6001, 6000), (2, 6002, 6002)]
+    members = spark.createDataFrame(rows, "key long, node long, comp long")
+    sketch = [[10 ** 3] + [7] * 4 + [[5] * (minhash.PARITY // 64)]]
+    classes = members.select("node").join(spark.createDataFrame(
+        sketch, "n long, s0 long, s1 long, s2 long, s3 long, parity array<long>"))
+    side = minhash.with_sketches(minhash.peeled(members), classes, 80)
+    of = {n: (k, c) for k, n, c in rows}
+    want = {(max(n, m), min(n, m)) for n in of for m in of if of[n][0] == of[m][0] and of[n][1] != of[m][1]}
+    found = minhash.pairs_across(side, 80)
+    assert {(r.a, r.b) for r in found.collect()} == want
+    a, b = minhash.halves(side)
+    assert a.count() == len(rows)
+    met = a.join(b, [F.col("a_" + c) == F.col("b_" + c) for c in ("key", "level", "class")]).count()
+    assert met < 2.5 * len(want) and len(want) < 15_000 < 300 ** 2 / 2
+    own = session_with(spark, spark_sql_adaptive_enabled="false", spark_sql_autoBroadcastJoinThreshold="-1")
+    saved = own.read.parquet(common.save(side).saved_path)
+    plan = spark._jvm.PythonSQLUtils.explainString(minhash.pairs_across(saved, 80)._jdf.queryExecution(), "codegen")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", plan)]
+    assert sizes and max(sizes) < 8_000  # longer methods are interpreted
+
+
 def test_parity_bound_is_exact():
     a, b = (np.unique(np.random.default_rng(k).integers(0, 1 << 60, 300, dtype=np.uint64)) for k in (1, 2))
     both = np.concatenate([a[:200], b[:50]])
