@@ -362,6 +362,24 @@ def test_repeats_equal_brute_force(docs, hot, monkeypatch):
     assert any(hashes.values())
 
 
+def test_messages_to_shards_hold_several_batches(docs, monkeypatch):
+    """Strings leave a task once per shard and ``SEND_BYTES``, not once per shard and batch; intervals return once per area."""
+    want = sorted(map(str, bwt_dedup.remove_repeats(docs).collect()))
+    monkeypatch.setattr(bwt_dedup, "BATCH_BYTES", 1500)
+    batches = bwt_dedup.batches_of(docs.coalesce(1))
+    marks = bwt_dedup.shared_anchors(batches, 50, 3)
+    sent = bwt_dedup.candidate_strings(batches.coalesce(1), marks, 50, 3, 8).toPandas()
+    assert batches.count() > 15 and len(sent) == sent["shard"].nunique() <= 8
+    assert max(len(np.unique(np.frombuffer(b, np.int64))) for b in sent["batch"]) > 5
+    for _, rows in sent.groupby("shard"):
+        back = bwt_dedup.shard_intervals(rows, 50)
+        assert len(back) <= 1 and set(np.frombuffer(b"".join(back["batch"]), np.int64)) <= set(range(batches.count()))
+    for limit, hot in ((1, 512), (1, 0), (48 << 20, 0)):
+        monkeypatch.setattr(bwt_dedup, "SEND_BYTES", limit)
+        monkeypatch.setattr(bwt_dedup, "HOT", hot)
+        assert sorted(map(str, bwt_dedup.remove_repeats(docs).collect())) == want
+
+
 def test_interval_bounds_equal_sorted_prefixes():
     rng = np.random.default_rng(1)
     for _ in range(20):
